@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import pii, quality
 from .common import documents
 from .quality_sql import OP8_SQL
 
@@ -15,5 +15,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {"op8_quality_rules": op8_quality_rules}
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pii.replace(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        "text",
+        F.size("pii").cast("long").alias("n_entities"),
+        *[pii.count_of(k).alias(f"n_{k}") for k in pii.PATTERNS],
+        F.array_join(F.transform("pii", lambda e: e["surrogate"]), "|").alias("surrogates"),
+    )
+
+
+QUERIES = {"op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
 ORACLE_SQL = {"op8_quality_rules": OP8_SQL}
