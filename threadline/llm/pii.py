@@ -37,7 +37,7 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}][\p{L}\p{N}._+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     "iban": r"\b[A-Z]{2}\d{2}(?=[A-Z0-9]*\d)[A-Z0-9]{11,30}\b",
-    "key": r"(?:\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}+|\beyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++|(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z]))",
+    "key": r"(?:\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}+|\beyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++|(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])|(?<=\b(?:password|passwd|secret|api_key|token)=)[^\s\"',;&]{6,}+)",
     "phone": r"(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d-])\(?\d{3}\)?[ .-]\d{3}-\d{4}(?![\d-]))",
     "card": r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![\d])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
@@ -49,10 +49,11 @@ DIGIT_KINDS = ("phone", "card", "ssn")
 
 
 def kind_of(surface: Column) -> Column:
-    """The first pattern that covers the whole surface; a card needs its check digit."""
-    out = F.lit(None).cast("string")
+    """The first pattern that covers the whole surface; a card needs its check digit and an issuer's first digit."""
+    # a secret after its name is known by what stands before it, which the surface lacks
+    out = F.when(~surface.rlike(r"^[\d -]+$"), F.lit("key"))
     for kind, pattern in reversed(PATTERNS.items()):
-        hit = surface.rlike(f"^(?:{pattern})$") if kind != "card" else surface.rlike(r"^\d[\d -]{11,}\d$") & F.call_function("luhn_check", F.regexp_replace(surface, "[ -]", ""))
+        hit = surface.rlike(f"^(?:{pattern})$") if kind != "card" else surface.rlike(r"^[2-6][\d -]{11,}\d$") & F.call_function("luhn_check", F.regexp_replace(surface, "[ -]", ""))
         out = F.when(hit, F.lit(kind)).otherwise(out)
     return out
 
@@ -144,7 +145,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
             .when(kind == "ssn", F.concat(F.lit("9"), F.substring(digits, 2, 8)))
             .when((kind == "key") & norm.rlike("^[0-9a-f]+$"), _hex(norm, h))
             .when((kind == "key") & norm.rlike("^[0-9A-F]+$"), F.upper(_hex(norm, h)))
-            .when(kind == "key", F.concat(F.substring(norm, 1, 4), let(F.substring(norm, F.lit(5), n), lambda r: _cased(r, _letters(r, h)))))
+            .when(kind == "key", let(F.regexp_extract(norm, "^(AKIA|ASIA|gh[pousr]_|sk-|eyJ)?(.*)$", 2), lambda r: F.concat(F.substring(norm, F.lit(1), n - F.length(r)), _cased(r, _letters(r, h)))))
             .when(kind == "iban", F.concat(F.substring(norm, 1, 2), F.upper(_letters(F.substring(norm, F.lit(3), n), h))))
             .otherwise(_name(norm, h))
         )
