@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -45,3 +46,15 @@ def partitions(spark: SparkSession, least: int = 1) -> int:
 def words(text):
     """Array of words of a text column; null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
+
+
+@contextlib.contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows while an action inside runs: rows may be large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

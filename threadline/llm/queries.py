@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality
+from . import pii, quality, rans
 from .common import documents
 from .quality_sql import OP8_SQL
 
@@ -26,5 +27,9 @@ def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.round_trip(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {"op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
 ORACLE_SQL = {"op8_quality_rules": OP8_SQL}
