@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality, rans
+from . import packing, pii, quality, rans
 from .common import documents
 from .quality_sql import OP8_SQL
 
@@ -31,5 +31,9 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {"op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
 ORACLE_SQL = {"op8_quality_rules": OP8_SQL}
