@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, quality, rans
+from . import packing, pii, quality, rans, toxicity, warc
 from .common import documents
 from .quality_sql import OP8_SQL
 
@@ -35,5 +35,25 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
-ORACLE_SQL = {"op8_quality_rules": OP8_SQL}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f"""
+
+
+QUERIES = {"op7_toxicity": op7_toxicity, "op10_warc": op10_warc, "op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
+ORACLE_SQL = {"op10_warc": OP10_SQL, "op8_quality_rules": OP8_SQL}
