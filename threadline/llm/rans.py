@@ -30,9 +30,9 @@ from .tokens import Encoder, batches
 MAGIC = b"TLRANS01"
 HEAD = struct.Struct("<8sIIIIIII")
 SCALE_BITS = 20
-LANES = 512
+LANES = 2048
 CHECKPOINT_STEPS = 256
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 20
 LOW = np.uint64(1 << 31)
 
 

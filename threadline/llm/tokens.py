@@ -5,26 +5,35 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_TAIL = re.compile(r" \s| $")
-_CUT = re.compile(r" (?=\S)")
+# Byte-level pre-tokenizers always cut before a blank that a visible character follows,
+# between a letter or digit and a sign after it, and around a single line break between
+# visible characters.
+_ODD = re.compile(r" \s| $|[\0\1]")
+_SIGN = re.compile(r"[.,!#$%&*|](?<=[^\W_].)")
+_LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
+_PLAIN = re.compile(r" ?[^\W_]+")
 _ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes.
 
-    Byte-level pre-tokenizers always cut before a blank that a visible character
-    follows, so a text's ids are those of its blank-separated parts; the parts
-    seen so far are remembered (up to ``limit``, then forgotten).
+    A text's ids are those of its parts at sure cuts.  Parts seen lately are
+    remembered in two generations of at most ``limit``: when the newer is full it
+    becomes the older, whose parts come back as they occur.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -33,30 +42,60 @@ class Encoder:
             _ENCODERS[path] = Encoder(path)
         return _ENCODERS[path]
 
-    def _learn(self, known: dict[str, bytes], parts: set[str], prefix: str) -> None:
-        new = [p for p in parts if p not in known]
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast([prefix + p for p in some], add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, dtype="<u4").tobytes()
+    def _learn(self, new) -> None:
+        """Parts without inner white space go in one text, a line break after each; its id parts theirs."""
+        plain = [p for p in new if len(self.line) == 1 and _PLAIN.fullmatch(p)]
+        for i in range(0, len(plain), 5_000):
+            some = plain[i : i + 5_000]
+            ids = np.array(self.tokenizer.encode("\n".join(some) + "\n", add_special_tokens=False).ids, dtype="<u4")
+            ends, data = np.flatnonzero(ids == self.line[0]).tolist(), ids.tobytes()
+            for p, a, b in zip(some, [-1, *ends], ends, strict=False):
+                self.known[p] = data[4 * a + 4 : 4 * b]
+        for p in new:
+            if p not in self.known:
+                self.known[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _ids(self, parts: list[str]) -> list[bytes]:
+        if len(self.known) > self.limit:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for p in parts:
+            if p not in known:
+                if p in older:
+                    known[p] = older[p]
+                else:
+                    new.append(p)
+        self._learn(new)
+        return [known[p] for p in parts]
 
     def encode(self, texts) -> list[bytes]:
-        if len(self.first) + len(self.later) > self.limit:
-            self.first, self.later = {}, {}
-        parted = []
-        for t in texts:
-            t = t or ""
-            parted.append(_CUT.split(t) if _TAIL.search(t) else t.split(" "))
-        self._learn(self.first, {p[0] for p in parted}, "")
-        rest: set[str] = set()
-        for p in parted:
-            rest.update(p[1:])
-        self._learn(self.later, rest, " ")
-        later = self.later
-        return [b"".join([self.first[p[0]], *[later[x] for x in p[1:]]]) for p in parted]
-
-
-def batches(texts, most_chars: int = 4_000_000):
+        """The ids of each text; None counts as empty."""
+        texts = [t or "" for t in texts]
+        whole = {i for i, t in enumerate(texts) if _ODD.search(t) or any(x in t for x in self.special)}
+        easy = iter(self._easy([t for i, t in enumerate(texts) if i not in whole]))
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if i in whole else next(easy) for i, t in enumerate(texts)]
+
+    def _easy(self, texts: list[str]) -> list[bytes]:
+        """All texts at once: distinct parts are looked up, their ids laid out by numpy."""
+        if not texts:
+            return []
+        joined = _LINE.sub("\0\n\0", _SIGN.sub("\0\\g<0>", "\0\1\0".join(texts))).replace(" ", "\0 ")
+        parts = pc.split_pattern(pa.array([joined], pa.large_string()), "\0").flatten().dictionary_encode()
+        which, distinct = parts.indices.to_numpy(), parts.dictionary.to_pylist()
+        found = [b"" if p == "\1" else b for p, b in zip(distinct, self._ids(distinct), strict=True)]
+        # a batch's ids are far fewer than 2**31
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        flat, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size, dtype=np.int32) - size
+        each = size[which]
+        ends = np.cumsum(each, dtype=np.int32)
+        data = flat[np.repeat(first[which] - (ends - each), each) + np.arange(ends[-1], dtype=np.int32)].tobytes()
+        marks = np.flatnonzero(which == distinct.index("\1")) if len(texts) > 1 else []
+        cuts = [0, *ends[marks].tolist(), int(ends[-1])]
+        return [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def batches(texts, most_chars: int = 8_000_000):
     """Index ranges of consecutive texts of about most_chars characters."""
     start = size = 0
     for i, t in enumerate(texts):
