@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, minhash, packing, pii, quality, rans, suffixes, toxicity, warc
+from . import ann, minhash, packing, pieces, pii, quality, rans, suffixes, toxicity, warc
 from .common import documents
 from .quality_sql import OP8_SQL
 
@@ -69,5 +69,10 @@ def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op5_suffixes": op5_suffixes, "op6_nearest": op6_nearest, "op1_minhash": op1_minhash, "op7_toxicity": op7_toxicity, "op10_warc": op10_warc, "op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.segmentations(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "rank", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "log_prob", "gumbel", "inclusion", "decodes")
+
+
+QUERIES = {"op4_pieces": op4_pieces, "op5_suffixes": op5_suffixes, "op6_nearest": op6_nearest, "op1_minhash": op1_minhash, "op7_toxicity": op7_toxicity, "op10_warc": op10_warc, "op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
 ORACLE_SQL = {"op10_warc": OP10_SQL, "op8_quality_rules": OP8_SQL}
