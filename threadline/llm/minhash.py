@@ -7,9 +7,11 @@ similarity, from bit counts, is far below the threshold are dropped, the others
 are confirmed on the full sets.
 
 A band bucket never emits all its pairs.  First each member meets the bucket's
-smallest one, which joins groups of near copies into components.  Then only the
-buckets that still hold several components are compared across these components,
-large ones block by block, so that no link between components is lost.
+smallest one, which joins groups of near copies into components.  In large buckets
+that still hold several components each member then meets the likeliest member of
+another component, for as many rounds as that joins any.  At last all pairs across
+the components left in a bucket are compared, large buckets block by block, so that
+no link between components is lost.
 
 Defined results: null, empty or blank texts have an empty set and are linked with
 nothing; rows with the same doc_id are judged each by its own text, and a null
@@ -97,7 +99,7 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, signature and band keys of each row."""
+    """doc_id, h, n_shingles, digest of the set, signature and band keys of each row."""
 
     def run(frames):
         import pandas as pd
@@ -113,11 +115,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                     rows.append((0, None, None, None))
             out = pd.DataFrame(rows, columns=["n", "digest", "sig", "bands"])
             out.insert(0, "doc_id", f["doc_id"].astype("Int64").to_numpy())
+            out.insert(1, "h", f["h"])
             yield out
 
     with batch_rows(docs.sparkSession, 1000):
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        return stored(rows.mapInPandas(run, "doc_id long, n long, digest binary, sig array<long>, bands array<long>"), "signatures")
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+        return stored(rows.mapInPandas(run, "doc_id long, h long, n long, digest binary, sig array<long>, bands array<long>"), "signatures")
 
 
 def linked(inter: Column, a: Column, b: Column, percent: int) -> Column:
@@ -145,7 +148,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
         return stored(known.select("cid", "digest", "text").mapInPandas(run, "cid long, set array<long>").dropDuplicates(["cid"]), "sets")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of pairs (a, b) that pass the estimate and then the full sets."""
     sig = classes.select("cid", "sig", "n")
     near = (
@@ -156,14 +159,16 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: i
         .select("a", "b")
     )
     near = stored(near, "candidates")
-    sets = _sets(docs, classes, near.select("a").union(near.select("b")).toDF("cid").distinct())
     both = near.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
     inter = F.size(F.array_intersect("set_a", "set_b"))
     return stored(both.where(linked(inter, F.size("set_a"), F.size("set_b"), percent)).select("a", "b"), "links")
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of different components in large buckets, compared block by block."""
+def _across(members: DataFrame, percent: int, likeliest: bool) -> DataFrame:
+    """Candidate pairs (a, b) of different components in large buckets, compared block by block.
+
+    Either all, or for each member the likeliest alone.
+    """
     chance = 2.0**-BITS
 
     def compare(key, f):
@@ -176,14 +181,17 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         out = []
         for x in np.flatnonzero(block == i):
             y = right[(comp[right] != comp[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
-            if i == j:
+            if i == j and not likeliest:
                 y = y[cid[y] > cid[x]]
             if len(y):
                 z = sig[y] ^ sig[x]
                 z |= z >> np.uint64(1)
                 z |= z >> np.uint64(2)
                 same = 1 - np.bitwise_count(z & np.uint64(NIBBLES)).sum(axis=1, dtype=np.int64) / HASHES
-                y = y[(same - chance) / (1 - chance) >= LEAST_ESTIMATE]
+                near = (same - chance) / (1 - chance) >= LEAST_ESTIMATE
+                if likeliest:
+                    near &= np.arange(len(y)) == np.lexsort((cid[y], -same))[0]
+                y = y[near]
                 out += [(min(cid[x], c), max(cid[x], c)) for c in cid[y]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
@@ -194,8 +202,19 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of docs (doc_id, text)."""
+def _mixed(buckets: DataFrame, parts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members, with component and signature, of the buckets that hold several components."""
+    owned = buckets.join(parts.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    mixed = owned.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    return owned.join(mixed, "key").join(classes.select("cid", "n", "sig"), "cid").select("key", "size", "cid", "component", "n", "sig")
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    return stored(components(parts.where("node <> component").toDF("a", "b").union(links)), "parts")
+
+
+def groups(docs: DataFrame, percent: int = 75, rounds: int = 6) -> DataFrame:
+    """doc_id, h (hash of the text), n_shingles, component_id and kept of every row of docs (doc_id, text)."""
     signed = signatures(docs)
     has = signed.where("n > 0")
     classes = has.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
@@ -204,14 +223,18 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     shared = buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("cid").alias("hub")).where("size > 1")
     buckets = stored(buckets.join(shared, "key"), "buckets")
 
-    stars = buckets.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
-    links = _confirmed(stars, docs, classes, percent)
-    parts = stored(components(links), "parts")
-
-    owned = buckets.join(parts.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    mixed = owned.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    owned = owned.join(mixed, "key").join(classes.select("cid", "n", "sig"), "cid")
-    owned = stored(owned.select("key", "size", "hub", "cid", "component", "n", "sig"), "mixed")
+    sets = _sets(docs, classes, buckets.select("cid").distinct())
+    seen = buckets.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
+    parts = stored(components(_confirmed(seen, classes, sets, percent)), "parts")
+    for _ in range(rounds):
+        large = _mixed(buckets.where(F.col("size") > SMALL), parts, classes)
+        likely = stored(_across(large, percent, True).distinct().join(seen, ["a", "b"], "left_anti"), "likely")
+        links = _confirmed(likely, classes, sets, percent)
+        if links.isEmpty():
+            break
+        parts, seen = _joined(parts, links), seen.union(likely)
+
+    owned = stored(_mixed(buckets, parts, classes), "mixed")
     small = owned.where(F.col("size") <= SMALL)
     left, right = (small.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "component", "n", "sig")]) for s in "ab")
     near = (
@@ -221,14 +244,13 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
         .where(estimate(F.col("sig_a"), F.col("sig_b")) >= LEAST_ESTIMATE)
         .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"))
     )
-    more = stored(near.union(_across(owned.where(F.col("size") > SMALL), percent)).distinct().join(stars, ["a", "b"], "left_anti"), "across")
-    if not more.isEmpty():
-        more = _confirmed(more, docs, classes, percent)
-        if not more.isEmpty():
-            parts = stored(components(parts.where("node <> component").toDF("a", "b").union(more)), "parts")
+    rest = stored(near.union(_across(owned.where(F.col("size") > SMALL), percent, False)).distinct().join(seen, ["a", "b"], "left_anti"), "rest")
+    links = _confirmed(rest, classes, sets, percent)
+    if not links.isEmpty():
+        parts = _joined(parts, links)
 
     named = classes.select("digest", "rep", F.col("cid").alias("node")).join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = named.join(smallest, "component").select("digest", "component_id")
-    joined = has.join(of_class, "digest").select("doc_id", "n", "component_id").unionByName(signed.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    joined = has.join(of_class, "digest").select("doc_id", "h", "n", "component_id").unionByName(signed.where("n = 0").select("doc_id", "h", "n", F.col("doc_id").alias("component_id")))
+    return joined.select("doc_id", "h", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -65,13 +65,14 @@ def repeat_words(hashes: Column, size: int = 8) -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang and the counts of each whole text."""
+    """doc_id, h (hash of the text), lang and the counts of each whole text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     bare = F.regexp_replace("text", WORD_GAP, "")
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), text.alias("text"))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("h"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
     rows = rows.select(
         "doc_id",
+        "h",
         "lang",
         F.transform(F.filter(F.split("text", WORD_GAP), lambda w: w != ""), lambda w: F.xxhash64(w)).alias("hashes"),
         bare.alias("bare"),
@@ -79,6 +80,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
     return rows.select(
         "doc_id",
+        "h",
         "lang",
         F.size("hashes").cast("long").alias("n_words"),
         F.length("bare").cast("long").alias("word_chars"),

@@ -56,7 +56,7 @@ FROM f"""
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.groups(documents(spark, sf_dir))
+    return minhash.groups(documents(spark, sf_dir)).drop("h")
 
 
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,9 +224,9 @@ def runs(offsets: list[int]) -> list[tuple[int, int]]:
 # --- the Spark jobs --------------------------------------------------------------------
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, *more: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"), *more)
 
 
 def _anchor_rows(rows: DataFrame) -> DataFrame:
@@ -347,25 +347,31 @@ def merged(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove(docs: DataFrame, most: int = 4096) -> DataFrame:
-    """doc_id, h, kept (the remaining bytes), n_bytes, n_removed, n_spans of every row of docs (doc_id, text)."""
+def remove(docs: DataFrame, most: int = 4096, more: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans and the columns ``more`` of every row of docs."""
     spark, spans = docs.sparkSession, repeats(docs, most)
     of_row = spans.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("e")).agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    joined = _keyed(docs).join(of_row, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("e")), "left").select("doc_id", "h", "text", "spans")
+    joined = _keyed(docs, *more).join(of_row, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("e")), "left").select("doc_id", "text", "spans", *more)
 
     def run(frames):
         import pandas as pd
 
         for f in frames:
             out = []
-            for doc_id, h, text, some in zip(f["doc_id"], f["h"], f["text"], f["spans"], strict=True):
+            for text, some in zip(f["text"], f["spans"], strict=True):
                 data, gone, at, kept = text.encode(), merged((x["a"], x["b"]) for x in some) if some is not None else [], 0, []
                 for a, b in gone:
                     kept.append(data[at:a])
                     at = b
-                out.append((doc_id, h, b"".join(kept) + data[at:], len(data), sum(b - a for a, b in gone), len(gone)))
-            yield pd.DataFrame(out, columns=["doc_id", "h", "kept", "n_bytes", "n_removed", "n_spans"]).astype({"doc_id": "Int64"})
-
+                out.append((b"".join(kept) + data[at:], len(data), sum(b - a for a, b in gone), len(gone)))
+            o = pd.DataFrame(out, columns=["kept", "n_bytes", "n_removed", "n_spans"])
+            for c in more:
+                o[c] = f[c]
+            yield o.assign(doc_id=f["doc_id"].astype("Int64"))
+
+    schema = "kept binary, n_bytes long, n_removed long, n_spans long, doc_id long"
+    for c in more:
+        schema += f", `{c}` {docs.schema[c].dataType.simpleString()}"
     with batch_rows(spark, 1000):
-        return stored(joined.mapInPandas(run, "doc_id long, h long, kept binary, n_bytes long, n_removed long, n_spans long"), "kept")
+        return stored(joined.mapInPandas(lambda frames: run(frames), schema), "kept")
 
