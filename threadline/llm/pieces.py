@@ -17,7 +17,8 @@ Draws are seeded by the row key: results do not depend on partitions or retries.
 
 Defined results: null and empty texts have one empty segmentation (probability and
 inclusion 1, no ids); texts with fewer than k segmentations return all; equal keys give
-equal draws; characters without a piece become byte pieces; extra columns are ignored.
+equal draws; characters without a piece become byte pieces; the sign that
+stands for a blank decodes to a blank; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tokens import batches
+
 _UNIT = re.compile("▁*[^▁]+|▁+")
 _LATTICES: dict[str, Lattices] = {}
 
@@ -35,7 +38,7 @@ _LATTICES: dict[str, Lattices] = {}
 class Lattices:
     """Word lattices of a vocabulary file, one per worker process; lately seen words are remembered."""
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = 60_000):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -61,7 +64,7 @@ class Lattices:
         return _LATTICES[path]
 
     def word(self, unit: str):
-        """Edges by source position: (number per position, targets, ids, probabilities); id -1 is a character as bytes."""
+        """Edges by source position: (number per position and 0 for the end, targets, ids, probabilities); id -1 is a character as bytes."""
         found = self.known.get(unit)
         if found is None:
             n, piece = len(unit), self.piece
@@ -79,7 +82,12 @@ class Lattices:
                 beta[i] = top + float(np.log(sum(np.exp(x[2] - top) for x in out)))
                 edges[i] = [(j, e, float(np.exp(x - beta[i]))) for j, e, x in out]
             flat = [x for some in edges for x in some]
-            found = ([len(x) for x in edges], [x[0] for x in flat], [x[1] for x in flat], [x[2] for x in flat])
+            found = (
+                np.array([len(x) for x in edges] + [0], np.int32),
+                np.array([x[0] for x in flat], np.int32),
+                np.array([x[1] for x in flat], np.int32),
+                np.array([x[2] for x in flat]),
+            )
             if len(self.known) >= self.limit:
                 self.known = {}
             self.known[unit] = found
@@ -100,24 +108,27 @@ class Lattices:
         return "".join(out).replace("▁", " ")[1:]
 
 
+    def spelled(self, tables: Tables, edges: np.ndarray, units: list[str], text: str) -> tuple[np.ndarray, bool]:
+        """The ids of a path, characters without a piece as bytes, and whether they decode to the text."""
+        ids, chars = tables.ids[edges], "".join(units)
+        if (ids < 0).any():
+            at = np.concatenate([[0], np.cumsum(tables.target[edges] - tables.source(edges))]).tolist()
+            ids = np.array([x for e, i in zip(ids.tolist(), at, strict=False) for x in ([e] if e >= 0 else [self.byte[b] for b in chars[i].encode()])])
+            return ids, self.decode(ids) == text.replace("▁", " ")
+        return ids, "".join(map(self.surface.__getitem__, ids.tolist())) == chars
+
+
 class Tables:
     """The lattices of a batch's distinct words as one set of arrays."""
 
     def __init__(self, lattices: Lattices, units: list[str]):
         self.place = {u: i for i, u in enumerate(units)}
-        self.start, count, target, ids, prob, node = [], [], [], [], [], 0
-        for u in units:
-            counts, to, e, p = lattices.word(u)
-            self.start.append(node)
-            count += counts + [0]
-            target += [node + j for j in to]
-            ids += e
-            prob += p
-            node += len(counts) + 1
-        self.start = np.array(self.start, np.int64)
-        count = np.array(count, np.int64)
+        words = [lattices.word(u) for u in units]
+        self.start = np.cumsum([0, *(len(w[0]) for w in words)])[:-1].astype(np.int64)
+        count = np.concatenate([w[0] for w in words]).astype(np.int64)
         self.first = np.concatenate([[0], np.cumsum(count)])
-        self.target, self.ids, self.prob = np.array(target, np.int64), np.array(ids, np.int64), np.array(prob)
+        self.target = np.concatenate([w[1] + s for w, s in zip(words, self.start, strict=True)])
+        self.ids, self.prob = np.concatenate([w[2] for w in words]).astype(np.int64), np.concatenate([w[3] for w in words])
         run = np.cumsum(self.prob)
         before = np.concatenate([[0.0], run])[self.first[:-1]]
         self.owner = owner = np.repeat(np.arange(len(count)), count)
@@ -205,9 +216,11 @@ def segmentations(docs: DataFrame, path: str, k: int = 2, seed: int = 0) -> Data
         import pandas as pd
 
         lattices = Lattices.of(path)
-        for f in frames:
+        # some texts at a time: their lattices and samples are larger than they are
+        for f in (f.iloc[a:b] for f in frames for a, b in batches(f["text"].tolist(), 500_000)):
             parted = [_UNIT.findall("▁" + t.replace(" ", "▁")) if t else [] for t in f["text"]]
-            tables = Tables(lattices, list(dict.fromkeys(u for p in parted for u in p)))
+            distinct = list(dict.fromkeys(u for p in parted for u in p))
+            tables = Tables(lattices, distinct) if distinct else None
             out = []
             for doc_id, text, key, units in zip(f["doc_id"], f["text"], f["key"], parted, strict=True):
                 if not units:
@@ -216,16 +229,9 @@ def segmentations(docs: DataFrame, path: str, k: int = 2, seed: int = 0) -> Data
                 rng = np.random.default_rng([int(key) & 0xFFFFFFFF, int(key) >> 32 & 0xFFFFFFFF])
                 found = sample(tables, np.fromiter((tables.place[u] for u in units), np.int64, len(units)), k, rng)
                 least = found[k][2] if len(found) > k else -np.inf
-                chars = "".join(units)
                 for rank, (edges, log_prob, gumbel) in enumerate(found[:k], 1):
-                    ids, inclusion = tables.ids[edges], float(-np.expm1(-np.exp(min(700.0, log_prob - least))))
-                    if (ids < 0).any():
-                        at = np.concatenate([[0], np.cumsum(tables.target[edges] - tables.source(edges))])
-                        ids = np.array([x for e, i in zip(ids.tolist(), at.tolist(), strict=False) for x in ([e] if e >= 0 else [lattices.byte[b] for b in chars[i].encode()])])
-                        same = lattices.decode(ids) == text
-                    else:
-                        same = "".join(map(lattices.surface.__getitem__, ids.tolist())) == chars and chars[1:].replace("▁", " ") == text.replace("▁", " ")
-                    out.append((doc_id, rank, ids.astype("<u4").tobytes(), log_prob, gumbel, inclusion, bool(same)))
+                    ids, same = lattices.spelled(tables, edges, units, text)
+                    out.append((doc_id, rank, ids.astype("<u4").tobytes(), log_prob, gumbel, float(-np.expm1(-np.exp(min(700.0, log_prob - least)))), same))
             yield pd.DataFrame(out, columns=["doc_id", "rank", "ids", "log_prob", "gumbel", "inclusion", "decodes"]).astype({"doc_id": "Int64"})
 
     return rows.mapInPandas(run, "doc_id long, rank int, ids binary, log_prob double, gumbel double, inclusion double, decodes boolean")
