@@ -76,7 +76,7 @@ def solve(demand: np.ndarray, rounds: int = 5000) -> list[tuple[np.ndarray, int]
         if value <= 1 + 1e-9:
             break
         column = pattern[used].astype(float)
-        step = inverse @ column
+        step = (inverse * column).sum(axis=1)  # small: no threads of a matrix library
         able = step > 1e-9
         ratio = np.where(able, amounts / np.where(able, step, 1), np.inf)
         leave = int(np.argmin(ratio))
@@ -87,7 +87,7 @@ def solve(demand: np.ndarray, rounds: int = 5000) -> list[tuple[np.ndarray, int]
             row = inverse[leave] / step[leave]
             inverse = inverse - np.outer(step, row)
             inverse[leave] = row
-        amounts = np.maximum(inverse @ need, 0)
+        amounts = np.maximum((inverse * need).sum(axis=1), 0)
     left, plan = demand.astype(np.int64).copy(), []
     for j in np.argsort(-amounts, kind="stable"):
         pattern = np.zeros(CLASSES, dtype=np.int64)

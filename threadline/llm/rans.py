@@ -4,7 +4,7 @@ One table of frequencies, counted over all ids, is shared by all blocks.  A bloc
 holds the ids of whole documents; its ids are dealt over LANES interleaved coders
 (64-bit states, renormalised by 32-bit words) that numpy advances together.
 Checkpoints (word offset and lane states) let parts of a block be decoded on
-their own; checksums cover the words and the ids.
+their own; checksums cover states and words, and the ids.
 
 Block layout (little-endian): magic, counts, checksums | initial lane states |
 checkpoints | words | zlib of (doc_ids int64, null flags, lengths uint32).
@@ -81,15 +81,18 @@ def encode_block(ids: np.ndarray, freq: np.ndarray, start: np.ndarray, docs: byt
     body = stream.tobytes()
     points = b"".join(struct.pack("<II", t, len(stream) - behind) + st.astype("<u8").tobytes() for t, behind, st in marks[::-1])
     meta = zlib.compress(docs)
-    head = HEAD.pack(MAGIC, n, LANES, len(stream), len(marks), len(meta), zlib.crc32(body), zlib.crc32(ids.astype("<u4").tobytes()))
-    return head + state.astype("<u8").tobytes() + points + body + meta
+    coded = state.astype("<u8").tobytes() + points + body
+    head = HEAD.pack(MAGIC, n, LANES, len(stream), len(marks), len(meta), zlib.crc32(coded), zlib.crc32(ids.astype("<u4").tobytes()))
+    return head + coded + meta
 
 
 def parse_block(block: bytes) -> dict:
-    magic, n, lanes, n_words, n_marks, n_meta, words_crc, ids_crc = HEAD.unpack_from(block)
+    magic, n, lanes, n_words, n_marks, n_meta, coded_crc, ids_crc = HEAD.unpack_from(block)
     if magic != MAGIC:
         raise ValueError("not a token block")
     at = HEAD.size
+    if len(block) < n_meta + at or zlib.crc32(block[at : len(block) - n_meta]) != coded_crc:
+        raise ValueError("token block is damaged")
     state = np.frombuffer(block, "<u8", lanes, at)
     at += 8 * lanes
     marks = [(0, 0, state)]
@@ -98,8 +101,6 @@ def parse_block(block: bytes) -> dict:
         marks.append((t, offset, np.frombuffer(block, "<u8", lanes, at + 8)))
         at += 8 + 8 * lanes
     body = block[at : at + 4 * n_words]
-    if len(block) != at + 4 * n_words + n_meta or zlib.crc32(body) != words_crc:
-        raise ValueError("token block is damaged")
     return {"n": n, "lanes": lanes, "marks": marks, "words": np.frombuffer(body, "<u4"), "docs": zlib.decompress(block[at + 4 * n_words :]), "ids_crc": ids_crc}
 
 
