@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,8 +35,6 @@ def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0
     Pairs are joined on length bands that can reach the ratio; only survivors of the
     length and character bounds are compared in an Arrow function.
     """
-    import pandas as pd
-
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
         from difflib import SequenceMatcher
