@@ -7,6 +7,7 @@ import numpy as np
 
 from threadline.functions import text as fx
 from threadline.operators import chunks as ch
+from threadline.operators import cluster as cl
 from threadline.operators import fuzzy as fz
 from threadline.operators import matching as mt
 from threadline.operators import messages as ms
@@ -171,3 +172,15 @@ def test_template_ratio(spark):
     templates = spark.createDataFrame([(2, "Hello Marta, welcome"), (1, "Hello Marta, welcome"), (3, "other")], "template_id long, template string")
     got = fz.template_matches(messages, templates).collect()
     assert [(r.message, r.template_id) for r in got] == [("Hello Anna, welcome", 1)] and got[0].ratio > 0.75
+
+
+def test_density(spark):
+    rng = np.random.default_rng(11)
+    centers = rng.normal(size=(3, 8)) * 5
+    x = np.vstack([*(c + rng.normal(size=(20, 8)) * 0.1 for c in centers), rng.normal(size=(2, 8)) @ np.diag([9, -9] * 4)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for blocks in (1, 3):
+        got = {r.vec_id: (r.cluster, r.membership) for r in cl.density(df, k=4, eps=0.05, blocks=blocks).collect()}
+        assert [got[i][0] for i in range(60)] == [0] * 20 + [20] * 20 + [40] * 20
+        assert all(0 <= m <= 1 for _, m in got.values())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,3 +45,65 @@ def majority(rows: DataFrame) -> DataFrame:
 def agreement(rows: DataFrame, labels: DataFrame) -> DataFrame:
     joined = rows.where("cluster IS NOT NULL").join(labels.select("cluster", F.col("topic").alias("_t")), "cluster")
     return joined.agg(F.count("*").alias("n"), F.avg((F.col("topic") == F.col("_t")).cast("double")).alias("agreement"))
+
+
+def neighbours(vectors: DataFrame, k: int, blocks: int) -> DataFrame:
+    """The k nearest of each unit vector by cosine, ties to the smaller id: an exact search in blocks.
+
+    Every vector meets every block once; a block's task keeps k per vector, so what is
+    emitted grows with vectors times blocks, not with pairs.
+    """
+    rows = vectors.select("vec_id", "embedding").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    asked = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("block", F.col("vec_id").alias("query"), F.col("embedding").alias("q"))
+
+    def nearest(left, right):
+        ids, x = left["vec_id"].to_numpy(), np.vstack(left["embedding"].to_numpy()).astype(np.float64) if len(left) else None
+        out = []
+        if x is not None:
+            for i in range(0, len(right), 1000):
+                part = right.iloc[i : i + 1000]
+                scores = np.vstack(part["q"].to_numpy()).astype(np.float64) @ x.T
+                for q, s in zip(part["query"], scores, strict=True):
+                    order = np.lexsort((ids, -s))[: k + 1]
+                    out += [(q, int(ids[j]), float(s[j])) for j in order if ids[j] != q]
+        return pd.DataFrame(out, columns=["query", "vec_id", "cosine"]).astype({"query": "int64", "vec_id": "int64", "cosine": "float64"})
+
+    found = rows.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(lambda a, b: nearest(a, b), "query long, vec_id long, cosine double")
+    order = Window.partitionBy("query").orderBy(F.desc("cosine"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def density(vectors: DataFrame, k: int = 10, eps: float = 0.35, least: int = 5, blocks: int | None = None, rounds: int = 30) -> DataFrame:
+    """vec_id, cluster (its smallest vec_id, -1 for noise) and membership of each unit vector.
+
+    The core distance is the cosine distance to the k-th neighbour.  Neighbours whose mutual
+    reachability (the largest of both core distances and their distance) is at most eps are
+    linked; the connected components of at least ``least`` vectors are the clusters.
+    Membership is one minus the core distance over the cluster's largest.
+    """
+    spark = vectors.sparkSession
+    if blocks is None:
+        blocks = max(1, -(-vectors.count() // 20_000))
+    # checkpoints outlive lost executors; without a folder for them the rows are only cached
+    shared = spark.sparkContext.getCheckpointDir()
+    cut = lambda df: df.checkpoint() if shared else df.persist()
+    near = cut(neighbours(vectors, k, blocks).withColumn("d", 1 - F.col("cosine")))
+    core = near.groupBy("query").agg(F.max("d").alias("core"))
+    edges = near.join(core.toDF("query", "core_a"), "query").join(core.toDF("vec_id", "core_b"), "vec_id").where(F.greatest("d", "core_a", "core_b") <= eps).select(F.col("query").alias("a"), F.col("vec_id").alias("b"))
+    edges = edges.union(edges.select("b", "a")).distinct()
+    edges = cut(edges)
+    labels = vectors.select(F.col("vec_id").alias("a"), F.col("vec_id").alias("label"))
+    for _ in range(rounds):  # the smallest label near by, then the label of the label
+        lowest = edges.join(labels.toDF("b", "other"), "b").groupBy("a").agg(F.min("other").alias("other"))
+        new = labels.join(lowest, "a", "left").select("a", F.least("label", F.coalesce("other", "label")).alias("label"))
+        jump = new.toDF("label", "further")
+        new = new.join(jump, "label").select("a", F.least("label", "further").alias("label"))
+        new = cut(new)
+        changed = new.join(labels.toDF("a", "before"), "a").where("label <> before").limit(1).count()
+        labels = new
+        if not changed:
+            break
+    of = Window.partitionBy("label")
+    rows = labels.join(core.withColumnRenamed("query", "a"), "a", "left").withColumn("size", F.count("*").over(of)).withColumn("_max", F.max("core").over(of))
+    member = F.when(F.col("size") >= least, F.coalesce(F.when(F.col("_max") > 0, 1 - F.col("core") / F.col("_max")), F.lit(1.0))).otherwise(F.lit(0.0))
+    return rows.select(F.col("a").alias("vec_id"), F.when(F.col("size") >= least, F.col("label")).otherwise(F.lit(-1)).alias("cluster"), member.alias("membership"))

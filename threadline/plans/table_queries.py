@@ -190,6 +190,10 @@ def separation(spark, sf_dir):
     return cl.separation(table(spark, sf_dir, "embeddings"), "label")
 
 
+def density_clusters(spark, sf_dir):
+    return cl.density(table(spark, sf_dir, "embeddings"), k=5, eps=0.75)
+
+
 def _clustered(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", F.when(F.col("vec_id") % 11 != 0, F.col("vec_id") % 7).alias("cluster"), F.concat(F.lit("t"), (F.col("label") % 4).cast("string")).alias("topic"), F.concat(F.lit("s"), F.col("label").cast("string")).alias("sub_topic"))
@@ -315,7 +319,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         responses, rejects, one_owner, orphans, upserted, inserted, relabelled, foreign_keys, taxonomy_freshness, taxonomy_nested, taxonomy_conflicts, taxonomy_admitted, pool_topics, remapped,
-        closest_names, template_matches, user_signals, signal_totals, cohesion, separation, majority_labels, cluster_agreement, topic_rates, tier_shares, cohort_lift, user_features, funnel, snapshots,
+        closest_names, template_matches, user_signals, signal_totals, cohesion, separation, density_clusters, majority_labels, cluster_agreement, topic_rates, tier_shares, cohort_lift, user_features, funnel, snapshots,
         daily_failures, dormancy, escalations, chat_sizes, latest_segments, topic_distribution, quality_metrics, field_profile,
     )
 }
