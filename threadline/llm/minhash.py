@@ -213,7 +213,7 @@ def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     return stored(components(parts.where("node <> component").toDF("a", "b").union(links)), "parts")
 
 
-def groups(docs: DataFrame, percent: int = 75, rounds: int = 6) -> DataFrame:
+def groups(docs: DataFrame, percent: int = 75, rounds: int = 3) -> DataFrame:
     """doc_id, h (hash of the text), n_shingles, component_id and kept of every row of docs (doc_id, text)."""
     signed = signatures(docs)
     has = signed.where("n > 0")
