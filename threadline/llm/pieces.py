@@ -23,6 +23,7 @@ stands for a blank decodes to a blank; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -36,9 +37,10 @@ _LATTICES: dict[str, Lattices] = {}
 
 
 class Lattices:
-    """Word lattices of a vocabulary file, one per worker process; lately seen words are remembered."""
+    """A vocabulary as an Aho-Corasick automaton of its pieces, one per worker process."""
 
-    def __init__(self, path: str, limit: int = 60_000):
+    def __init__(self, path: str):
+        import ahocorasick
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -50,12 +52,17 @@ class Lattices:
         # most frequent first: the score of a merge falls with its order
         logs = {i: -np.log(r + 3.0) for r, i in enumerate(sorted(plain, key=lambda i: -self.model.get_score(i)))}
         total = np.log(sum(np.exp(x) for x in logs.values()))
-        self.piece = {names[i]: (i, float(x - total)) for i, x in logs.items()}
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for n_th, i in enumerate(logs):
+            self.automaton.add_word(names[i], n_th)
+        self.automaton.make_automaton()
+        self.ids = np.fromiter(logs, np.int64, len(logs))
+        self.logs = np.fromiter(logs.values(), np.float64, len(logs)) - total
+        self.sizes = np.fromiter((len(names[i]) for i in logs), np.int64, len(logs))
         self.byte = [self.model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.of_byte = {i: b for b, i in enumerate(self.byte)}
         self.byte_log = float(-np.log(n + 3.0) - total)
-        self.longest = max(map(len, self.piece))
         self.surface = names
-        self.limit, self.known = limit, {}
 
     @staticmethod
     def of(path: str) -> Lattices:
@@ -63,42 +70,12 @@ class Lattices:
             _LATTICES[path] = Lattices(path)
         return _LATTICES[path]
 
-    def word(self, unit: str):
-        """Edges by source position: (number per position and 0 for the end, targets, ids, probabilities); id -1 is a character as bytes."""
-        found = self.known.get(unit)
-        if found is None:
-            n, piece = len(unit), self.piece
-            beta = [0.0] * (n + 1)
-            edges: list[list] = [[] for _ in range(n)]
-            for i in range(n - 1, -1, -1):
-                out = []
-                for j in range(i + 1, min(n, i + self.longest) + 1):
-                    hit = piece.get(unit[i:j])
-                    if hit is not None:
-                        out.append((j, hit[0], hit[1] + beta[j]))
-                if not out or out[0][0] != i + 1:  # a character without a piece
-                    out.append((i + 1, -1, len(unit[i].encode()) * self.byte_log + beta[i + 1]))
-                top = max(x[2] for x in out)
-                beta[i] = top + float(np.log(sum(np.exp(x[2] - top) for x in out)))
-                edges[i] = [(j, e, float(np.exp(x - beta[i]))) for j, e, x in out]
-            flat = [x for some in edges for x in some]
-            found = (
-                np.array([len(x) for x in edges] + [0], np.int32),
-                np.array([x[0] for x in flat], np.int32),
-                np.array([x[1] for x in flat], np.int32),
-                np.array([x[2] for x in flat]),
-            )
-            if len(self.known) >= self.limit:
-                self.known = {}
-            self.known[unit] = found
-        return found
-
     def decode(self, ids) -> str:
         """The text of ids: pieces joined, byte pieces as UTF-8, the leading blank dropped."""
         out, held = [], bytearray()
         for i in ids:
-            if self.model.is_byte(int(i)):
-                held.append(self.byte.index(int(i)))
+            if int(i) in self.of_byte:
+                held.append(self.of_byte[int(i)])
                 continue
             if held:
                 out.append(held.decode(errors="replace"))
@@ -121,20 +98,49 @@ class Lattices:
 class Tables:
     """The lattices of a batch's distinct words as one set of arrays."""
 
+    GRID = 1 << 24  # probabilities are drawn on this grid, so that draws don't depend on the batch
+
     def __init__(self, lattices: Lattices, units: list[str]):
         self.place = {u: i for i, u in enumerate(units)}
-        words = [lattices.word(u) for u in units]
-        self.start = np.cumsum([0, *(len(w[0]) for w in words)])[:-1].astype(np.int64)
-        count = np.concatenate([w[0] for w in words]).astype(np.int64)
+        # nodes are the characters of all words and an end after each
+        joined = "\0".join(units) + "\0"
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        ends = np.cumsum(size + 1) - 1
+        self.start = ends - size
+        found = np.fromiter(itertools.chain.from_iterable(lattices.automaton.iter(joined)), np.int64).reshape(-1, 2)
+        last, piece = found[:, 0], found[:, 1]
+        source, target, ids, logs = last + 1 - lattices.sizes[piece], last + 1, lattices.ids[piece], lattices.logs[piece]
+        bare = np.ones(len(joined), dtype=bool)  # characters without a piece of their own
+        bare[source[target == source + 1]] = False
+        bare[ends] = False
+        odd = np.flatnonzero(bare)
+        code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")[odd]
+        n_bytes = 1 + (code >= 0x80) + (code >= 0x800).astype(np.int64) + (code >= 0x10000)
+        source, target = np.concatenate([source, odd]), np.concatenate([target, odd + 1])
+        ids, logs = np.concatenate([ids, np.full(len(odd), -1)]), np.concatenate([logs, n_bytes * lattices.byte_log])
+        # backward sums, all nodes at the same distance from their word's end at once
+        left = ends[np.searchsorted(ends, source)] - source
+        order = np.lexsort((target, source, left))
+        source, target, ids, logs, left = source[order], target[order], ids[order], logs[order], left[order]
+        beta = np.zeros(len(joined))
+        bounds = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1], [True]])) if len(left) else []
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            x = logs[a:b] + beta[target[a:b]]
+            begin = np.flatnonzero(np.concatenate([[True], source[a + 1 : b] != source[a : b - 1]]))
+            each = np.diff(np.append(begin, b - a))
+            top = np.maximum.reduceat(x, begin)
+            beta[source[a:b][begin]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, each)), begin))
+        order = np.lexsort((target, source))
+        self.owner, self.target, self.ids = source[order], target[order], ids[order]
+        self.prob = np.exp(logs[order] + beta[self.target] - beta[self.owner])
+        count = np.bincount(self.owner, minlength=len(joined))
         self.first = np.concatenate([[0], np.cumsum(count)])
-        self.target = np.concatenate([w[1] + s for w, s in zip(words, self.start, strict=True)])
-        self.ids, self.prob = np.concatenate([w[2] for w in words]).astype(np.int64), np.concatenate([w[3] for w in words])
-        run = np.cumsum(self.prob)
-        before = np.concatenate([[0.0], run])[self.first[:-1]]
-        self.owner = owner = np.repeat(np.arange(len(count)), count)
-        # cumulative probability within each node, after the node's number: one sorted array
-        self.upto = owner + np.minimum(run - before[owner], 1.0)
         self.final = count == 0
+        run = np.cumsum((self.prob * self.GRID).astype(np.int64))
+        before = np.concatenate([[0], run])[self.first[:-1]]
+        # cumulative probability within each node, after the node's number: one sorted array
+        self.upto = self.owner * self.GRID + run - before[self.owner]
+        self.upto[self.first[1:][~self.final] - 1] = (np.flatnonzero(~self.final) + 1) * self.GRID
 
     def source(self, edges: np.ndarray) -> np.ndarray:
         """The node that each edge leaves."""
@@ -145,8 +151,7 @@ class Tables:
         paths, edges, active = [], [], np.flatnonzero(~self.final[nodes])
         nodes = nodes[active]
         while len(active):
-            e = np.searchsorted(self.upto, nodes + rng.random(len(nodes)), side="right")
-            e = np.minimum(np.maximum(e, self.first[nodes]), self.first[nodes + 1] - 1)
+            e = np.searchsorted(self.upto, nodes * self.GRID + rng.integers(0, self.GRID, len(nodes)), side="right")
             paths.append(active)
             edges.append(e)
             nodes = self.target[e]
