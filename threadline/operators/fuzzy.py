@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,26 +32,146 @@ def ratio_upper_bound(a, b):
     return 2 * F.least(F.length(a), F.length(b)) / (F.length(a) + F.length(b))
 
 
-def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0.75) -> DataFrame:
-    """For each distinct automated text its best template by similarity ratio, if it reaches ``least``.
+#: Length of the grams, and bits of their buckets: few for products of whole tables, many for single pairs.
+GRAM, COARSE, FINE = 4, 13, 20
+
+
+def _features(text: str) -> np.ndarray:
+    """Buckets of the character 4-grams of a text, each with its occurrence number, so that shared ones count as in multisets."""
+    x = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+    n = max(0, len(x) - GRAM + 1)
+    h = np.zeros(n, np.uint64)
+    for i in range(GRAM):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + x[i : i + n] + np.uint64(1)
+    h.sort()
+    at = np.arange(n)
+    first = np.maximum.accumulate(np.where(np.r_[True, h[1:] != h[:-1]], at, 0)) if n else at
+    return (((h + (at - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - FINE)).astype(np.int64)
+
+
+def _dense(features: list) -> np.ndarray:
+    return np.stack([np.bincount(f >> (FINE - COARSE), minlength=1 << COARSE).astype(np.float32) for f in features])
+
+
+def _most_blocks(template: str) -> float:
+    """Matching blocks that difflib can find with this second text: from 200 characters on a block
+    holds a character that is not popular there, except one at the start of both texts."""
+    if len(template) < 200:
+        return np.inf
+    return 1 + sum(n for n in Counter(template).values() if n <= len(template) // 100 + 1)
+
+
+def _common(texts: list[str]):
+    """A function that gives the lengths of the longest common subsequences of a text with all of texts (bit-parallel, all at once)."""
+    rooms = [len(t) // 8 + 1 for t in texts]  # bytes; at least one clear bit takes the carry
+    starts = 8 * np.r_[0, np.cumsum(rooms)].astype(np.int64)
+    chars = np.zeros(starts[-1], "<u4")
+    for t, at in zip(texts, starts, strict=False):
+        chars[at : at + len(t)] = np.frombuffer(t.encode("utf-32-le"), "<u4") + 1
+    pack = lambda bits: int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    every, masks, lengths = pack(chars > 0), {}, np.array([len(t) for t in texts])
 
-    Pairs are joined on length bands that can reach the ratio; only survivors of the
-    length and character bounds are compared in an Arrow function.
+    def of(text: str) -> np.ndarray:
+        v = every
+        for c in text:
+            if (m := masks.get(c)) is None:
+                m = masks[c] = pack(chars == ord(c) + 1)
+            u = v & m
+            if u:
+                v = ((v + u) | (v - u)) & every
+        ones = np.unpackbits(np.frombuffer(v.to_bytes(int(starts[-1]) // 8, "little"), np.uint8), bitorder="little")
+        return lengths - np.add.reduceat(ones, starts[:-1], dtype=np.int64)
+
+    return of
+
+
+def best_matches(messages: list[str], templates: list[tuple], least: float) -> dict:
+    """{place of a message: (ratio, template_id)} of the best pairs that reach ``least``, by exact ratios 2M/T of whole texts.
+
+    A pair is left out only where 2M/T can't reach ``least``: M needs ``need`` characters in at most
+    ``blocks`` blocks, a block of m characters shares m - 3 of its 4-grams, and hashing only adds to the
+    shared ones.  Templates below 200 characters, whose blocks aren't bounded, are held against the
+    longest common subsequence.
     """
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
+    from difflib import SequenceMatcher
+
+    places = sorted((i for i, m in enumerate(messages)), key=lambda i: len(messages[i]))
+    sizes = np.array([len(messages[i]) for i in places])
+    features, seen = {}, np.zeros(1 << FINE, bool)
+    best: dict = {}
+    low, high = least / (2 - least) - 1e-9, (2 - least) / least + 1e-9
+    for short in (True, False):
+        some = sorted((t for t in templates if (len(t[1]) < 200) == short), key=lambda t: len(t[1]))
+        for c in range(0, len(some), 1000):
+            part = some[c : c + 1000]
+            n = np.array([len(t) for _, t in part])
+            blocks = np.array([_most_blocks(t) for _, t in part])
+            common, own = (_common([t for _, t in part]), []) if short else (None, [_features(t) for _, t in part])
+            right = None if short else _dense(own)
+            a, z = np.searchsorted(sizes, low * n[0]), np.searchsorted(sizes, high * n[-1], "right")
+            pairs = []
+            for s in range(a, z, 500):
+                rows = np.arange(s, min(z, s + 500))
+                total = sizes[rows][:, None] + n[None, :]
+                need = np.ceil(least * total / 2 - 1e-9)
+                ok = np.minimum(sizes[rows][:, None], n[None, :]) >= need
+                if short:
+                    for k, row in enumerate(rows):
+                        if ok[k].any():
+                            ok[k] &= common(messages[places[row]]) >= need[k]
+                else:
+                    for row in rows:
+                        if row not in features:
+                            features[row] = _features(messages[places[row]])
+                    shared = _dense([features[row] for row in rows]) @ right.T
+                    enough = need - (GRAM - 1) * np.minimum(blocks[None, :], total - 2 * need + 1)
+                    ok &= shared >= enough - 0.5
+                    for k in np.nonzero(ok.any(axis=1))[0]:
+                        seen[features[rows[k]]] = True
+                        for j in np.nonzero(ok[k])[0]:
+                            ok[k, j] = np.count_nonzero(seen[own[j]]) >= enough[k, j]
+                        seen[features[rows[k]]] = False
+                pairs += [(j, rows[k]) for k, j in zip(*np.nonzero(ok), strict=True)]
+            matcher, now = SequenceMatcher(None), None
+            for j, row in sorted(pairs):
+                if j != now:  # the matcher keeps what it knows of its second text
+                    matcher.set_seq2(part[j][1])
+                    now = j
+                matcher.set_seq1(messages[places[row]])
+                enough = max(least, best[places[row]][0]) if places[row] in best else least
+                if matcher.real_quick_ratio() >= enough and matcher.quick_ratio() >= enough and (r := matcher.ratio()) >= least:
+                    new = (r, part[j][0])
+                    old = best.get(places[row])
+                    if old is None or (-new[0], new[1]) < (-old[0], old[1]):
+                        best[places[row]] = new
+    return best
 
-        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
+def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0.75, block: int = 8000) -> DataFrame:
+    """For each distinct automated text its best template by similarity ratio of the whole texts, if it reaches ``least``.
+
+    Texts meet in groups by length bands that can reach the ratio, split in blocks of about
+    ``block`` templates and three times as many messages; a group's task keeps one template per
+    message, so what is emitted grows with messages times blocks, not with pairs.
+    """
     texts = messages.where("type = 'automated' AND message <> ''").select("message").distinct()
+    known = templates.where("template <> ''").groupBy("template").agg(F.min("template_id").alias("template_id"))
+    n_t, n_m = (max(1, -(-df.count() // size)) for df, size in ((known, block), (texts, 3 * block)))
     # lengths that can reach the ratio differ by a factor of at most (2 - least) / least: neighbours on a log scale
-    step = F.log(F.lit((2 - least) / least))
+    step = F.log(F.lit((2 - least) / least)) + 1e-9
     band = lambda c: F.floor(F.log(F.length(c).cast("double")) / step)
-    left = texts.withColumn("band", F.explode(F.array(*[band("message") + d for d in (-1, 0, 1)])))
-    right = templates.where("template <> ''").select("template_id", "template", band("template").alias("band"))
-    pairs = left.join(right, "band").where(ratio_upper_bound("message", "template") >= least).drop("band")
-    shared = F.size(F.array_intersect(F.array_distinct(F.split("message", "")), F.array_distinct(F.split("template", ""))))
-    pairs = pairs.where(shared > 0).withColumn("ratio", ratio("message", "template")).where(F.col("ratio") >= least)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    side = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    left = texts.select("message", F.explode(F.array(*[band("message") + d for d in (-1, 0, 1)])).alias("band"), side("message", n_m).alias("m")).withColumn("t", every(n_t))
+    right = known.select("template_id", "template", band("template").alias("band"), side("template", n_t).alias("t")).withColumn("m", every(n_m))
+
+    def found(a, b):
+        best = best_matches(a["message"].tolist(), list(zip(b["template_id"].tolist(), b["template"].tolist(), strict=True)), least) if len(a) and len(b) else {}
+        rows = [(a["message"].iloc[i], t, r) for i, (r, t) in best.items()]
+        return pd.DataFrame(rows, columns=["message", "template_id", "ratio"])
+
+    keys = ["band", "m", "t"]
+    kind = templates.schema["template_id"].dataType.simpleString()
+    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(found, f"message string, template_id {kind}, ratio double")
     best = Window.partitionBy("message").orderBy(F.desc("ratio"), "template_id")
     return pairs.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("message", "template_id", "ratio")

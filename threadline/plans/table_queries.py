@@ -143,10 +143,8 @@ def closest_names(spark, sf_dir):
 
 
 def template_matches(spark, sf_dir):
-    t = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("template_id"), F.regexp_extract("text", r"^([^.]*)\.", 1).alias("template"))
-    t = t.groupBy("template").agg(F.min("template_id").alias("template_id"))
-    m = turns(spark, sf_dir).select("type", F.regexp_extract("message", r"^([^.]*)\.", 1).alias("message"))
-    return fz.template_matches(m, t)
+    t = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("template_id"), F.col("text").alias("template"))
+    return fz.template_matches(turns(spark, sf_dir).select("type", "message"), t)
 
 
 # --- signals -------------------------------------------------------------------------------
