@@ -36,22 +36,23 @@ SYLLABLES = {
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}][\p{L}\p{N}._+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
-    "iban": r"\b[A-Z]{2}\d{2}(?=[A-Z0-9]*\d)[A-Z0-9]{11,30}\b",
-    "key": r"(?:\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}+|\beyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++|(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])|(?<=\b(?:password|passwd|secret|api_key|token)=)[^\s\"',;&]{6,}+)",
-    "phone": r"(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d-])\(?\d{3}\)?[ .-]\d{3}-\d{4}(?![\d-]))",
-    "card": r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7})(?![\d])",
+    "iban": r"\b[A-Z]{2}\d{2}(?:(?=[A-Z0-9]*\d)[A-Z0-9]{11,30}| [A-Z0-9]{4}(?: (?=[A-Z]*\d)[A-Z0-9]{4}){1,6}(?: (?=[A-Z]*\d)[A-Z0-9]{1,3})?)\b",
+    "key": r"(?:\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}+|\beyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++|(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])|(?<=\b(?:password|passwd|secret|api_key|token)=)([^\s\"',;&]{6,}+))",
+    "phone": r"(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+(?=[1-9](?:[ .()-]{0,3}\d){7})\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d-])\(?\d{3}\)?[ .-]\d{3}-\d{4}(?![\d-])|(?<![\d.-])\d{3}\.\d{3}\.\d{4}(?![\d-]|\.\d))",
+    "card": r"(?<![\d.])(?:\d{13,19}|\d{4}(?<by>[ -])\d{4}\k<by>\d{4}\k<by>\d{1,7}|\d{4}(?<of>[ -])\d{6}\k<of>\d{4,5})(?![\d])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "name": rf"\b(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}[\p{{Ll}}]++(?:[ -]\p{{Lu}}[\p{{Ll}}]++)?",
 }
 ANY = "|".join(PATTERNS[k] for k in PATTERNS)
+#: The group of ANY that holds a secret after its name, and what comes before one.
+SECRET, NAMES = 1, ("secret=", "password=", "passwd=", "api_key=", "token=")
 DIGIT_KINDS = ("phone", "card", "ssn")
 
 
 def kind_of(surface: Column) -> Column:
     """The first pattern that covers the whole surface; a card needs its check digit and an issuer's first digit."""
-    # a secret after its name is known by what stands before it, which the surface lacks
-    out = F.when(~surface.rlike(r"^[\d -]+$"), F.lit("key"))
+    out = F.lit(None).cast("string")
     for kind, pattern in reversed(PATTERNS.items()):
         hit = surface.rlike(f"^(?:{pattern})$") if kind != "card" else surface.rlike(r"^[2-6][\d -]{11,}\d$") & F.call_function("luhn_check", F.regexp_replace(surface, "[ -]", ""))
         out = F.when(hit, F.lit(kind)).otherwise(out)
@@ -63,27 +64,40 @@ def norm_of(kind: Column, surface: Column) -> Column:
     return (
         F.when(kind.isin(*DIGIT_KINDS), F.regexp_replace(surface, r"\D", ""))
         .when(kind == "email", F.lower(surface))
+        .when(kind == "iban", F.replace(surface, F.lit(" "), F.lit("")))
         .otherwise(surface)
     )
 
 
-def entity(surface: Column) -> Column:
-    return let(kind_of(surface), lambda k: F.struct(k.alias("kind"), norm_of(k, surface).alias("norm"), surface.alias("surface")))
+def entity(match: Column) -> Column:
+    """A secret after its name is a key whatever its characters; other surfaces tell their kind."""
+    surface = match["surface"]
+    return let(F.when(match["secret"], F.lit("key")).otherwise(kind_of(surface)), lambda k: F.struct(k.alias("kind"), norm_of(k, surface).alias("norm"), surface.alias("surface")))
 
 
 def maybe(text: Column) -> Column:
     """Whether a text can hold an entity at all: a cheap test before the patterns.
 
-    Every entity has a digit, an at sign, a title or the name of a secret.
+    Every entity has a digit, an at sign, a title, the name of a secret or the beginning of a key.
     """
     out = text.rlike("[0-9@]")
-    for part in sorted({"secret=", "password=", "passwd=", "api_key=", "token=", "sk-", "eyJ", *(t[:2] if t[:2] in ("Mr", "Sr", "Mm") else t for t in MALE + FEMALE)}):
+    for part in sorted({*NAMES, "sk-", "eyJ", "AKIA", "ASIA", *(f"gh{c}_" for c in "pousr"), *(t[:2] if t[:2] in ("Mr", "Sr", "Mm") else t for t in MALE + FEMALE)}):
         out = out | text.contains(part)
     return out
 
 
 def found(text: Column) -> Column:
-    return F.when(maybe(text), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    """Array of (surface, secret) in text order; secret: the surface stands after a secret's name."""
+    matches = lambda group: F.regexp_extract_all(text, F.lit(ANY), F.lit(group))
+    named = F.lit(False)
+    for name in NAMES:
+        named = named | text.contains(name)
+    pair = lambda surface, secret: F.struct(surface.alias("surface"), secret.alias("secret"))
+    return (
+        F.when(maybe(text) & named, F.zip_with(matches(0), matches(SECRET), lambda m, g: pair(m, g != "")))
+        .when(maybe(text), F.transform(matches(0), lambda m: pair(m, F.lit(False))))
+        .otherwise(F.array().cast("array<struct<surface:string,secret:boolean>>"))
+    )
 
 
 def _nibble(hashed: Column, i: Column) -> Column:
@@ -154,6 +168,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
             .when(kind == "card", F.concat(payload, _check_digit(payload)))
             .when(kind == "ip", F.array_join(F.transform(F.array(*map(F.lit, (1, 3, 5, 7))), lambda i: (F.conv(F.substring(h, i, F.lit(2)), 16, 10).cast("int") % 254 + 1).cast("string")), "."))
             .when(kind == "ssn", F.concat(F.lit("9"), F.substring(digits, 2, 8)))
+            .when((kind == "key") & norm.rlike("^[0-9]+$"), F.array_join(F.transform(F.split(norm, ""), lambda c, i: (_nibble(h, i) % 10).cast("string")), ""))
             .when((kind == "key") & norm.rlike("^[0-9a-f]+$"), _hex(norm, h))
             .when((kind == "key") & norm.rlike("^[0-9A-F]+$"), F.upper(_hex(norm, h)))
             .when(kind == "key", let(F.regexp_extract(norm, "^(AKIA|ASIA|gh[pousr]_|sk-|eyJ)?(.*)$", 2), lambda r: F.concat(F.substring(norm, F.lit(1), n - F.length(r)), _cased(r, _letters(r, h)))))
@@ -173,7 +188,7 @@ def rendered(kind: Column, surface: Column, value: Column) -> Column:
     """The surrogate in the layout of this surface."""
 
     def step(acc, c):
-        digit = c.rlike(r"\d")
+        digit = F.when(kind == "iban", c != " ").otherwise(c.rlike(r"\d"))
         return F.struct(
             F.concat(acc["out"], F.when(digit, F.substring(value, acc["n"] + 1, F.lit(1))).otherwise(c)).alias("out"),
             (acc["n"] + F.when(digit, 1).otherwise(0)).alias("n"),
@@ -181,7 +196,7 @@ def rendered(kind: Column, surface: Column, value: Column) -> Column:
 
     laid = F.aggregate(F.split(surface, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("n")), step, lambda a: a["out"])
     return (
-        F.when(kind.isin(*DIGIT_KINDS), laid)
+        F.when(kind.isin(*DIGIT_KINDS, "iban"), laid)
         .when((kind == "email") & (F.length(surface) == F.length(value)), _cased(surface, value))
         .otherwise(value)
     )
