@@ -148,6 +148,13 @@ def test_pii_kinds(spark):
     assert [e.kind for e in got[101].pii] == ["key", "key"] and "4111" not in got[101].text
 
 
+def test_pii_full_spaces(spark):
+    """More one-letter local parts at one domain than there are surrogates of one letter."""
+    many = spark.createDataFrame([(i, f"{chr(97 + i)}@x.org") for i in range(26)], "doc_id long, text string")
+    texts = {r.text for r in pii.replace(many).collect()}
+    assert len(texts) == 26 and not texts & {r.text for r in many.collect()}
+
+
 def test_quality(docs, spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(10)] + [(None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
     got = quality.judge(docs, labels).collect()

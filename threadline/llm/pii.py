@@ -134,12 +134,19 @@ def _check_digit(payload: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
-def _name(norm: Column, hashed: Column) -> Column:
+def _more(attempt: Column, hashed: Column, parts) -> Column:
+    """Nothing at first; from the fourth redraw on one more of 16 parts each time, so the space outgrows any corpus."""
+    again = F.sha2(hashed, 256)
+    each = F.transform(F.sequence(F.lit(0), F.least(attempt - 4, F.lit(63))), lambda i: F.element_at(F.array(*map(F.lit, parts)), _nibble(again, i) + 1))
+    return F.when(attempt > 3, F.array_join(each, "")).otherwise(F.lit(""))
+
+
+def _name(norm: Column, hashed: Column, attempt: Column) -> Column:
     def pick(values, i):
         return F.element_at(F.array(*map(F.lit, values)), _nibble(hashed, F.lit(i)) + 1)
 
     def full(script):
-        last = F.initcap(F.concat(*[pick(SYLLABLES[script], i) for i in (1, 2, 3, 4)]))
+        last = F.initcap(F.concat(*[pick(SYLLABLES[script], i) for i in (1, 2, 3, 4)], _more(attempt, hashed, SYLLABLES[script])))
         first = F.when(male, pick(GIVEN[script, "m"], 0)).otherwise(pick(GIVEN[script, "f"], 0))
         return F.when(F.size(F.split(norm, "[ -]")) > 2, F.concat(first, F.lit(" "), last)).otherwise(last)
 
@@ -161,19 +168,20 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
         payload = F.concat(F.substring(norm, 1, 1), F.substring(digits, F.lit(2), n - 2))
         local, domain = F.regexp_extract(norm, "^(.*)@", 1), F.regexp_extract(norm, r"@(.*)\.[^.]*$", 1)
         h_domain = hashed(F.lit("domain"), domain)
+        more = lambda h: _more(attempt, h, "bcdfghjkmnprstvz")
         return (
-            F.when(kind == "email", F.concat(_letters(local, h), F.lit("@"), _letters(domain, h_domain), F.regexp_extract(norm, r"(\.[^.]*)$", 1)))
+            F.when(kind == "email", F.concat(_letters(local, h), more(h), F.lit("@"), _letters(domain, h_domain), F.regexp_extract(norm, r"(\.[^.]*)$", 1)))
             # a phone keeps what stands before its last ten digits
             .when(kind == "phone", F.concat(F.substring(norm, F.lit(1), F.greatest(n - 10, F.lit(0))), F.substring(digits, F.lit(1), F.least(n, F.lit(10)))))
             .when(kind == "card", F.concat(payload, _check_digit(payload)))
             .when(kind == "ip", F.array_join(F.transform(F.array(*map(F.lit, (1, 3, 5, 7))), lambda i: (F.conv(F.substring(h, i, F.lit(2)), 16, 10).cast("int") % 254 + 1).cast("string")), "."))
             .when(kind == "ssn", F.concat(F.lit("9"), F.substring(digits, 2, 8)))
-            .when((kind == "key") & norm.rlike("^[0-9]+$"), F.array_join(F.transform(F.split(norm, ""), lambda c, i: (_nibble(h, i) % 10).cast("string")), ""))
-            .when((kind == "key") & norm.rlike("^[0-9a-f]+$"), _hex(norm, h))
-            .when((kind == "key") & norm.rlike("^[0-9A-F]+$"), F.upper(_hex(norm, h)))
-            .when(kind == "key", let(F.regexp_extract(norm, "^(AKIA|ASIA|gh[pousr]_|sk-|eyJ)?(.*)$", 2), lambda r: F.concat(F.substring(norm, F.lit(1), n - F.length(r)), _cased(r, _letters(r, h)))))
+            .when((kind == "key") & norm.rlike("^[0-9]+$"), F.concat(F.array_join(F.transform(F.split(norm, ""), lambda c, i: (_nibble(h, i) % 10).cast("string")), ""), more(h)))
+            .when((kind == "key") & norm.rlike("^[0-9a-f]+$"), F.concat(_hex(norm, h), more(h)))
+            .when((kind == "key") & norm.rlike("^[0-9A-F]+$"), F.concat(F.upper(_hex(norm, h)), more(h)))
+            .when(kind == "key", let(F.regexp_extract(norm, "^(AKIA|ASIA|gh[pousr]_|sk-|eyJ)?(.*)$", 2), lambda r: F.concat(F.substring(norm, F.lit(1), n - F.length(r)), _cased(r, _letters(r, h)), more(h))))
             .when(kind == "iban", F.concat(F.substring(norm, 1, 2), F.upper(_letters(F.substring(norm, F.lit(3), n), h))))
-            .otherwise(_name(norm, h))
+            .otherwise(_name(norm, h, attempt))
         )
 
     return let(hashed(kind, norm, attempt.cast("string")), build)
@@ -202,24 +210,31 @@ def rendered(kind: Column, surface: Column, value: Column) -> Column:
     )
 
 
-def assigned(entities: DataFrame, key: str, rounds: int = 32) -> DataFrame:
+def assigned(entities: DataFrame, key: str, stuck: int = 32) -> DataFrame:
     """(kind, norm, attempt) of the distinct entities whose first candidate collided.
 
     A candidate loses if a smaller norm of its kind has the same one or if it is
-    itself an entity of the corpus; losers draw again until none is left.
+    itself an entity of the corpus; losers draw again until none is left.  The
+    space of e-mails, keys and names grows with the attempt, so that ends; the
+    other kinds have fixed layouts, and ``stuck`` rounds without fewer losers
+    mean that one of them is full.
     """
     now = entities.select("kind", "norm", F.lit(0).alias("attempt"))
-    for _ in range(rounds):
+    least, since = None, 0
+    while True:
         drawn = stored(now.withColumn("value", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "surrogates")
         # an earlier attempt keeps its value before a later one takes it
         first = drawn.groupBy("kind", "value").agg(F.min(F.struct("attempt", "norm")).alias("first"), F.count("*").alias("n")).where("n > 1")
         lost = drawn.join(first, ["kind", "value"]).where((F.col("first.norm") != F.col("norm"))).select("kind", "norm")
         real = drawn.join(entities.select("kind", F.col("norm").alias("value")), ["kind", "value"]).select("kind", "norm")
         losers = stored(lost.union(real).distinct().withColumn("lost", F.lit(1)), "losers")
-        if losers.isEmpty():
+        n = losers.count()
+        if n == 0:
             return drawn.where("attempt > 0").select("kind", "norm", "attempt")
         now = drawn.join(losers, ["kind", "norm"], "left").select("kind", "norm", (F.col("attempt") + F.coalesce("lost", F.lit(0))).alias("attempt"))
-    raise ValueError(f"surrogates still collide after {rounds} rounds")
+        least, since = (n, 0) if least is None or n < least else (least, since + 1)
+        if since >= stuck:
+            raise ValueError(f"{n} entities find no free surrogate in their layout")
 
 
 def replace(docs: DataFrame, key: str = "threadline", small: int = 2000) -> DataFrame:
