@@ -214,3 +214,11 @@ def test_template_ratio_of_whole_texts(spark, tmp_path):
     rows = spark.createDataFrame([("automated", m) for m in messages], "type string, message string")
     again = fz.template_matches(rows, spark.createDataFrame(list(enumerate(templates)), "template_id long, template string"), block=3)
     assert {r.message: (r.template_id, r.ratio) for r in again.collect()} == want
+
+
+def test_density_of_a_long_chain(spark):
+    """A chain of neighbours in random order, with many local minima and a long diameter, is one cluster."""
+    n, step = 300, np.pi / 300
+    ids = np.random.default_rng(12).permutation(n).tolist()
+    df = spark.createDataFrame([(i, [float(np.cos(j * step)), float(np.sin(j * step))]) for j, i in enumerate(ids)], "vec_id long, embedding array<double>")
+    assert {r.cluster for r in cl.density(df, k=2, eps=float(1 - np.cos(2.5 * step)), blocks=1).collect()} == {0}

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .components import components
+
 
 def sums(vectors: DataFrame, group: str) -> DataFrame:
     """Component sums per group, in long form: linear in the vectors, no self-join."""
@@ -73,7 +75,7 @@ def neighbours(vectors: DataFrame, k: int, blocks: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def density(vectors: DataFrame, k: int = 10, eps: float = 0.35, least: int = 5, blocks: int | None = None, rounds: int = 30) -> DataFrame:
+def density(vectors: DataFrame, k: int = 10, eps: float = 0.35, least: int = 5, blocks: int | None = None) -> DataFrame:
     """vec_id, cluster (its smallest vec_id, -1 for noise) and membership of each unit vector.
 
     The core distance is the cosine distance to the k-th neighbour.  Neighbours whose mutual
@@ -90,19 +92,8 @@ def density(vectors: DataFrame, k: int = 10, eps: float = 0.35, least: int = 5,
     near = cut(neighbours(vectors, k, blocks).withColumn("d", 1 - F.col("cosine")))
     core = near.groupBy("query").agg(F.max("d").alias("core"))
     edges = near.join(core.toDF("query", "core_a"), "query").join(core.toDF("vec_id", "core_b"), "vec_id").where(F.greatest("d", "core_a", "core_b") <= eps).select(F.col("query").alias("a"), F.col("vec_id").alias("b"))
-    edges = edges.union(edges.select("b", "a")).distinct()
-    edges = cut(edges)
-    labels = vectors.select(F.col("vec_id").alias("a"), F.col("vec_id").alias("label"))
-    for _ in range(rounds):  # the smallest label near by, then the label of the label
-        lowest = edges.join(labels.toDF("b", "other"), "b").groupBy("a").agg(F.min("other").alias("other"))
-        new = labels.join(lowest, "a", "left").select("a", F.least("label", F.coalesce("other", "label")).alias("label"))
-        jump = new.toDF("label", "further")
-        new = new.join(jump, "label").select("a", F.least("label", "further").alias("label"))
-        new = cut(new)
-        changed = new.join(labels.toDF("a", "before"), "a").where("label <> before").limit(1).count()
-        labels = new
-        if not changed:
-            break
+    found = components(edges, cut).toDF("a", "label")
+    labels = vectors.select(F.col("vec_id").alias("a")).join(found, "a", "left").withColumn("label", F.coalesce("label", "a"))
     of = Window.partitionBy("label")
     rows = labels.join(core.withColumnRenamed("query", "a"), "a", "left").withColumn("size", F.count("*").over(of)).withColumn("_max", F.max("core").over(of))
     member = F.when(F.col("size") >= least, F.coalesce(F.when(F.col("_max") > 0, 1 - F.col("core") / F.col("_max")), F.lit(1.0))).otherwise(F.lit(0.0))
