@@ -27,7 +27,7 @@ def _those(docs: DataFrame, judged: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    judged = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), pooled_too=False)
     return _those(docs, judged.where("kept")).drop("_k")
 
 

@@ -168,6 +168,21 @@ def test_quality(docs, spark):
     assert abs(t.a - 1000 * np.log(0.99)) < 1e-9 and abs(np.exp(t.b) - 0.0661) < 1e-3
 
 
+def test_quality_strata(spark):
+    """Every language gets cutoffs of its own, however many there are; a small one is not judged by the others if so asked."""
+    ids = spark.range(510 * 140).withColumnRenamed("id", "doc_id")
+    zero = {r: F.lit(0).cast("long") for r in quality.RATIOS}
+    measured = ids.withColumns({"lang": (F.col("doc_id") % 510).cast("string"), "base_failed": F.lit(False), **zero})
+    cuts = quality.cutoffs(measured, ids.withColumn("quality", F.lit(1)), total_risk=0.5).collect()
+    assert len(cuts) == 511 and all(r[f"cut_{x}"] == quality.GRID[0] for r in cuts for x in quality.RATIOS)
+    # a language of 5 documents, all with many capitals, beside 3,000 without
+    plain = " ".join(f"w{chr(97 + i)}" for i in range(26))
+    docs = spark.createDataFrame([(i, f"{plain} x{i}", "en") for i in range(3000)] + [(3000 + i, f"{plain} x{i}".upper(), "xx") for i in range(5)], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    kept = {p: {r.lang: r["count"] for r in quality.judge(docs, labels, pooled_too=p).where("kept").groupBy("lang").count().collect()} for p in (True, False)}
+    assert kept == {True: {"en": 3000}, False: {"en": 3000, "xx": 5}}
+
+
 def test_warc(spark):
     page = "x" * 150
     rows = [(3, "u", page), (1, None, page), (2, "u", page), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", "é" * 60), (1, None, page), (None, "u", page)]

@@ -123,12 +123,10 @@ def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.aggregate(steps, F.struct(first.alias("term"), first.alias("total")), step, lambda a: a["total"])
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, total_risk: float = 0.05, delta: float = 0.05, max_strata: int = 500) -> DataFrame:
+def cutoffs(measured: DataFrame, labels: DataFrame, total_risk: float = 0.05, delta: float = 0.05) -> DataFrame:
     """One row per stratum (language, and ``*`` pooled) with the chosen cutoff of each ratio, null for none.
 
-    At most ``max_strata`` languages, those with most good labelled documents, get
-    their own cutoffs, so the table is small whatever the input; the others use
-    the pooled ones.
+    The table grows with the distinct languages of good labelled documents only.
     """
     risk = total_risk / len(RATIOS)
     good = measured.join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi").where(~F.col("base_failed"))
@@ -154,11 +152,10 @@ def cutoffs(measured: DataFrame, labels: DataFrame, total_risk: float = 0.05, de
             lambda a, i: a + F.coalesce(F.try_element_at("bands", i), F.lit(0)),
         ).alias("rejected"),
     )
-    strata = tested.groupBy("stratum").agg(F.max("n").alias("n")).orderBy(F.desc(F.col("stratum") == POOLED), F.desc("n"), "stratum").limit(max_strata + 1)
+    strata = tested.groupBy("stratum").agg(F.max("n").alias("n"))
     tests = strata.agg((F.count("*") * len(RATIOS) * len(GRID)).alias("tests"))
     valid = (
-        tested.join(strata.select("stratum"), "stratum")
-        .crossJoin(F.broadcast(tests))  # one row
+        tested.crossJoin(F.broadcast(tests))  # one row
         # when no more than the mean is rejected the sum is short; beyond it the test can't succeed
         .where(F.col("rejected") <= F.col("n") * risk)
         .where(log_binomial_cdf(F.col("rejected"), F.col("n"), risk) <= F.log(F.lit(delta)) - F.log(F.col("tests")))
@@ -170,16 +167,21 @@ def cutoffs(measured: DataFrame, labels: DataFrame, total_risk: float = 0.05, de
     )
 
 
-def judge(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Counts, ratios, base_failed and kept for every row of docs."""
+def judge(docs: DataFrame, labels: DataFrame, pooled_too: bool = True, **options) -> DataFrame:
+    """Counts, ratios, base_failed and kept for every row of docs.
+
+    Without ``pooled_too`` the ratios reject nothing in strata that have no cutoffs of
+    their own; with it (as in the SQL) the pooled ones apply there, whose risk is
+    certified for the mix of all languages only.
+    """
     measured = stored(ratios(base_counts(docs)), "quality")
     cuts = stored(cutoffs(measured, labels, **options), "cutoffs")
-    own = measured.join(F.broadcast(cuts.where(F.col("stratum") != POOLED)), F.col("lang") == F.col("stratum"), "left")
+    own = measured.join(cuts.where(F.col("stratum") != POOLED), F.col("lang") == F.col("stratum"), "left")
     pooled = cuts.where(F.col("stratum") == POOLED).select(F.struct(*[f"cut_{r}" for r in RATIOS]).alias("pooled"))
     has = F.col("stratum").isNotNull()
     both = own.join(F.broadcast(pooled), how="left")  # at most one row
     beyond = F.lit(False)
     for r in RATIOS:
-        cut = F.when(has, F.col(f"cut_{r}")).otherwise(F.col(f"pooled.cut_{r}"))
+        cut = F.when(has, F.col(f"cut_{r}")).otherwise(F.col(f"pooled.cut_{r}") if pooled_too else F.lit(None))
         beyond = beyond | F.coalesce(F.col(r) >= cut, F.lit(False))
     return both.select(*measured.columns, (~F.col("base_failed") & ~beyond).alias("kept"))
