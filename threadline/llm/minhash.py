@@ -6,12 +6,14 @@ a packed signature of their low BITS bits; candidates whose collision-corrected
 similarity, from bit counts, is far below the threshold are dropped, the others
 are confirmed on the full sets.
 
-A band bucket never emits all its pairs.  First each member meets the bucket's
-smallest one, which joins groups of near copies into components.  In large buckets
-that still hold several components each member then meets the likeliest member of
-another component, for as many rounds as that joins any.  At last all pairs across
-the components left in a bucket are compared, large buckets block by block, so that
-no link between components is lost.
+A band bucket never emits its pairs.  First each member meets the bucket's smallest
+one, which joins groups of near copies into components.  Buckets that still hold
+several components are then searched inside their tasks, large ones block by block:
+pairs of different components (each in the first band that they share) whose
+estimates pass are confirmed there on the full sets, the likeliest first, and only
+links that join two components of the block are given out, fewer than it has members.
+The first bands go before the others, so that what they join is not searched again.
+No link between components is lost.
 
 Defined results: null, empty or blank texts have an empty set and are linked with
 nothing; rows with the same doc_id are judged each by its own text, and a null
@@ -36,8 +38,10 @@ BITS = 4
 NIBBLES = 0x1111111111111111
 #: Estimates below this are dropped: at a similarity of 0.75 that is six deviations away.
 LEAST_ESTIMATE = 0.5
-#: Buckets of more classes than this are compared by numpy, in blocks of BLOCK classes.
-SMALL, BLOCK = 8, 1000
+#: A bucket's blocks hold about so many classes, and so many shingles, at most.
+BLOCK, BLOCK_SHINGLES = 1000, 2_000_000
+#: Bands searched before the others.
+FIRST_BANDS = 4
 
 _RNG = np.random.default_rng(20_240_601)
 _A = (_RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -129,9 +133,9 @@ def linked(inter: Column, a: Column, b: Column, percent: int) -> Column:
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cid, set) of the wanted classes, from the texts of their representatives."""
-    rep = classes.join(wanted, "cid").select("cid", F.col("rep").alias("doc_id"), "digest")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = rep.where("doc_id IS NOT NULL").join(texts, "doc_id").unionByName(rep.where("doc_id IS NULL").join(texts.where("doc_id IS NULL").drop("doc_id")).select("doc_id", "cid", "digest", "text"))
+    rep = classes.join(wanted, "cid").select("cid", F.col("rep").alias("_doc"), F.col("rep_h").alias("_h"), "digest")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+    known = rep.join(texts, F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_h") == F.col("h")))
 
     def run(frames):
         import pandas as pd
@@ -140,7 +144,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
             rows = []
             for cid, digest, t in zip(f["cid"], f["digest"], f["text"], strict=True):
                 found = shingles(t)
-                if xxhash.xxh3_128_digest(found.tobytes()) == bytes(digest):  # rows may share a doc_id
+                if xxhash.xxh3_128_digest(found.tobytes()) == bytes(digest):  # texts may share a hash
                     rows.append((cid, found.view(np.int64)))
             yield pd.DataFrame(rows, columns=["cid", "set"])
 
@@ -164,90 +168,149 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: i
     return stored(both.where(linked(inter, F.size("set_a"), F.size("set_b"), percent)).select("a", "b"), "links")
 
 
-def _across(members: DataFrame, percent: int, likeliest: bool) -> DataFrame:
-    """Candidate pairs (a, b) of different components in large buckets, compared block by block.
+class _Block:
+    """The members of two blocks i and j of a bucket (or of one, i = j), as arrays."""
 
-    Either all, or for each member the likeliest alone.
-    """
-    chance = 2.0**-BITS
+    def __init__(self, f, i: int, j: int):
+        self.cid, self.component, self.n, self.block = (f[c].to_numpy() for c in ("cid", "component", "n", "block"))
+        self.sig, self.before = np.vstack(f["sig"].to_numpy()).view(np.uint64), np.vstack(f["before"].to_numpy())
+        self.i, self.j = i, j
+
+    def candidates(self, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of members of different components, without an earlier band in common, whose estimates pass: (x, y, estimate)."""
+        chance = 2.0**-BITS
+        left, right = np.flatnonzero(self.block == self.i), np.flatnonzero(self.block == self.j)
+        out = []
+        for x in left:
+            y = right[right > x] if self.i == self.j else right
+            y = y[(self.component[y] != self.component[x]) & (100 * np.minimum(self.n[y], self.n[x]) >= percent * np.maximum(self.n[y], self.n[x]))]
+            if not len(y):
+                continue
+            z = self.sig[y] ^ self.sig[x]
+            z |= z >> np.uint64(1)
+            z |= z >> np.uint64(2)
+            same = 1 - np.bitwise_count(z & np.uint64(NIBBLES)).sum(axis=1, dtype=np.int64) / HASHES
+            near = (same - chance) / (1 - chance)
+            ok = near >= LEAST_ESTIMATE
+            y, near = y[ok], near[ok]
+            fresh = ~(self.before[y] == self.before[x]).any(axis=1)
+            if fresh.any():
+                out.append((np.full(int(fresh.sum()), x), y[fresh], near[fresh]))
+        return tuple(np.concatenate(a) for a in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+
+    def links(self, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+        """A spanning forest of the candidates that pass on their full sets, the likeliest tried first."""
+        parent = {int(c): int(c) for c in self.component}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        x, y, near = self.candidates(percent)
+        out = []
+        for k in np.argsort(-near, kind="stable").tolist():
+            a, b = int(x[k]), int(y[k])
+            u, v = root(int(self.component[a])), root(int(self.component[b]))
+            if u == v:
+                continue
+            inter = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if linked(inter, len(sets[a]), len(sets[b]), percent):
+                parent[u] = v
+                out.append((int(self.cid[a]), int(self.cid[b])))
+        return out
+
+
+def _by_block(rows: DataFrame, solve, schema: str) -> DataFrame:
+    """solve(frame of a (key, i, j), i, j) -> rows, for groups that follow one another in sorted partitions."""
+    keys = ["key", "i", "j"]
 
-    def compare(key, f):
+    def run(frames):
         import pandas as pd
 
-        i, j = int(key[1]), int(key[2])
-        sig = np.vstack(f["sig"].to_numpy()).view(np.uint64)
-        cid, comp, n, block = (f[c].to_numpy() for c in ("cid", "component", "n", "block"))
-        right = np.flatnonzero(block == j)
-        out = []
-        for x in np.flatnonzero(block == i):
-            y = right[(comp[right] != comp[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
-            if i == j and not likeliest:
-                y = y[cid[y] > cid[x]]
-            if len(y):
-                z = sig[y] ^ sig[x]
-                z |= z >> np.uint64(1)
-                z |= z >> np.uint64(2)
-                same = 1 - np.bitwise_count(z & np.uint64(NIBBLES)).sum(axis=1, dtype=np.int64) / HASHES
-                near = (same - chance) / (1 - chance) >= LEAST_ESTIMATE
-                if likeliest:
-                    near &= np.arange(len(y)) == np.lexsort((cid[y], -same))[0]
-                y = y[near]
-                out += [(min(cid[x], c), max(cid[x], c)) for c in cid[y]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    rows = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "component", "n", "sig")
-    return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
-
-
-def _mixed(buckets: DataFrame, parts: DataFrame, classes: DataFrame) -> DataFrame:
+        names = [c.split()[0] for c in schema.split(", ")]
+        held = []
+
+        def done(parts):
+            f = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0].reset_index(drop=True)
+            k = f[keys].to_numpy()
+            cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(f)]
+            return pd.DataFrame([r for a, b in zip(cuts, cuts[1:], strict=False) for r in solve(f.iloc[a:b], int(k[a, 1]), int(k[a, 2]))], columns=names)
+
+        for f in frames:
+            if not len(f):
+                continue
+            k = f[keys].to_numpy()
+            start = np.flatnonzero((k != k[-1]).any(axis=1))
+            cut = int(start[-1]) + 1 if len(start) else 0  # the last group may go on in the next frame
+            if held and (cut or (held[-1][keys].to_numpy()[-1] != k[-1]).any()):
+                yield done([*held, f.iloc[:cut]] if cut else held)
+                held = []
+            elif cut:
+                yield done([f.iloc[:cut]])
+            held.append(f.iloc[cut:])
+        if held:
+            yield done(held)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "cid").mapInPandas(run, schema)
+
+
+def _found_inside(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components of the same bucket, fewer in each block than it has members."""
+    spark = members.sparkSession
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = members.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).select("*", other)
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "component", "n", "sig", "before")
+    schema = "key long, i int, j int, block int, cid long, component long, n long, sig array<long>, before array<long>"
+
+    def touched(f, i, j):
+        if f["component"].nunique() > 1:
+            x, y, _ = _Block(f, i, j).candidates(percent)
+            some = f.iloc[np.union1d(x, y)]
+            yield from some.itertuples(index=False, name=None)
+
+    def solve(f, i, j):
+        yield from _Block(f, i, j).links([np.asarray(s) for s in f["set"]], percent)
+
+    with batch_rows(spark, 2000):
+        open_rows = stored(_by_block(rows, touched, schema), "open")
+    with batch_rows(spark, 500):
+        return stored(_by_block(open_rows.join(sets, "cid"), solve, "a long, b long").distinct(), "links")
+
+
+def _mixed(buckets: DataFrame, parts: DataFrame, classes: DataFrame, most_bands: int) -> DataFrame:
     """Members, with component and signature, of the buckets that hold several components."""
     owned = buckets.join(parts.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    mixed = owned.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    return owned.join(mixed, "key").join(classes.select("cid", "n", "sig"), "cid").select("key", "size", "cid", "component", "n", "sig")
+    blocks = F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    mixed = owned.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), blocks.alias("blocks")).where("lo <> hi").select("key", "blocks")
+    # bands before the bucket's own, filled up with what no two members share
+    before = F.transform(F.slice("bands", 1, most_bands), lambda x, k: F.when(k < F.col("band"), x).otherwise(F.col("cid")))
+    return owned.drop("n").join(mixed, "key").join(classes.select("cid", "n", "sig", "bands"), "cid").select("key", "blocks", "cid", "component", "n", "sig", before.alias("before"))
 
 
 def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     return stored(components(parts.where("node <> component").toDF("a", "b").union(links)), "parts")
 
 
-def groups(docs: DataFrame, percent: int = 75, rounds: int = 3) -> DataFrame:
+def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, h (hash of the text), n_shingles, component_id and kept of every row of docs (doc_id, text)."""
     signed = signatures(docs)
     has = signed.where("n > 0")
-    classes = has.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    classes = has.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("r"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    classes = classes.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.h").alias("rep_h"), "n", "sig", "bands")
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    buckets = classes.select("cid", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("cid").alias("hub")).where("size > 1")
+    buckets = classes.select("cid", "n", F.posexplode("bands").alias("band", "key"))
+    shared = buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("cid").alias("hub")).where("size > 1").drop("size")
     buckets = stored(buckets.join(shared, "key"), "buckets")
 
     sets = _sets(docs, classes, buckets.select("cid").distinct())
     seen = buckets.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     parts = stored(components(_confirmed(seen, classes, sets, percent)), "parts")
-    for _ in range(rounds):
-        large = _mixed(buckets.where(F.col("size") > SMALL), parts, classes)
-        likely = stored(_across(large, percent, True).distinct().join(seen, ["a", "b"], "left_anti"), "likely")
-        links = _confirmed(likely, classes, sets, percent)
-        if links.isEmpty():
-            break
-        parts, seen = _joined(parts, links), seen.union(likely)
-
-    owned = stored(_mixed(buckets, parts, classes), "mixed")
-    small = owned.where(F.col("size") <= SMALL)
-    left, right = (small.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "component", "n", "sig")]) for s in "ab")
-    near = (
-        left.join(right, "key")
-        .where("cid_a < cid_b AND component_a <> component_b")
-        .where(linked(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b"), percent))
-        .where(estimate(F.col("sig_a"), F.col("sig_b")) >= LEAST_ESTIMATE)
-        .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"))
-    )
-    rest = stored(near.union(_across(owned.where(F.col("size") > SMALL), percent, False)).distinct().join(seen, ["a", "b"], "left_anti"), "rest")
-    links = _confirmed(rest, classes, sets, percent)
-    if not links.isEmpty():
-        parts = _joined(parts, links)
+    for some, most in ((F.col("band") < FIRST_BANDS, FIRST_BANDS), (F.col("band") >= FIRST_BANDS, BANDS)):
+        links = _found_inside(_mixed(buckets.where(some), parts, classes, most), sets, percent)
+        if not links.isEmpty():
+            parts = _joined(parts, links)
 
     named = classes.select("digest", "rep", F.col("cid").alias("node")).join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
