@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .messages import DAY, HOUR, MINUTE, in_time
 
 
-def _chain(times, span: int):
-    """Greedy chain over sorted times: the first, then each that is more than span after the one taken last."""
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("taken"))
-    return F.aggregate(
-        times,
-        start,
-        lambda s, t: F.when(s["last"].isNull() | (t > s["last"] + span), F.struct(t.alias("last"), F.array_append(s["taken"], t).alias("taken"))).otherwise(s),
+def _starts(rows: DataFrame, keys: list[str], value: str, span: str, at_least: bool) -> DataFrame:
+    """keys and value of the chain over each group's values: the first, then each beyond ``span`` after the one taken last.
+
+    Beyond: at least span after it, or more than that.  A value beyond span after the one
+    before it is always taken, so a group falls into islands, and only within these the
+    chain is a fold.
+    """
+    beyond = (lambda a, b: a >= b) if at_least else (lambda a, b: a > b)
+    order = Window.partitionBy(*keys).orderBy(value)
+    step = F.col(value) - F.lag(value).over(order)
+    islands = rows.withColumn("_island", F.sum(F.when(~beyond(step, F.col(span)), 0).otherwise(1)).over(order))
+    none = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("taken"))
+    taken = F.aggregate(
+        F.array_sort("_values"),
+        none,
+        lambda s, t: F.when(s["last"].isNull() | beyond(t, s["last"] + F.col("_span")), F.struct(t.alias("last"), F.array_append(s["taken"], t).alias("taken"))).otherwise(s),
         lambda s: s["taken"],
     )
+    grouped = islands.groupBy(*keys, "_island").agg(F.max(span).alias("_span"), F.collect_set(value).alias("_values"))
+    return grouped.select(*keys, F.explode(taken).alias(value))
 
 
-def chunks(messages: DataFrame, gap: int = MINUTE, window: int = 3 * DAY, reply: int = HOUR) -> DataFrame:
-    """messages with chunk_no (from 1 within the chat), kind and anchor.
+def chunks(messages: DataFrame, gap: int = MINUTE, window: int = 3 * DAY, reply: int = HOUR, run: str | None = None) -> DataFrame:
+    """messages with chunk_no (from 1 within the chat) and kind.
 
     The first user row, and each more than ``window`` after the anchor before it, is an
     anchor.  A row belongs to its anchor's engaged chunk when it is at most ``window``
@@ -29,29 +40,34 @@ def chunks(messages: DataFrame, gap: int = MINUTE, window: int = 3 * DAY, reply:
     last such row.  All other rows are bot rows; a bot row opens a chunk when the row
     before it is engaged or more than ``gap`` earlier.  Rows without a time take that
     of the row before them by id.
+
+    With ``run`` several segmentations are made at once: messages then hold each row once
+    per value of that column, and gap and window may be columns that depend on it.
     """
-    before = Window.partitionBy("chat_id").orderBy("msg_id").rowsBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy("chat_id").orderBy(F.desc("msg_id")).rowsBetween(Window.unboundedPreceding, 0)
+    keys = ["chat_id", *([run] if run else [])]
+    here = lambda *more: Window.partitionBy(*keys, *more)
+    time = here().orderBy("at_us", "msg_id")
+    before = here().orderBy("msg_id").rowsBetween(Window.unboundedPreceding, 0)
+    after = here().orderBy(F.desc("msg_id")).rowsBetween(Window.unboundedPreceding, 0)
     known = F.coalesce("at_us", F.last("at_us", ignorenulls=True).over(before), F.last("at_us", ignorenulls=True).over(after), F.lit(0))
-    rows = messages.withColumn("at_us", known)
+    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    rows = messages.withColumn("at_us", known).withColumns({"_gap": as_column(gap), "_window": as_column(window)})
     user = F.col("type") == "user"
-    anchors = rows.where(user).groupBy("chat_id").agg(_chain(F.array_sort(F.collect_list("at_us")), window).alias("_anchors"))
-    of_time = Window.partitionBy("chat_id", "at_us", F.col("type") == "user").orderBy("msg_id")
-    rows = rows.join(anchors, "chat_id", "left")
-    rows = rows.withColumn("_anchors", F.coalesce(user & F.array_contains("_anchors", F.col("at_us")) & (F.row_number().over(of_time) == 1), F.lit(False))).withColumnRenamed("_anchors", "_opens")
-    anchor = F.last(F.when(F.col("_opens"), F.col("at_us")), ignorenulls=True).over(in_time())
-    rows = rows.withColumn("anchor", anchor)
-    rows = rows.withColumn("_in", F.coalesce(F.col("at_us") - F.col("anchor") <= window, F.lit(False)))
-    last_user = F.max(F.when(user & F.col("_in"), F.col("at_us"))).over(Window.partitionBy("chat_id", "anchor"))
-    rows = rows.withColumn("_last", last_user)
+    anchors = _starts(rows.where(user), keys, "at_us", "_window", False).withColumns({"_anchor": F.lit(True), "_user": F.lit(True)})
+    rows = rows.withColumn("_user", user).join(anchors, [*keys, "at_us", "_user"], "left")
+    of_time = here("at_us", "_user").orderBy("msg_id")
+    rows = rows.withColumn("_opens", F.col("_anchor").isNotNull() & (F.row_number().over(of_time) == 1))
+    rows = rows.withColumn("anchor", F.last(F.when(F.col("_opens"), F.col("at_us")), ignorenulls=True).over(time))
+    rows = rows.withColumn("_in", F.coalesce(F.col("at_us") - F.col("anchor") <= F.col("_window"), F.lit(False)))
+    rows = rows.withColumn("_last", F.max(F.when(user & F.col("_in"), F.col("at_us"))).over(here("anchor")))
     engaged = F.col("_in") & ((F.col("_last") == F.col("anchor")) | (F.col("at_us") <= F.col("_last")) | (F.col("at_us") - F.col("_last") <= reply))
     rows = rows.withColumn("_engaged", engaged)
-    prior, prior_at = F.lag("_engaged").over(in_time()), F.lag("at_us").over(in_time())
-    opens = F.when(F.col("_engaged"), F.col("_opens")).otherwise(prior.isNull() | prior | (F.col("at_us") - prior_at > gap))
+    prior, prior_at = F.lag("_engaged").over(time), F.lag("at_us").over(time)
+    opens = F.when(F.col("_engaged"), F.col("_opens")).otherwise(prior.isNull() | prior | (F.col("at_us") - prior_at > F.col("_gap")))
     rows = rows.withColumn("_new", opens.cast("long"))
     return rows.select(
         *messages.columns,
-        F.sum("_new").over(in_time()).alias("chunk_no"),
+        F.sum("_new").over(time).alias("chunk_no"),
         F.when(F.col("_engaged"), F.lit("user_engaged")).otherwise(F.lit("bot_only")).alias("kind"),
     )
 
@@ -71,17 +87,13 @@ def windows(messages: DataFrame, size: int) -> DataFrame:
     rows = messages.withColumn("pos", (F.row_number().over(in_time()) - 1).cast("long"))
     if size <= 0:
         return rows.withColumn("window_no", F.lit(0).cast("long"))
-    starts = rows.where("type = 'user'").groupBy("chat_id").agg(F.array_sort(F.collect_list("pos")).alias("_users"))
-    first = F.struct(F.lit(0).cast("bigint").alias("start"), F.array(F.lit(0).cast("bigint")).alias("starts"))
-    taken = F.aggregate(
-        F.coalesce("_users", F.array().cast("array<bigint>")),
-        first,
-        lambda s, p: F.when(p >= s["start"] + size, F.struct(p.alias("start"), F.array_append(s["starts"], p).alias("starts"))).otherwise(s),
-        lambda s: s["starts"],
-    )
-    rows = rows.join(starts.select("chat_id", taken.alias("_starts")), "chat_id", "left")
-    number = F.size(F.filter(F.coalesce("_starts", F.array(F.lit(0).cast("bigint"))), lambda s: s <= F.col("pos"))) - 1
-    return rows.select(*messages.columns, "pos", number.cast("long").alias("window_no"))
+    size_of = rows.where("type = 'user'").withColumn("_size", F.lit(size))
+    # the first window starts at row 0, as if a user row stood there
+    zero = rows.where("pos = 0 AND type <> 'user'").withColumn("_size", F.lit(size))
+    starts = _starts(size_of.unionByName(zero).select("chat_id", "pos", "_size"), ["chat_id"], "pos", "_size", True).withColumn("_start", F.lit(1))
+    numbered = rows.join(starts, ["chat_id", "pos"], "left")
+    number = F.count("_start").over(Window.partitionBy("chat_id").orderBy("pos")) - 1
+    return numbered.select(*messages.columns, "pos", number.cast("long").alias("window_no"))
 
 
 def histories(windowed: DataFrame) -> DataFrame:

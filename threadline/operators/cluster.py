@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from threadline.work import kept
+
 from .components import components
 
 
@@ -83,18 +85,63 @@ def density(vectors: DataFrame, k: int = 10, eps: float = 0.35, least: int = 5,
     linked; the connected components of at least ``least`` vectors are the clusters.
     Membership is one minus the core distance over the cluster's largest.
     """
-    spark = vectors.sparkSession
     if blocks is None:
         blocks = max(1, -(-vectors.count() // 20_000))
-    # checkpoints outlive lost executors; without a folder for them the rows are only cached
-    shared = spark.sparkContext.getCheckpointDir()
-    cut = lambda df: df.checkpoint() if shared else df.persist()
-    near = cut(neighbours(vectors, k, blocks).withColumn("d", 1 - F.col("cosine")))
+    near = kept(neighbours(vectors, k, blocks).withColumn("d", 1 - F.col("cosine")))
     core = near.groupBy("query").agg(F.max("d").alias("core"))
     edges = near.join(core.toDF("query", "core_a"), "query").join(core.toDF("vec_id", "core_b"), "vec_id").where(F.greatest("d", "core_a", "core_b") <= eps).select(F.col("query").alias("a"), F.col("vec_id").alias("b"))
-    found = components(edges, cut).toDF("a", "label")
+    found = components(edges, kept).toDF("a", "label")
     labels = vectors.select(F.col("vec_id").alias("a")).join(found, "a", "left").withColumn("label", F.coalesce("label", "a"))
     of = Window.partitionBy("label")
     rows = labels.join(core.withColumnRenamed("query", "a"), "a", "left").withColumn("size", F.count("*").over(of)).withColumn("_max", F.max("core").over(of))
     member = F.when(F.col("size") >= least, F.coalesce(F.when(F.col("_max") > 0, 1 - F.col("core") / F.col("_max")), F.lit(1.0))).otherwise(F.lit(0.0))
     return rows.select(F.col("a").alias("vec_id"), F.when(F.col("size") >= least, F.col("label")).otherwise(F.lit(-1)).alias("cluster"), member.alias("membership"))
+
+
+def own_distance(vectors: DataFrame, group: str) -> DataFrame:
+    """Mean cosine distance of unit vectors to their own group's centroid."""
+    s = sums(vectors, group)
+    norm = s.groupBy(group).agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("norm"))
+    n = vectors.groupBy(group).agg(F.count("*").alias("n"))
+    # the sum of the cosines is the norm of the sum
+    return n.join(norm, group).select(group, "n", (1 - F.col("norm") / F.col("n")).alias("distance"))
+
+
+def silhouette(vectors: DataFrame, group: str) -> DataFrame:
+    """Mean silhouette of unit vectors by cosine distance, from the groups' sums: linear in vectors times groups.
+
+    A vector's mean distance to a group is one less its product with the group's mean; groups are few,
+    so their sums go to every task while they are at most a thousand, else they are joined.
+    """
+    n = vectors.groupBy(group).agg(F.count("*").alias("n"))
+    each = sums(vectors, group).groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x["s"]).alias("sum")).join(n, group)
+    table = each.select(F.col(group).alias("_g"), "sum", "n")
+    if table.limit(1001).count() <= 1000:
+        table = F.broadcast(table)
+    dot = F.aggregate(F.zip_with(F.col("embedding").cast("array<double>"), "sum", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
+    rows = vectors.select("vec_id", group, "embedding").crossJoin(table).withColumn("dot", dot)
+    own = F.col("_g") == F.col(group)
+    # a vector is no neighbour of itself
+    far = F.when(own, F.when(F.col("n") > 1, 1 - (F.col("dot") - 1) / (F.col("n") - 1))).otherwise(1 - F.col("dot") / F.col("n"))
+    per = rows.withColumn("far", far).groupBy("vec_id", group).agg(F.max(F.when(own, F.col("far"))).alias("a"), F.min(F.when(~own, F.col("far"))).alias("b"))
+    value = F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return per.agg(F.count("*").alias("n"), F.avg(value).alias("silhouette"))
+
+
+def noise_summary(clustered: DataFrame) -> DataFrame:
+    """Share of noise (cluster -1), number of clusters, mean membership of what is in one."""
+    noise = F.col("cluster") == -1
+    return clustered.agg(F.count("*").alias("n"), F.avg(noise.cast("double")).alias("noise"), F.count_distinct(F.when(~noise, F.col("cluster"))).alias("clusters"), F.avg(F.when(~noise, F.col("membership"))).alias("membership"))
+
+
+def reduced(vectors: DataFrame, k: int = 10) -> DataFrame:
+    """vec_id and the first k principal components (the sign of each such that its largest weight is positive)."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    rows = vectors.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("_v"))
+    model = PCA(k=k, inputCol="_v", outputCol="_p").fit(rows)
+    weights = model.pc.toArray()
+    signs = [1.0 if w[abs(w).argmax()] > 0 else -1.0 for w in weights.T]
+    values = F.zip_with(vector_to_array("_p"), F.array(*map(F.lit, signs)), lambda a, b: a * b)
+    return model.transform(rows).select("vec_id", values.alias("components"))

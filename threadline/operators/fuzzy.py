@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 from pyspark.sql.window import Window
 
 
@@ -21,6 +22,62 @@ def closest_by_edits(names: DataFrame, known: DataFrame, least: float = 0.5) ->
     return pairs.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
 
 
+@F.pandas_udf(DoubleType())
+def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """2M/T of matching blocks, as difflib finds them (not symmetric)."""
+    from difflib import SequenceMatcher
+
+    matcher = SequenceMatcher(None)
+    out = []
+    for x, y in zip(a, b, strict=True):
+        matcher.set_seqs(x, y)
+        out.append(matcher.ratio())
+    return pd.Series(out, dtype="float64")
+
+
+def _shared_characters(a, b):
+    """Characters that two texts have in common, counted as in multisets."""
+    counts = lambda c: F.map_from_entries(F.transform(F.array_distinct(F.split(c, "")), lambda x: F.struct(x, F.length(c) - F.length(F.replace(c, x, F.lit(""))))))
+    return F.aggregate(F.map_entries(counts(a)), F.lit(0), lambda t, e: t + F.least(e["value"], F.coalesce(F.try_element_at(counts(b), e["key"]), F.lit(0))))
+
+
+def closest(names: DataFrame, known: DataFrame, least: float = 0.5) -> DataFrame:
+    """names (topic, sub_topic) with the closest known sub-topic of their topic by similarity ratio; ties go to the smaller slug.
+
+    Distinct slugs only; pairs are compared where their lengths and then their characters allow the ratio.
+    """
+    left, right = names.select("topic", "sub_topic").distinct(), known.select("topic", F.col("sub_topic").alias("known")).distinct()
+    pairs = left.join(right, "topic").where(ratio_upper_bound(F.col("sub_topic"), F.col("known")) >= least)
+    pairs = pairs.where(2 * _shared_characters(F.col("sub_topic"), F.col("known")) >= least * (F.length("sub_topic") + F.length("known")))
+    rated = pairs.withColumn("similarity", similarity_ratio(F.col("sub_topic"), F.col("known"))).where(F.col("similarity") >= least)
+    best = Window.partitionBy("topic", "sub_topic").orderBy(F.desc("similarity"), "known")
+    return rated.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
+
+
+def is_variant(a, b):
+    """One slug is the other with a prefix or suffix of whole tokens, or they share most tokens."""
+    ends = lambda x, y: x.startswith(F.concat(y, F.lit("_"))) | x.endswith(F.concat(F.lit("_"), y))
+    return ends(a, b) | b.startswith(F.concat(a, F.lit("_"))) | (token_overlap(a, b) >= 0.7)
+
+
+def validated(rows: DataFrame, known: DataFrame, truth: DataFrame) -> DataFrame:
+    """rows (user_id, topic, sub_topic) with ``valid`` and ``how``: known, kept, or mapped to the closest sub-topic.
+
+    It is mapped when it is a variant of the closest one, or shares two tokens with it and
+    the user's true labels (user_id, sub_topic) hold that one.
+    """
+    has = known.select("topic", "sub_topic").distinct().withColumn("_known", F.lit(True))
+    names = rows.select("topic", "sub_topic").distinct()
+    near = closest(names.join(has, ["topic", "sub_topic"], "left_anti"), known).select("topic", "sub_topic", F.col("known").alias("_near"))
+    true = truth.select("user_id", F.col("sub_topic").alias("_near")).distinct().withColumn("_true", F.lit(True))
+    joined = rows.join(has, ["topic", "sub_topic"], "left").join(near, ["topic", "sub_topic"], "left").join(true, ["user_id", "_near"], "left")
+    shared = F.size(F.array_intersect(F.array_distinct(F.split("sub_topic", "_")), F.array_distinct(F.split("_near", "_"))))
+    how = (
+        F.when(F.col("_known"), "known").when(F.col("_near").isNull(), "kept").when(is_variant(F.col("sub_topic"), F.col("_near")), "variant").when((shared >= 2) & F.col("_true"), "truth").otherwise("kept")
+    )
+    return joined.withColumn("how", how).withColumn("valid", F.when(F.col("how").isin("variant", "truth"), F.col("_near")).otherwise(F.col("sub_topic"))).select(*rows.columns, "valid", "how")
+
+
 def token_overlap(a, b):
     """Shared slug tokens over the smaller token set."""
     x, y = F.array_distinct(F.split(a, "_")), F.array_distinct(F.split(b, "_"))
@@ -147,16 +204,16 @@ def best_matches(messages: list[str], templates: list[tuple], least: float) -> d
     return best
 
 
-def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0.75, block: int = 8000) -> DataFrame:
+def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0.75, block: int = 1000) -> DataFrame:
     """For each distinct automated text its best template by similarity ratio of the whole texts, if it reaches ``least``.
 
     Texts meet in groups by length bands that can reach the ratio, split in blocks of about
-    ``block`` templates and three times as many messages; a group's task keeps one template per
+    ``block`` templates and a quarter as many messages; a group's task keeps one template per
     message, so what is emitted grows with messages times blocks, not with pairs.
     """
     texts = messages.where("type = 'automated' AND message <> ''").select("message").distinct()
     known = templates.where("template <> ''").groupBy("template").agg(F.min("template_id").alias("template_id"))
-    n_t, n_m = (max(1, -(-df.count() // size)) for df, size in ((known, block), (texts, 3 * block)))
+    n_t, n_m = (max(1, -(-df.count() // size)) for df, size in ((known, block), (texts, max(1, block // 4))))
     # lengths that can reach the ratio differ by a factor of at most (2 - least) / least: neighbours on a log scale
     step = F.log(F.lit((2 - least) / least)) + 1e-9
     band = lambda c: F.floor(F.log(F.length(c).cast("double")) / step)

@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from threadline.work import kept
+
+from .components import components
+
 #: Weight of message overlap in the combined score (the rest: overlap in time), and the least score.
 ALPHA, LEAST = 0.7, 0.3
 
@@ -65,44 +69,63 @@ def assign(score: np.ndarray) -> list[tuple[int, int]]:
     return [(b, a) if flip else (a, b) for a, b in pairs]
 
 
-def optimal(pairs: DataFrame, least: float = LEAST) -> DataFrame:
+def optimal(pairs: DataFrame, least: float = LEAST, most: int = 20_000) -> DataFrame:
     """One-to-one pairs of greatest total score per run and user.
 
     Where all partners of a segment have no other partner, the best of them is taken by a
-    window; only what is entangled beyond such stars is assigned exactly, per user.
+    window; only what is entangled beyond such stars is assigned exactly.  Entangled pairs
+    of a user are solved in one task when there are at most ``most``, else each connected
+    component by itself.
     """
     edges = pairs.where(F.col("score") >= least)
     by_gt, by_model = Window.partitionBy("run_id", "gt_id"), Window.partitionBy("run_id", "model_id")
     edges = edges.withColumn("_dg", F.count("*").over(by_gt)).withColumn("_dm", F.count("*").over(by_model))
     edges = edges.withColumn("_gt_star", F.max("_dm").over(by_gt) == 1).withColumn("_model_star", F.max("_dg").over(by_model) == 1)
+    edges = kept(edges)
     gt_star = edges.where("_gt_star").withColumn("_r", F.row_number().over(by_gt.orderBy(F.desc("score"), "model_id"))).where("_r = 1")
     model_star = edges.where("NOT _gt_star AND _model_star").withColumn("_r", F.row_number().over(by_model.orderBy(F.desc("score"), "gt_id"))).where("_r = 1")
-    rest = edges.where("NOT _gt_star AND NOT _model_star")
-    plain = pairs.columns
-
-    def solve(key, f):
-        # components inside one user's entangled edges, each assigned exactly
-        parent = {x: x for x in [*(("g", i) for i in f["gt_id"]), *(("m", i) for i in f["model_id"])]}
-
-        def root(x):
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        for g, m in zip(f["gt_id"], f["model_id"], strict=True):
-            parent[root(("g", g))] = root(("m", m))
-        f["_c"] = [root(("g", g)) for g in f["gt_id"]]
-        keep = []
-        for _, part in f.groupby("_c", sort=False):
-            gs, ms = sorted(part["gt_id"].unique()), sorted(part["model_id"].unique())
-            grid = part.pivot(index="gt_id", columns="model_id", values="score").reindex(index=gs, columns=ms).fillna(0.0).to_numpy()
-            keep += [(gs[i], ms[j]) for i, j in assign(grid) if grid[i, j] > 0]
-        chosen = set(keep)
-        return f[[(g, m) in chosen for g, m in zip(f["gt_id"], f["model_id"], strict=True)]][plain]
-
-    solved = rest.select(*plain).groupBy("run_id", "user_id").applyInPandas(lambda key, f: solve(key, f), pairs.select(*plain).schema)
-    return gt_star.select(*plain).unionByName(model_star.select(*plain)).unionByName(solved)
+    rest = edges.where("NOT _gt_star AND NOT _model_star").select(*pairs.columns)
+    of_user = rest.groupBy("run_id", "user_id").agg(F.count("*").alias("n"))
+    large = kept(of_user.where(F.col("n") > most).select("run_id", "user_id"))
+    small = rest.join(large, ["run_id", "user_id"], "left_anti").groupBy("run_id", "user_id")
+    solved = small.applyInPandas(lambda key, f: _solved(f), rest.schema)
+    if not large.isEmpty():
+        node = lambda kind: F.concat(F.col("run_id").cast("string"), F.lit(kind), F.col(f"{kind}_id").cast("string"))
+        more = rest.join(large, ["run_id", "user_id"], "left_semi").withColumn("a", node("gt"))
+        parts = components(more.select("a", node("model").alias("b")), kept)
+        named = more.join(parts.withColumnRenamed("node", "a"), "a").drop("a")
+        solved = solved.unionByName(named.groupBy("component").applyInPandas(lambda key, f: _solved(f.drop(columns="component")), rest.schema))
+    return gt_star.select(*pairs.columns).unionByName(model_star.select(*pairs.columns)).unionByName(solved)
+
+
+def _solved(f):
+    """The chosen rows of a frame of pairs: each connected component is assigned exactly."""
+    parent: dict = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    f = f.sort_values(["run_id", "gt_id", "model_id"]).reset_index(drop=True)
+    for r, g, m in zip(f["run_id"], f["gt_id"], f["model_id"], strict=True):
+        parent[root((r, "g", g))] = root((r, "m", m))
+    part_of = [root((r, "g", g)) for r, g in zip(f["run_id"], f["gt_id"], strict=True)]
+    rows: dict = {}
+    for i, c in enumerate(part_of):
+        rows.setdefault(c, []).append(i)
+    keep = []
+    for some in rows.values():
+        part = f.loc[some]
+        gs, ms = sorted(part["gt_id"].unique()), sorted(part["model_id"].unique())
+        grid, place = np.zeros((len(gs), len(ms))), {}
+        for i, g, m, score in zip(some, part["gt_id"], part["model_id"], part["score"], strict=True):
+            at = gs.index(g), ms.index(m)
+            grid[at], place[at] = score, i
+        keep += [place[at] for at in assign(grid) if at in place and grid[at] > 0]
+    return f.loc[sorted(keep)]
 
 
 def records(truth: DataFrame, model: DataFrame, pairs: DataFrame, chosen: DataFrame) -> DataFrame:

@@ -22,8 +22,8 @@ def timeline(messages: DataFrame) -> DataFrame:
 
 
 def first_of_each_id(messages: DataFrame) -> DataFrame:
-    """Of rows with the same id the earliest stays."""
-    order = Window.partitionBy("msg_id").orderBy(F.asc_nulls_last("at_us"))
+    """Of rows with the same id the earliest stays; of equal times the first by chat, type and text."""
+    order = Window.partitionBy("msg_id").orderBy(F.asc_nulls_last("at_us"), "chat_id", "type", "message")
     return messages.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
@@ -61,12 +61,12 @@ def without_near_copies(messages: DataFrame, span: int = 2 * SECOND) -> DataFram
     return messages.where(loose).unionByName(kept_alone).unionByName(kept_folded)
 
 
-def unanswered(messages: DataFrame) -> DataFrame:
-    """messages with ``unanswered``: a user row, no reaction, that no one answers before the next user row."""
+def unanswered(messages: DataFrame, run: str | None = None) -> DataFrame:
+    """messages with ``unanswered``: a user row, no reaction, that no one answers before the next user row (in the same run)."""
     from threadline.functions.text import is_reaction
 
     # the next row in time, read backwards: linear, unlike a frame that ends at the partition's end
-    later = Window.partitionBy("chat_id").orderBy(F.desc("at_us"), F.desc("msg_id")).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("chat_id", *([run] if run else [])).orderBy(F.desc("at_us"), F.desc("msg_id")).rowsBetween(Window.unboundedPreceding, -1)
     counts = F.col("type").isin(*TIMELINE_TYPES) | ((F.col("type") == "system") & (F.col("message") == NO_REPLY))
     following = F.last(F.when(counts, F.col("type")), ignorenulls=True).over(later)
     flag = (F.col("type") == "user") & ~F.coalesce(is_reaction(F.col("message")), F.lit(False)) & (following.isNull() | (following == "user"))

@@ -99,3 +99,9 @@ def leaderboard(scores: DataFrame, by=("unified_score", "sub_accuracy", "topic_a
     first, *others = by
     order = Window.partitionBy("group_id").orderBy(F.desc(F.coalesce(first, F.lit(-1.0))), *[F.desc_nulls_first(c) for c in others], "run_id")
     return scores.withColumn("rank", F.row_number().over(order))
+
+
+def report_order(scores: DataFrame) -> DataFrame:
+    """Rank within scope as the printed report has it: topic before sub-topic accuracy, missing scores last."""
+    order = Window.partitionBy("scope").orderBy(*[F.desc(F.coalesce(c, F.lit(-1.0))) for c in ("unified_score", "topic_accuracy", "sub_accuracy")], "run_id")
+    return scores.withColumn("rank", F.row_number().over(order))

@@ -42,3 +42,19 @@ def parsed(responses: DataFrame) -> DataFrame:
     sentiment = F.when(F.col("s.sentiment").isNotNull(), F.when(F.lower("s.sentiment").isin(*SENTIMENTS), F.lower("s.sentiment")).otherwise(F.lit("neutral")))
     good = each.select("window_id", "item_no", reason.alias("reason"), F.col("s.topic").alias("topic"), F.col("s.subTopic").alias("sub_topic"), F.col("s.summary").alias("summary"), "indices", confidence.alias("confidence"), sentiment.alias("sentiment"))
     return bad.unionByName(good)
+
+
+def count_value(text):
+    """A count as a whole number of at least 0; null for anything else."""
+    number = text.try_cast("double")
+    return F.when((number >= 0) & (number < 2_147_483_648), number.cast("int")).when(number < 0, F.lit(0))
+
+
+def template_labels(responses: DataFrame) -> DataFrame:
+    """topic, sub_topic and summary of each template's response (template_id, response), with ``reason`` where it is rejected."""
+    body = F.regexp_extract(F.regexp_replace("response", r"```(?:json)?", ""), r"(?s)\{.*\}", 0)
+    rows = responses.select("template_id", F.nullif(body, F.lit("")).alias("body")).withColumn("json", F.try_parse_json("body"))
+    get = lambda name: F.nullif(F.try_variant_get("json", f"$.{name}", "string"), F.lit(""))
+    rows = rows.select("template_id", "body", "json", get("topic").alias("topic"), get("subTopic").alias("sub_topic"), get("summary").alias("summary"))
+    reason = F.when(F.col("body").isNull(), "no object").when(F.col("json").isNull(), "bad JSON").when(F.col("topic").isNull() | F.col("sub_topic").isNull() | F.col("summary").isNull(), "missing field")
+    return rows.select("template_id", "topic", "sub_topic", "summary", reason.alias("reason"))

@@ -18,16 +18,20 @@ SCHEDULING = (
 )
 
 
-def bridge(chunked: DataFrame) -> DataFrame:
-    """One row per message of a segment, with its position in the chat."""
-    pos = F.row_number().over(Window.partitionBy("chat_id").orderBy("at_us", "msg_id")) - 1
+def bridge(chunked: DataFrame, run: str | None = None) -> DataFrame:
+    """One row per message of a segment, with its position in the chat (of the same run)."""
+    pos = F.row_number().over(Window.partitionBy("chat_id", *([run] if run else [])).orderBy("at_us", "msg_id")) - 1
     return chunked.withColumn("segment_id", F.col("chat_id") * SEGMENTS_PER_CHAT + F.col("chunk_no")).withColumn("pos", pos.cast("long"))
 
 
-def segments(chunked: DataFrame) -> DataFrame:
-    """Bounds, counts and labels of each segment: topic is its commonest type, sub_topic its first."""
-    rows = bridge(unanswered(chunked))
-    keys = ["segment_id", "chat_id", "user_id", "kind"]
+def segments(chunked: DataFrame, run: str | None = None) -> DataFrame:
+    """Bounds, counts and labels of each segment (of each run): topic is its commonest type, sub_topic its first."""
+    return of_bridge(bridge(unanswered(chunked, run), run), run)
+
+
+def of_bridge(rows: DataFrame, run: str | None = None) -> DataFrame:
+    """The same from a bridge that has ``unanswered``."""
+    keys = [*([run] if run else []), "segment_id", "chat_id", "user_id", "kind"]
     counted = rows.groupBy(*keys, "type").agg(F.count("*").alias("n"), F.min("at_us").alias("lo"), F.max("at_us").alias("hi"), F.min(F.struct("at_us", "msg_id")).alias("first"), F.bool_or("unanswered").alias("failed"))
     user, bot = F.sum(F.when(F.col("type") == "user", F.col("n"))), F.sum(F.when(F.col("type") != "user", F.col("n")))
     each = counted.groupBy(*keys).agg(
@@ -110,3 +114,46 @@ def with_orphans(members: DataFrame, positions: DataFrame) -> DataFrame:
         .otherwise(F.least("_l.own", "_r.own"))
     )
     return rows.select("window_id", "pos", F.coalesce("own", near).alias("segment_no"), F.col("own").isNull().alias("orphan"))
+
+
+def rebuilt(members: DataFrame) -> DataFrame:
+    """Bounds and size of each segment of a window from its members (window_id, segment_no, at_us): those left without any are gone."""
+    return members.groupBy("window_id", "segment_no").agg(F.min("at_us").alias("started_at"), F.max("at_us").alias("ended_at"), F.count("*").alias("n_messages"))
+
+
+def original_indices(members: DataFrame, kept: DataFrame) -> DataFrame:
+    """members (window_id, segment_no, new_pos) with the row that each new index stands for; indices out of range are dropped.
+
+    kept: window_id, new_pos, msg_id of the rows that stayed when images were absorbed.
+    """
+    return members.join(kept.select("window_id", "new_pos", "msg_id"), ["window_id", "new_pos"]).select("window_id", "segment_no", "msg_id").distinct()
+
+
+def with_absorbed(members: DataFrame, absorbed: DataFrame) -> DataFrame:
+    """members (window_id, segment_no, msg_id) and the rows that their keepers absorbed (window_id, msg_id, keeper), each once per segment."""
+    more = absorbed.join(members.withColumnRenamed("msg_id", "keeper"), ["window_id", "keeper"]).select("window_id", "segment_no", "msg_id")
+    return members.select("window_id", "segment_no", "msg_id").unionByName(more).distinct()
+
+
+def fallbacks(windows: DataFrame, labelled: DataFrame) -> DataFrame:
+    """One unclassified segment for each window without a labelled item; bot windows are certain of it, user windows not."""
+    missing = windows.join(labelled.select("window_id").distinct(), "window_id", "left_anti")
+    each = missing.groupBy("window_id").agg(F.min("at_us").alias("started_at"), F.max("at_us").alias("ended_at"), F.count("*").alias("n_messages"), F.bool_or(F.col("type") == "user").alias("has_user"))
+    return each.select("window_id", F.lit("unclassified").alias("topic"), F.lit("unclassified").alias("sub_topic"), F.when(~F.col("has_user"), F.lit(1.0)).alias("confidence"), "started_at", "ended_at", "n_messages")
+
+
+def since_last(messages: DataFrame, segments: DataFrame) -> DataFrame:
+    """Each user's rows after the end of their segment that started last (all rows of users without one; rows without a time never)."""
+    order = Window.partitionBy("user_id").orderBy(F.desc_nulls_first("started_at"), "segment_id")
+    latest = segments.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("user_id", F.col("ended_at").alias("_cutoff"))
+    rows = messages.join(latest, "user_id", "left")
+    return rows.where(F.col("_cutoff").isNull() | (F.coalesce("at_us", "_cutoff") > F.col("_cutoff"))).drop("_cutoff")
+
+
+def running_context(segments: DataFrame) -> DataFrame:
+    """segment_id and the lines of the user's earlier segments, one per segment, under one header."""
+    order = Window.partitionBy("user_id").orderBy(F.asc_nulls_first("started_at"), "segment_id").rowsBetween(Window.unboundedPreceding, -1)
+    line = F.concat(F.lit("- "), F.coalesce("topic", F.lit("unknown")), F.lit(" / "), F.coalesce("sub_topic", F.lit("unknown")), F.lit(': "'), F.coalesce("summary", F.lit("")), F.lit('"'))
+    lines = F.collect_list(line).over(order)
+    text = F.when(F.size(lines) > 0, F.concat(F.lit("Previous segments:\n"), F.array_join(lines, "\n"))).otherwise(F.lit(""))
+    return segments.select("segment_id", "user_id", text.alias("context"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], kept: list[str] = ()) -> DataFrame:
@@ -62,5 +63,117 @@ def filtered(rows: DataFrame, allowed: set[str], **equal) -> DataFrame:
 
 
 def fingerprint(rows: DataFrame, key: str) -> DataFrame:
-    """Count and order-free digest of a set of ids."""
-    return rows.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(key)).alias("digest"))
+    """Count and order-free digest of a set of ids (60 bits of their md5, xored)."""
+    each = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 15), 16, 10).cast("long")
+    return rows.agg(F.count("*").alias("n"), F.bit_xor(each).alias("digest"))
+
+
+def lookup(users: DataFrame, chats: DataFrame) -> DataFrame:
+    """users (user_id) with their chat_id, null for those without one."""
+    return users.join(chats.select("user_id", "chat_id").distinct(), "user_id", "left")
+
+
+def of_users(segments: DataFrame, reviewed: bool | None = None, most: int | None = None) -> DataFrame:
+    """Segments in order of start within their user (``nth`` from 1): all, reviewed or unreviewed ones, the first ``most`` of each."""
+    marked = F.col("true_topic").isNotNull() & F.col("true_sub_topic").isNotNull()
+    rows = segments if reviewed is None else segments.where(marked if reviewed else F.col("true_topic").isNull() & F.col("true_sub_topic").isNull())
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("user_id").orderBy(F.asc_nulls_first("started_at"), "segment_id")))
+    return rows if most is None else rows.where(F.col("nth") <= most)
+
+
+def ground_truth(segments: DataFrame) -> DataFrame:
+    """Segments with a true topic; an error if there are none."""
+    rows = segments.where("true_topic IS NOT NULL")
+    if rows.isEmpty():
+        raise ValueError("no segment has a true topic")
+    return rows
+
+
+def without(rows: DataFrame, users: DataFrame | None = None, ids: DataFrame | None = None) -> DataFrame:
+    """rows less those without review (of ``users`` only, if given), or less those of ``ids`` (segment_id)."""
+    if ids is not None:
+        return rows.join(ids.select("segment_id"), "segment_id", "left_anti")
+    unreviewed = rows.where("true_topic IS NULL AND true_sub_topic IS NULL").select("segment_id", "user_id")
+    gone = unreviewed if users is None else unreviewed.join(users.select("user_id"), "user_id", "left_semi")
+    return rows.join(gone.select("segment_id"), "segment_id", "left_anti")
+
+
+def with_run(rows: DataFrame, **run) -> DataFrame:
+    """rows with the run's metadata, which stands where both have a column."""
+    return rows.withColumns({c: F.lit(v) for c, v in run.items()})
+
+
+def invariants(bridge: DataFrame, source: DataFrame) -> DataFrame:
+    """Users whose segments must not be written: an id repeated in a segment, or a processed id in none."""
+    repeated = bridge.groupBy("user_id", "segment_id", "msg_id").agg((F.count("*") - 1).alias("n")).groupBy("user_id").agg(F.sum("n").alias("repeated"))
+    lost = source.join(bridge.select("user_id", "msg_id"), ["user_id", "msg_id"], "left_anti").groupBy("user_id").agg(F.count("*").alias("lost"))
+    both = repeated.join(lost, "user_id", "full").na.fill(0)
+    return both.where("repeated > 0 OR lost > 0")
+
+
+def appended(segments: DataFrame, first_messages: DataFrame, failed: DataFrame) -> DataFrame:
+    """Segments of users that did not fail, each under a key made of its user, first message and labels."""
+    rows = segments.join(failed.select("user_id"), "user_id", "left_anti").join(first_messages, "segment_id")
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "first_msg", "topic", "sub_topic")]
+    return rows.withColumn("segment_key", F.sha2(F.concat_ws("|", *parts), 256))
+
+
+def nested_upsert(topics: DataFrame, subs: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Topics and sub-topics after a batch (slug, name, updated_at, subs: array of (slug, name)); of repeated slugs the last stays."""
+    last = Window.partitionBy("slug").orderBy(F.desc("updated_at"), "name")
+    new = batch.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+    child = new.select(F.col("slug").alias("topic_slug"), "updated_at", F.explode("subs").alias("s")).select("topic_slug", "s.slug", "s.name", "updated_at")
+    return upsert(topics, new.drop("subs"), ["slug"]), upsert(subs, child.dropDuplicates(["topic_slug", "slug"]), ["topic_slug", "slug"])
+
+
+def touched(topics: DataFrame, changed_subs: DataFrame) -> DataFrame:
+    """topics whose sub-topics changed take the latest change as their own."""
+    latest = changed_subs.groupBy(F.col("topic_slug").alias("slug")).agg(F.max("updated_at").alias("_u"))
+    return topics.join(latest, "slug", "left").withColumn("updated_at", F.greatest("updated_at", F.coalesce("_u", "updated_at"))).drop("_u")
+
+
+def prompt_version(name) -> F.Column:
+    """The version of a prompt's file name, of bot prompts too; other names as they are."""
+    return F.coalesce(F.nullif(F.regexp_extract(name, r"^eb1_prompt_(?:user|bot)_(v\d+)$", 1), F.lit("")), F.regexp_replace(name, "^bot_", ""))
+
+
+def get_or_create(known: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
+    """known and a row for each asked key that it lacks; ``created`` tells which."""
+    new = asked.select(*keys).distinct().join(known.select(*keys), keys, "left_anti").withColumn("created", F.lit(True))
+    return known.withColumn("created", F.lit(False)).unionByName(new, allowMissingColumns=True)
+
+
+def events(rows: DataFrame, kind: str, fields: list[str]) -> DataFrame:
+    """Log rows: the kind and the fields as one JSON object."""
+    return rows.select("segment_id", F.lit(kind).alias("event"), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("payload"))
+
+
+def regenerated(source: DataFrame, written: DataFrame, key: str) -> DataFrame:
+    """Counts of a table made anew: rows queried, written and skipped."""
+    return source.agg(F.count_distinct(key).alias("queried")).crossJoin(written.agg(F.count_distinct(key).alias("written"))).withColumn("skipped", F.col("queried") - F.col("written"))
+
+
+def user_sample(users: DataFrame, rate: float, seed: int = 0) -> DataFrame:
+    """A share of the users, one at least, the same in every run: those with the smallest digests."""
+    n = users.count()
+    k = max(1, int(n * min(1.0, max(0.0, rate))))
+    return users.orderBy(F.md5(F.concat(F.col("user_id").cast("string"), F.lit(f":{seed}"))), "user_id").limit(k)
+
+
+def constraints(rows: DataFrame, checks: dict[str, object]) -> DataFrame:
+    """Rows that break each named condition (null does not)."""
+    one = rows.agg(*[F.count_if(F.coalesce(~ok, F.lit(False))).alias(name) for name, ok in checks.items()])
+    return one.unpivot([], list(checks), "check", "broken")
+
+
+def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that several rows have."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def template_texts(templates: DataFrame) -> DataFrame:
+    """Texts of templates (template_id, content: array of (message, text, content)): the first that is not empty of each
+    element, those of a template joined by line breaks; templates without any are left out."""
+    one = lambda x: F.coalesce(*[F.nullif(x[c], F.lit("")) for c in ("message", "text", "content")])
+    texts = F.array_compact(F.transform("content", one))
+    return templates.select("template_id", texts.alias("texts")).where(F.size("texts") > 0).withColumn("full_text", F.array_join("texts", "\n"))

@@ -61,3 +61,53 @@ def for_pool(topics: DataFrame, pools: DataFrame, allowed: DataFrame) -> DataFra
     every = topics.agg(F.collect_list("slug").alias("slugs"))  # the taxonomy: one row
     rest = marked.where("_listed IS NULL").select("pool").crossJoin(F.broadcast(every)).select("pool", F.explode("slugs").alias("slug"))
     return some.unionByName(rest)
+
+
+def other_type(rows: DataFrame, topics: DataFrame, kind: str) -> DataFrame:
+    """rows with ``violates``: the topic belongs to another type's taxonomy only."""
+    of = topics.groupBy(F.col("slug").alias("topic")).agg(F.bool_or(F.col("type") == kind).alias("_own"))
+    return rows.join(of, "topic", "left").withColumn("violates", F.coalesce(~F.col("_own"), F.lit(False))).drop("_own")
+
+
+def unblocked(rows: DataFrame, topics: DataFrame, subs: DataFrame) -> DataFrame:
+    """rows with unknown labels emptied: of an unknown topic both, of a sub-topic not under its topic only itself."""
+    known = topics.select(F.col("slug").alias("topic")).distinct().withColumn("_t", F.lit(True))
+    under = subs.select(F.col("topic_slug").alias("topic"), F.col("slug").alias("sub_topic")).distinct().withColumn("_s", F.lit(True))
+    joined = rows.join(known, "topic", "left").join(under, ["topic", "sub_topic"], "left")
+    changes = {"topic": F.when(F.col("_t"), F.col("topic")), "sub_topic": F.when(F.col("_t") & F.col("_s"), F.col("sub_topic"))}
+    return joined.select(*[changes.get(c, F.col(c)).alias(c) for c in rows.columns])
+
+
+def pool_of(pool, pools):
+    """The pool in lower case, else the first of the pools, else null."""
+    return F.coalesce(F.lower(pool), F.lower(F.try_element_at(pools, F.lit(1))))
+
+
+def review_route(rows: DataFrame, confirmed_topics: DataFrame, confirmed_subs: DataFrame, least: float = 0.6) -> DataFrame:
+    """rows with ``review``: P1 unconfirmed topic, P2 unconfirmed sub-topic, P3 low confidence, else accepted."""
+    t = confirmed_topics.select(F.col("slug").alias("topic")).distinct().withColumn("_t", F.lit(True))
+    s = confirmed_subs.select(F.col("topic_slug").alias("topic"), F.col("slug").alias("sub_topic")).distinct().withColumn("_s", F.lit(True))
+    route = F.when(F.col("_t").isNull(), "P1").when(F.col("_s").isNull(), "P2").when(F.coalesce("confidence", F.lit(0.0)) < least, "P3").otherwise("accepted")
+    return rows.join(t, "topic", "left").join(s, ["topic", "sub_topic"], "left").withColumn("review", route).drop("_t", "_s")
+
+
+def changed_since(topics: DataFrame, subs: DataFrame, last_run: int | None) -> DataFrame:
+    """Topics that changed, they or a sub-topic, after the last run; all if there was none."""
+    child = subs.groupBy(F.col("topic_slug").alias("slug")).agg(F.max("updated_at").alias("_s"))
+    rows = topics.join(child, "slug", "left").withColumn("freshest", F.greatest("updated_at", F.coalesce("_s", "updated_at"))).drop("_s")
+    return rows if last_run is None else rows.where(F.col("freshest") > last_run)
+
+
+def pool_texts(allowed: DataFrame, topics: DataFrame, subs: DataFrame) -> DataFrame:
+    """Per pool the taxonomy as a text: a line per topic, its sub-topics behind it."""
+    lines = nested(topics, subs).select("slug", F.concat(F.lit("- "), F.col("slug"), F.when(F.col("options") != "", F.concat(F.lit(": "), F.col("options"))).otherwise(F.lit(""))).alias("line"))
+    rows = allowed.join(lines, "slug")
+    return rows.groupBy("pool").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("slug", "line"))), lambda x: x["line"]), "\n").alias("text"))
+
+
+def grown(topics: DataFrame, subs: DataFrame, labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Topics and sub-topics with those that labelled templates (topic, sub_topic, summary) bring, the summary as description."""
+    first = labelled.groupBy("topic", "sub_topic").agg(F.min("summary").alias("description"))
+    new_topics = first.groupBy(F.col("topic").alias("slug")).agg(F.min("description").alias("description")).join(topics.select("slug"), "slug", "left_anti")
+    new_subs = first.select(F.col("topic").alias("topic_slug"), F.col("sub_topic").alias("slug"), "description").join(subs.select("topic_slug", "slug"), ["topic_slug", "slug"], "left_anti")
+    return new_topics, new_subs

@@ -1,7 +1,7 @@
 """Queries that combine the operators over the driver's tables."""
 
-from . import segment_queries, table_queries, timeline_queries
+from . import segment_queries, store_queries, table_queries, timeline_queries
 
-MODULES = (timeline_queries, segment_queries, table_queries)
+MODULES = (timeline_queries, segment_queries, table_queries, store_queries)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}

@@ -11,6 +11,7 @@ from threadline.operators import messages as ms
 from threadline.operators import metrics as mx
 from threadline.operators import segments as sg
 from threadline.sources.views import event_messages
+from threadline.work import kept
 
 from .timeline_queries import chunked, chunks_sql
 
@@ -31,12 +32,13 @@ def routes(spark, sf_dir):
 
 def _defects(spark, sf_dir):
     """Bridge and segments with planted faults."""
-    rows = sg.bridge(chunked(spark, sf_dir)).select("segment_id", "user_id", "msg_id", "pos")
+    whole = kept(sg.bridge(ms.unanswered(chunked(spark, sf_dir))))
+    rows = whole.select("segment_id", "user_id", "msg_id", "pos")
     twice = rows.where("msg_id % 89 = 0").withColumn("segment_id", F.col("segment_id") + 1)
     rows = rows.where("msg_id % 97 <> 0").unionByName(twice)
     s = F.col("segment_id")
     mark = lambda c: F.when(s % 7 == 0, c)
-    segs = segments(spark, sf_dir).withColumns(
+    segs = sg.of_bridge(whole).withColumns(
         {
             "topic": F.when(s % 53 != 0, F.col("topic")),
             "confidence": F.when(s % 41 == 0, F.lit(1.0)).otherwise(F.col("confidence")),
@@ -59,13 +61,29 @@ def grader_details(spark, sf_dir):
 
 
 def _compared(spark, sf_dir):
-    truth_rows, truth = sg.bridge(chunked(spark, sf_dir)), segments(spark, sf_dir)
-    model_rows = model = None
-    for run, (gap, window) in RUNS.items():
-        rows = chunked(spark, sf_dir, gap, window)
-        a, b = sg.bridge(rows).withColumn("run_id", F.lit(run)), sg.segments(rows).withColumn("run_id", F.lit(run))
-        model_rows, model = (a, b) if model is None else (model_rows.unionByName(a), model.unionByName(b))
-    return truth, model, mt.overlaps(truth_rows, model_rows, truth, model)
+    """Truth (run 0) and the runs, segmented at once: each row stands there once per run."""
+    runs = [(0, 6 * H, 3 * D), *((run, gap, window) for run, (gap, window) in RUNS.items())]
+    of_run = F.explode(F.array(*[F.struct(F.lit(r).alias("run_id"), F.lit(g).alias("gap"), F.lit(w).alias("span")) for r, g, w in runs]))
+    rows = ms.timeline(event_messages(spark, sf_dir)).withColumn("run", of_run).select("*", "run.run_id", "run.gap", "run.span").drop("run")
+    rows = ch.chunks(rows, F.col("gap"), F.col("span"), H, "run_id")
+    bridge = kept(sg.bridge(ms.unanswered(rows, "run_id"), "run_id").select("run_id", "msg_id", "chat_id", "user_id", "type", "at_us", "kind", "segment_id", "unanswered"))
+    segs = kept(sg.of_bridge(bridge, "run_id"))
+    truth, model = segs.where("run_id = 0").drop("run_id"), segs.where("run_id > 0")
+    return truth, model, mt.overlaps(bridge.where("run_id = 0").drop("run_id"), bridge.where("run_id > 0"), truth, model)
+
+
+def _scattered(spark, sf_dir):
+    """Truth and runs whose segments deal a chat's messages out in turn, so that pairs entangle."""
+    truth_rows = kept(sg.bridge(ms.unanswered(chunked(spark, sf_dir))))
+    truth = sg.of_bridge(truth_rows)
+    of_run = F.explode(F.array(F.lit(2), F.lit(3))).alias("run_id")
+    rows = truth_rows.drop("segment_id").select("*", of_run).withColumn("segment_id", F.col("chat_id") * 10 + F.col("msg_id") % F.col("run_id"))
+    rows = rows.withColumn("kind", F.lit("user_engaged"))
+    return truth, mt.overlaps(truth_rows, rows, truth, sg.of_bridge(rows, "run_id"))
+
+
+def scattered_matches(spark, sf_dir):
+    return mt.optimal(_scattered(spark, sf_dir)[1]).select("run_id", "gt_id", "model_id", "jaccard", "score")
 
 
 def overlap_pairs(spark, sf_dir):
@@ -77,12 +95,13 @@ def mutual_best(spark, sf_dir):
 
 
 def matching(spark, sf_dir):
-    return mt.optimal(_compared(spark, sf_dir)[2])
+    return mt.optimal(_compared(spark, sf_dir)[2]).select("run_id", "gt_id", "model_id", "jaccard", "score")
 
 
 def _records(spark, sf_dir):
     truth, model, pairs = _compared(spark, sf_dir)
-    return mt.records(truth, model, pairs, mt.mutual_best(pairs)), model
+    pairs = kept(pairs)
+    return kept(mt.records(truth, model, pairs, mt.optimal(pairs))), model
 
 
 def match_records(spark, sf_dir):
@@ -129,6 +148,34 @@ seg_{p} AS (
     FROM ans_{p} GROUP BY segment_id, chat_id, user_id, kind) s JOIN topics_{p} USING (segment_id))"""
 
 
+#: Pairs of ``ans_gt`` and ``model_rows`` that share a message.
+PAIRS_SQL = """shared AS (SELECT m.run_id, g.segment_id AS gt_id, m.segment_id AS model_id, count(*) AS n FROM ans_gt g JOIN model_rows m USING (msg_id) GROUP BY ALL),
+raw_pairs AS (
+  SELECT s.*, n / (a.n_messages + b.n_messages - n) AS jaccard, greatest(a.ended_at, b.ended_at) - least(a.started_at, b.started_at) AS u,
+    greatest(least(a.ended_at, b.ended_at) - greatest(a.started_at, b.started_at), 0) AS i
+  FROM shared s JOIN seg_gt a ON a.segment_id = gt_id JOIN model b ON b.run_id = s.run_id AND b.segment_id = model_id),
+pairs AS (SELECT run_id, gt_id, model_id, n, jaccard, CASE WHEN u > 0 THEN i / u ELSE 0.0 END::DOUBLE AS time_iou FROM raw_pairs),
+scored AS (SELECT *, 0.7::DOUBLE * jaccard + (1 - 0.7::DOUBLE) * time_iou AS score FROM pairs)"""
+
+#: The best one-to-one choice of each connected component of ``scored``, by trying all of them.
+OPTIMAL_SQL = """edges AS (SELECT * FROM scored WHERE score >= 0.3),
+linked AS (SELECT DISTINCT a.run_id, a.gt_id AS x, b.gt_id AS y FROM edges a JOIN edges b ON a.run_id = b.run_id AND a.model_id = b.model_id),
+reach AS (SELECT run_id, x, y FROM linked UNION SELECT r.run_id, r.x, l.y FROM reach r JOIN linked l ON l.run_id = r.run_id AND l.x = r.y),
+parts AS (SELECT run_id, x AS gt_id, min(y) AS part FROM reach GROUP BY ALL),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY run_id, part ORDER BY gt_id) AS i, count(*) OVER (PARTITION BY run_id, part) AS size FROM parts),
+tried AS (
+  SELECT DISTINCT run_id, part, size, 0::BIGINT AS i, []::BIGINT[] AS gts, []::BIGINT[] AS models, 0::DOUBLE AS total FROM ordered
+  UNION ALL
+  SELECT t.run_id, t.part, t.size, t.i + 1, CASE WHEN e.model_id IS NULL THEN t.gts ELSE list_append(t.gts, o.gt_id::BIGINT) END,
+    CASE WHEN e.model_id IS NULL THEN t.models ELSE list_append(t.models, e.model_id::BIGINT) END, t.total + coalesce(e.score, 0)
+  FROM tried t JOIN ordered o ON o.run_id = t.run_id AND o.part = t.part AND o.i = t.i + 1
+  JOIN (SELECT run_id, gt_id, model_id, score FROM edges UNION ALL SELECT DISTINCT run_id, gt_id, NULL, NULL FROM edges) e
+    ON e.run_id = o.run_id AND e.gt_id = o.gt_id AND (e.model_id IS NULL OR NOT list_contains(t.models, e.model_id))),
+tops AS (SELECT * FROM tried WHERE i = size QUALIFY row_number() OVER (PARTITION BY run_id, part ORDER BY total DESC, gts, models) = 1),
+pairs_of AS (SELECT run_id, unnest(gts) AS gt_id, unnest(models) AS model_id FROM tops),
+chosen AS (SELECT e.* FROM pairs_of JOIN edges e USING (run_id, gt_id, model_id))"""
+
+
 def _segments_sql() -> str:
     return chunks_sql() + "," + SEGMENTS_SQL.format(p="gt", src="chunked")
 
@@ -144,22 +191,19 @@ def _compared_sql() -> str:
         out
         + f""",
 model AS ({union("seg")}), model_rows AS ({union("ans")}),
-shared AS (SELECT m.run_id, g.segment_id AS gt_id, m.segment_id AS model_id, count(*) AS n FROM ans_gt g JOIN model_rows m USING (msg_id) GROUP BY ALL),
-raw_pairs AS (
-  SELECT s.*, n / (a.n_messages + b.n_messages - n) AS jaccard, greatest(a.ended_at, b.ended_at) - least(a.started_at, b.started_at) AS u,
-    greatest(least(a.ended_at, b.ended_at) - greatest(a.started_at, b.started_at), 0) AS i
-  FROM shared s JOIN seg_gt a ON a.segment_id = gt_id JOIN model b ON b.run_id = s.run_id AND b.segment_id = model_id),
-pairs AS (SELECT run_id, gt_id, model_id, n, jaccard, CASE WHEN u > 0 THEN i / u ELSE 0.0 END::DOUBLE AS time_iou FROM raw_pairs),
-scored AS (SELECT *, 0.7::DOUBLE * jaccard + (1 - 0.7::DOUBLE) * time_iou AS score FROM pairs),
+""" + PAIRS_SQL + """,
 mutual AS (
   SELECT * FROM scored WHERE score >= 0.3
   QUALIFY row_number() OVER (PARTITION BY run_id, gt_id ORDER BY score DESC, model_id) = 1 AND row_number() OVER (PARTITION BY run_id, model_id ORDER BY score DESC, gt_id) = 1),
+"""
+        + OPTIMAL_SQL
+        + """,
 best AS (SELECT run_id, gt_id, max(jaccard) AS b FROM scored GROUP BY ALL),
 records AS (
   SELECT r.run_id, g.segment_id AS gt_id, g.topic AS gt_topic, g.sub_topic AS gt_sub, g.has_user AS engaged, m.model_id, x.topic AS model_topic, x.sub_topic AS model_sub, x.confidence,
     coalesce(m.jaccard, b.b, 0.0) AS iou, m.model_id IS NOT NULL AS matched
   FROM seg_gt g CROSS JOIN (SELECT unnest([1, 2, 3]) AS run_id) r
-  LEFT JOIN mutual m ON m.run_id = r.run_id AND m.gt_id = g.segment_id LEFT JOIN model x ON x.run_id = r.run_id AND x.segment_id = m.model_id
+  LEFT JOIN chosen m ON m.run_id = r.run_id AND m.gt_id = g.segment_id LEFT JOIN model x ON x.run_id = r.run_id AND x.segment_id = m.model_id
   LEFT JOIN best b ON b.run_id = r.run_id AND b.gt_id = g.segment_id),
 totals AS (SELECT run_id, count(*) AS n_model FROM model GROUP BY run_id),
 topic_scores AS (
@@ -231,6 +275,7 @@ QUERIES = {
     "overlap_pairs": overlap_pairs,
     "mutual_best": mutual_best,
     "matching": matching,
+    "scattered_matches": scattered_matches,
     "match_records": match_records,
     "topic_scores": _over(mx.topic_scores, True),
     "per_topic": _over(mx.per_topic),
@@ -261,6 +306,12 @@ UNION ALL SELECT 'G3.1', max(n) <= 0.4 * sum(n), sum(n)::BIGINT, max(n) FROM top
 SELECT user_id, gaps, extras, repeats, (row_number() OVER (ORDER BY gaps + extras + repeats DESC, user_id))::INT AS rank FROM pu WHERE gaps + extras + repeats > 0 QUALIFY rank <= 20""",
     "overlap_pairs": f"{COMPARED_SQL} SELECT run_id, gt_id, model_id, n, jaccard, time_iou, score FROM scored",
     "mutual_best": f"{COMPARED_SQL} SELECT run_id, gt_id, model_id, jaccard FROM mutual",
+    "matching": f"{COMPARED_SQL} SELECT run_id, gt_id, model_id, jaccard, score FROM chosen",
+    "scattered_matches": f"""{_segments_sql()},
+model_rows AS (SELECT run_id, user_id, at_us, msg_id, chat_id * 10 + msg_id % run_id AS segment_id FROM ans_gt, (SELECT unnest([2, 3]) AS run_id)),
+model AS (SELECT run_id, segment_id, count(*) AS n_messages, min(at_us) AS started_at, max(at_us) AS ended_at FROM model_rows GROUP BY ALL),
+{PAIRS_SQL},
+{OPTIMAL_SQL} SELECT run_id, gt_id, model_id, jaccard, score FROM chosen""",
     "match_records": f"{COMPARED_SQL} SELECT * FROM records",
     "topic_scores": f"{COMPARED_SQL} SELECT run_id, n_gt, n_model, n_matched, correct, precision, recall, 2 * precision * recall / (precision + recall) AS f1, correct / n_matched AS matched_accuracy FROM topic_prf",
     "per_topic": f"{COMPARED_SQL} SELECT run_id, topic, tp, fp, fn, support, precision, recall, f1 FROM per_topic_f1",
