@@ -32,7 +32,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/threadline-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: all that came from them is stored itself."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def boxed(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, str]:
+    """docs with ``columns`` as fields of one struct, and its name, which clashes with none."""
+    name = f"box_{uuid.uuid4().hex}"
+    fields = [F.col(f"`{c}`").alias(c) for c in columns] or [F.lit(None).cast("int").alias("none")]
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in columns], F.struct(*fields).alias(name)), name
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
