@@ -58,6 +58,20 @@ def price(duals: np.ndarray) -> tuple[float, np.ndarray]:
     return float(best[CLASSES]), pattern
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By Gauss and Jordan, without a matrix library: its threads may wait for each other for ever beside a JVM's."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for i in range(n):
+        pivot = i + int(np.argmax(np.abs(both[i:, i])))
+        both[[i, pivot]] = both[[pivot, i]]
+        both[i] /= both[i, i]
+        factor = both[:, i].copy()
+        factor[i] = 0.0
+        both -= factor[:, None] * both[i]
+    return both[:, n:]
+
+
 def solve(demand: np.ndarray, rounds: int = 5000) -> list[tuple[np.ndarray, int]]:
     """Patterns over all classes and how often each is used; together exactly the demand."""
     used = np.flatnonzero(demand)
@@ -67,8 +81,8 @@ def solve(demand: np.ndarray, rounds: int = 5000) -> list[tuple[np.ndarray, int]
     basis = np.zeros((m, m))
     for i, c in enumerate(used):
         basis[i, i] = CLASSES // (c + 1)
-    inverse, need = np.linalg.inv(basis), demand[used].astype(float)
-    amounts = inverse @ need
+    inverse, need = _inverse(basis), demand[used].astype(float)
+    amounts = (inverse * need).sum(axis=1)
     for i in range(rounds):
         duals = np.full(CLASSES, -1.0)
         duals[used] = inverse.sum(axis=0)
@@ -82,7 +96,7 @@ def solve(demand: np.ndarray, rounds: int = 5000) -> list[tuple[np.ndarray, int]
         leave = int(np.argmin(ratio))
         basis[:, leave] = column
         if i % 64 == 63:  # afresh now and then, against rounding
-            inverse = np.linalg.inv(basis)
+            inverse = _inverse(basis)
         else:
             row = inverse[leave] / step[leave]
             inverse = inverse - np.outer(step, row)
