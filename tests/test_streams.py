@@ -1,6 +1,8 @@
 """Streams over files give what the same rows give as a batch."""
 
 import datetime as dt
+import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -16,6 +18,15 @@ def stream(spark, tmp_path, rows):
     return spark.readStream.schema(DDL).parquet(src)
 
 
+def in_files(spark, tmp_path, *parts):
+    """A stream of one file per batch."""
+    src = str(tmp_path / "in")
+    for rows in parts:
+        spark.createDataFrame(rows, DDL).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)  # files are taken by age
+    return spark.readStream.schema(DDL).option("maxFilesPerTrigger", 1).parquet(src)
+
+
 def finished(df, tmp_path, mode="append"):
     name = f"out_{abs(hash(str(tmp_path)))}"
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
@@ -50,3 +61,27 @@ def test_late_rows_are_set_aside(spark, tmp_path):
     q.awaitTermination(120)
     assert [r.msg_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [2]
     assert [r.msg_id for r in spark.read.parquet(str(tmp_path / "out_late")).select(F.col("msg_id")).collect()] == [1]
+
+
+def test_near_copies_of_a_stream(spark, tmp_path):
+    a = [(1, 1, "assistant", "x", at(0)), (2, 1, "team", "x", at(1)), (3, 1, "user", "x", at(1)), (4, 2, "assistant", "x", at(1))]
+    b = [(5, 1, "assistant", "x", at(2)), (6, 1, "assistant", "x", at(2.5)), (7, 1, "assistant", "x", at(4)), (8, 1, "assistant", "y", at(4))]
+    got = finished(streams.without_near_copies(in_files(spark, tmp_path, a, b)), tmp_path)
+    assert sorted(r.msg_id for r in got) == [1, 3, 4, 6, 8]
+
+
+def test_chunks_of_a_stream_are_those_of_a_table(spark, tmp_path):
+    from threadline.operators import chunks as ch
+
+    rng, rows = random.Random(4), []
+    for chat in range(6):
+        when = 0
+        for _ in range(15):
+            when += rng.choice([30, 60, 61, 3000, 3601, 86_400, 3 * 86_400])
+            rows.append((len(rows), chat, rng.choice(["user", "assistant", "automated"]), "m", at(when)))
+    rows.sort(key=lambda r: r[4])
+    end = [[(10_000 + i, 99, "assistant", "end", at(10_000_000 * (i + 1)))] for i in range(2)]
+    got = finished(streams.chunks(in_files(spark, tmp_path, rows[:40], rows[40:], *end)), tmp_path)
+    table = [(i, c, c, kind, m, int((t - T0).total_seconds() * 1_000_000)) for i, c, kind, m, t in rows]
+    want = ch.chunks(spark.createDataFrame(table, "msg_id long, chat_id long, user_id long, type string, message string, at_us long")).collect()
+    assert {(r.msg_id, r.chunk_no, r.kind) for r in got if r.chat_id != 99} == {(r.msg_id, r.chunk_no, r.kind) for r in want}
