@@ -222,3 +222,92 @@ def test_density_of_a_long_chain(spark):
     ids = np.random.default_rng(12).permutation(n).tolist()
     df = spark.createDataFrame([(i, [float(np.cos(j * step)), float(np.sin(j * step))]) for j, i in enumerate(ids)], "vec_id long, embedding array<double>")
     assert {r.cluster for r in cl.density(df, k=2, eps=float(1 - np.cos(2.5 * step)), blocks=1).collect()} == {0}
+
+
+def test_runs_at_once_equal_runs_alone(spark):
+    rng, data = random.Random(6), []
+    for c in range(8):
+        at = 0
+        for i in range(20):
+            at += rng.choice([30 * S, 61 * S, H, D, 2 * D, 3 * D])
+            data.append((c * 100 + i, c, c, rng.choice(["user", "assistant"]), "x", at))
+    df = spark.createDataFrame(data, DDL)
+    runs = {1: (MIN, 3 * D), 2: (2 * D, D)}
+    both = df.crossJoin(spark.createDataFrame([(r, g, w) for r, (g, w) in runs.items()], "run_id int, gap long, span long"))
+    from pyspark.sql import functions as F
+
+    got = {(r.run_id, r.msg_id): (r.chunk_no, r.kind) for r in ch.chunks(both, F.col("gap"), F.col("span"), H, "run_id").collect()}
+    for run, (gap, window) in runs.items():
+        assert {r.msg_id: (r.chunk_no, r.kind) for r in ch.chunks(df, gap, window, H).collect()} == {m: v for (r, m), v in got.items() if r == run}
+
+
+def test_optimal_matching_by_component(spark):
+    """Users with many entangled pairs are solved component by component, with the same total."""
+    rng, data = np.random.default_rng(9), []
+    for part in range(12):
+        score = rng.uniform(0.3, 1, (3, 3))
+        data += [(1, part % 2, part * 10 + i, part * 10 + j, float(score[i, j])) for i in range(3) for j in range(3)]
+    df = spark.createDataFrame(data, "run_id int, user_id long, gt_id long, model_id long, score double")
+    plain, parted = (sorted(map(tuple, mt.optimal(df, most=most).collect())) for most in (20_000, 5))
+    assert plain == parted and len(plain) == 36
+
+
+def test_closest_and_validated_labels(spark):
+    """The closest slugs are those of difflib over all pairs of a topic; remapping takes each of its ways."""
+    from difflib import SequenceMatcher
+
+    rng = random.Random(2)
+    word = lambda: "_".join("".join(rng.choice("abcde") for _ in range(rng.randint(2, 5))) for _ in range(rng.randint(1, 3)))
+    known, names = [(t, word()) for t in "xy" for _ in range(25)], [(t, word()) for t in "xyz" for _ in range(25)]
+    got = {(r.topic, r.sub_topic): (r.known, r.similarity) for r in fz.closest(spark.createDataFrame(names, "topic string, sub_topic string"), spark.createDataFrame(known, "topic string, sub_topic string")).collect()}
+    want = {}
+    for t, n in names:
+        rated = sorted((-SequenceMatcher(None, n, k).ratio(), k) for u, k in known if u == t)
+        if rated and -rated[0][0] >= 0.5:
+            want[t, n] = (rated[0][1], -rated[0][0])
+    assert got == want and want
+    rows = [(1, 7, "x", "match_feedback"), (2, 7, "x", "match_feedback_new"), (3, 7, "x", "e_match_feedback"), (4, 7, "x", "match_feedbacks_soon"), (5, 8, "x", "date_plan_ideas_asked"), (6, 9, "x", "date_plan_ideas_asked"), (7, 7, "x", "qqq")]
+    known = [("x", "match_feedback"), ("x", "date_plan_idea_given")]
+    got = fz.validated(spark.createDataFrame(rows, "id int, user_id int, topic string, sub_topic string"), spark.createDataFrame(known, "topic string, sub_topic string"), spark.createDataFrame([(8, "date_plan_idea_given")], "user_id int, sub_topic string"))
+    got = {r.id: (r.valid, r.how) for r in got.collect()}
+    assert got[1] == ("match_feedback", "known") and got[2] == got[3] == ("match_feedback", "variant") and got[4] == ("match_feedbacks_soon", "kept")
+    assert got[5] == ("date_plan_idea_given", "truth") and got[6] == ("date_plan_ideas_asked", "kept") and got[7] == ("qqq", "kept")
+
+
+def test_reads_of_the_store(spark):
+    import pytest
+
+    rows = spark.createDataFrame([(1, 1, "a", None, None, 5), (2, 1, "b", "t", "s", 3), (3, 2, None, None, None, None)], "segment_id int, user_id int, topic string, true_topic string, true_sub_topic string, started_at long")
+    assert [r.segment_id for r in tb.filtered(rows, {"topic"}, topic=None).collect()] == [3]
+    with pytest.raises(ValueError):
+        tb.filtered(rows, {"topic"}, user_id=1)
+    with pytest.raises(ValueError):
+        tb.ground_truth(rows.where("segment_id = 1"))
+    assert [(r.segment_id, r.nth) for r in tb.of_users(rows).orderBy("user_id", "nth").collect()] == [(2, 1), (1, 2), (3, 1)]
+    assert [r.segment_id for r in tb.of_users(rows, True).collect()] == [2] and tb.of_users(rows, None, 1).count() == 2
+    assert tb.fingerprint(rows, "segment_id").first() == tb.fingerprint(rows.repartition(3), "segment_id").first()
+    new = tb.update(rows, spark.createDataFrame([(3, "c")], "segment_id int, topic string"), "segment_id", "topic")
+    assert {r.segment_id: r.topic for r in new.collect()} == {1: "a", 2: "b", 3: "c"}
+
+
+def test_matrix_free_cluster_measures(spark):
+    """Silhouette and own distance equal their definitions over all pairs."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(30, 5))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.r_[np.zeros(12, int), np.ones(17, int), 2]
+    df = spark.createDataFrame([(i, int(label[i]), v.tolist()) for i, v in enumerate(x)], "vec_id long, label int, embedding array<double>")
+    d = 1 - x @ x.T
+    scores = []
+    for i in range(30):
+        same = (label == label[i]) & (np.arange(30) != i)
+        b = min(d[i, label == g].mean() for g in set(label) - {label[i]})
+        scores.append((b - d[i, same].mean()) / max(b, d[i, same].mean()) if same.any() else 0.0)
+    assert abs(cl.silhouette(df, "label").first().silhouette - np.mean(scores)) < 1e-9
+    for r in cl.own_distance(df, "label").collect():
+        c = x[label == r.label].mean(axis=0)
+        assert abs(r.distance - np.mean(1 - x[label == r.label] @ c / np.linalg.norm(c))) < 1e-9
+    parts = {r.vec_id: r.components for r in cl.reduced(df, 2).collect()}
+    got = np.array([parts[i] for i in range(30)])
+    u = np.linalg.svd(x - x.mean(axis=0))[2][:2]
+    assert np.allclose(np.abs(got), np.abs(x @ u.T), atol=1e-8)
