@@ -6,10 +6,14 @@ of the same kind: same layout, letter case, script, gender of the title, valid
 check digit.  The same entity gets the same surrogate everywhere (coreference),
 and different entities different ones: candidates that collide with each other
 or with an entity of the corpus are drawn again with the next attempt number.
+The domains of e-mail addresses are entities too, so that different ones stay
+different.  A phone number of the +1 zone is the same entity with and without it.
+Names are found after titles only.
 
 Defined results: null text stays null and an empty text empty, both without
 entities; runs of 13 to 19 digits without a valid check digit are left alone;
-repeated rows get equal results; extra columns are kept.
+repeated rows get equal results; extra columns are kept whatever their names (where
+docs has a column ``pii`` the array is named with underscores after it).
 """
 
 from __future__ import annotations
@@ -17,21 +21,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import boxed, stored
 from .quality import let
 
 # Titles by gender, and given names by script and gender.
-MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин")
-FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа")
+MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин", "κύριος")
+FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "κυρία")
 GIVEN = {
     ("latin", "m"): ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Hugo", "Ivan", "Jonas", "Leo", "Marco", "Noel", "Oscar", "Paul", "Simon", "Tom"),
     ("latin", "f"): ("Ada", "Bella", "Clara", "Diana", "Emma", "Flora", "Greta", "Helen", "Irma", "Julia", "Laura", "Marta", "Nora", "Olga", "Paula", "Rosa"),
     ("cyrillic", "m"): ("Антон", "Борис", "Вадим", "Глеб", "Денис", "Егор", "Иван", "Кирилл", "Лев", "Максим", "Никита", "Олег", "Павел", "Роман", "Семён", "Тимур"),
     ("cyrillic", "f"): ("Анна", "Белла", "Вера", "Галина", "Дарья", "Ева", "Жанна", "Зоя", "Ирина", "Кира", "Лидия", "Майя", "Нина", "Ольга", "Полина", "Раиса"),
+    ("greek", "m"): ("Άρης", "Βασίλης", "Γιώργος", "Δήμος", "Ερμής", "Ηλίας", "Θάνος", "Ιάσονας", "Κώστας", "Λουκάς", "Μάρκος", "Νίκος", "Πέτρος", "Σταύρος", "Τάσος", "Φώτης"),
+    ("greek", "f"): ("Άννα", "Βίκυ", "Γιάννα", "Δήμητρα", "Ελένη", "Ζωή", "Ηρώ", "Θάλεια", "Ιωάννα", "Κατερίνα", "Λυδία", "Μαρία", "Νίκη", "Ξένια", "Σοφία", "Χαρά"),
 }
 SYLLABLES = {
     "latin": ("ba", "den", "gor", "hal", "ker", "lin", "mar", "nes", "por", "ral", "sen", "tor", "ven", "wal", "zim", "fel"),
     "cyrillic": ("ба", "ден", "гор", "хал", "кер", "лин", "мар", "нес", "пор", "рал", "сен", "тор", "вен", "вал", "зим", "фел"),
+    "greek": ("βα", "δεν", "γορ", "χαλ", "κερ", "λιν", "μαρ", "νες", "πορ", "ραλ", "σεν", "τορ", "βεν", "βαλ", "ζιμ", "φελ"),
 }
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
@@ -62,7 +69,8 @@ def kind_of(surface: Column) -> Column:
 def norm_of(kind: Column, surface: Column) -> Column:
     """What must be equal for two surfaces to be one entity."""
     return (
-        F.when(kind.isin(*DIGIT_KINDS), F.regexp_replace(surface, r"\D", ""))
+        F.when(kind == "phone", F.regexp_replace(F.regexp_replace(surface, r"\D", ""), r"^1(?=\d{10}$)", ""))
+        .when(kind.isin(*DIGIT_KINDS), F.regexp_replace(surface, r"\D", ""))
         .when(kind == "email", F.lower(surface))
         .when(kind == "iban", F.replace(surface, F.lit(" "), F.lit("")))
         .otherwise(surface)
@@ -100,6 +108,11 @@ def found(text: Column) -> Column:
     )
 
 
+def _list(values) -> Column:
+    """A constant array, as one text that is split: a small plan."""
+    return F.split(F.lit(" ".join(values)), " ")
+
+
 def _nibble(hashed: Column, i: Column) -> Column:
     return F.conv(F.substring(hashed, i % 64 + 1, F.lit(1)), 16, 10).cast("int")
 
@@ -137,13 +150,13 @@ def _check_digit(payload: Column) -> Column:
 def _more(attempt: Column, hashed: Column, parts) -> Column:
     """Nothing at first; from the fourth redraw on one more of 16 parts each time, so the space outgrows any corpus."""
     again = F.sha2(hashed, 256)
-    each = F.transform(F.sequence(F.lit(0), F.least(attempt - 4, F.lit(63))), lambda i: F.element_at(F.array(*map(F.lit, parts)), _nibble(again, i) + 1))
+    each = F.transform(F.sequence(F.lit(0), F.least(attempt - 4, F.lit(63))), lambda i: F.element_at(_list(parts), _nibble(again, i) + 1))
     return F.when(attempt > 3, F.array_join(each, "")).otherwise(F.lit(""))
 
 
 def _name(norm: Column, hashed: Column, attempt: Column) -> Column:
     def pick(values, i):
-        return F.element_at(F.array(*map(F.lit, values)), _nibble(hashed, F.lit(i)) + 1)
+        return F.element_at(_list(values), _nibble(hashed, F.lit(i)) + 1)
 
     def full(script):
         last = F.initcap(F.concat(*[pick(SYLLABLES[script], i) for i in (1, 2, 3, 4)], _more(attempt, hashed, SYLLABLES[script])))
@@ -152,25 +165,36 @@ def _name(norm: Column, hashed: Column, attempt: Column) -> Column:
 
     title = F.regexp_extract(norm, r"^(\S+) ", 1)
     male = F.regexp_replace(title, r"\.$", "").isin(*MALE)
-    cyrillic = F.regexp_extract(norm, r"^\S+ (.*)$", 1).rlike(r"\p{IsCyrillic}")
-    return F.concat(title, F.lit(" "), F.when(cyrillic, full("cyrillic")).otherwise(full("latin")))
+    own = F.regexp_extract(norm, r"^\S+ (.*)$", 1)
+    return F.concat(title, F.lit(" "), F.when(own.rlike(r"\p{IsCyrillic}"), full("cyrillic")).when(own.rlike(r"\p{IsGreek}"), full("greek")).otherwise(full("latin")))
+
+
+def domain_of(email: Column) -> Column:
+    """What stands between the at sign and the last full stop."""
+    return F.regexp_extract(email, r"@(.*)\.[^.]*$", 1)
+
+
+def _hashed(key: str, *parts: Column) -> Column:
+    return F.sha2(F.concat_ws("\u0001", F.lit(key), *parts), 256)
 
 
-def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """The candidate that stands for (kind, norm)."""
+def domain_surrogate(name: Column, attempt: Column, key: str) -> Column:
+    h = _hashed(key, F.lit("domain"), name, attempt.cast("string"))
+    return F.concat(_letters(name, h), _more(attempt, h, "bcdfghjkmnprstvz"))
 
-    def hashed(*parts):
-        return F.sha2(F.concat_ws("\u0001", F.lit(key), *parts), 256)
+
+def surrogate(kind: Column, norm: Column, attempt: Column, of_domain: Column, key: str) -> Column:
+    """The candidate that stands for (kind, norm); of_domain: the attempt of an e-mail's domain."""
 
     def build(h):
         digits = F.translate(h, "abcdef", "012345")
         n = F.length(norm)
         payload = F.concat(F.substring(norm, 1, 1), F.substring(digits, F.lit(2), n - 2))
-        local, domain = F.regexp_extract(norm, "^(.*)@", 1), F.regexp_extract(norm, r"@(.*)\.[^.]*$", 1)
-        h_domain = hashed(F.lit("domain"), domain)
+        local = F.regexp_extract(norm, "^(.*)@", 1)
         more = lambda h: _more(attempt, h, "bcdfghjkmnprstvz")
+
         return (
-            F.when(kind == "email", F.concat(_letters(local, h), more(h), F.lit("@"), _letters(domain, h_domain), F.regexp_extract(norm, r"(\.[^.]*)$", 1)))
+            F.when(kind == "email", F.concat(_letters(local, h), more(h), F.lit("@"), domain_surrogate(domain_of(norm), of_domain, key), F.regexp_extract(norm, r"(\.[^.]*)$", 1)))
             # a phone keeps what stands before its last ten digits
             .when(kind == "phone", F.concat(F.substring(norm, F.lit(1), F.greatest(n - 10, F.lit(0))), F.substring(digits, F.lit(1), F.least(n, F.lit(10)))))
             .when(kind == "card", F.concat(payload, _check_digit(payload)))
@@ -184,7 +208,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
             .otherwise(_name(norm, h, attempt))
         )
 
-    return let(hashed(kind, norm, attempt.cast("string")), build)
+    return let(_hashed(key, kind, norm, attempt.cast("string")), build)
 
 
 def _cased(model: Column, text: Column) -> Column:
@@ -193,7 +217,9 @@ def _cased(model: Column, text: Column) -> Column:
 
 
 def rendered(kind: Column, surface: Column, value: Column) -> Column:
-    """The surrogate in the layout of this surface."""
+    """The surrogate in the layout of this surface; a phone's zone stays as it is."""
+    digits = F.regexp_replace(surface, r"\D", "")
+    value = F.when(kind == "phone", F.concat(F.substring(digits, F.lit(1), F.greatest(F.length(digits) - F.length(value), F.lit(0))), value)).otherwise(value)
 
     def step(acc, c):
         digit = F.when(kind == "iban", c != " ").otherwise(c.rlike(r"\d"))
@@ -210,19 +236,12 @@ def rendered(kind: Column, surface: Column, value: Column) -> Column:
     )
 
 
-def assigned(entities: DataFrame, key: str, stuck: int = 32) -> DataFrame:
-    """(kind, norm, attempt) of the distinct entities whose first candidate collided.
-
-    A candidate loses if a smaller norm of its kind has the same one or if it is
-    itself an entity of the corpus; losers draw again until none is left.  The
-    space of e-mails, keys and names grows with the attempt, so that ends; the
-    other kinds have fixed layouts, and ``stuck`` rounds without fewer losers
-    mean that one of them is full.
-    """
-    now = entities.select("kind", "norm", F.lit(0).alias("attempt"))
+def _drawn(entities: DataFrame, value: Column, stuck: int) -> DataFrame:
+    """(kind, norm, attempt) of those entities (kind, norm, of_domain) whose first candidate (value, of these and attempt) collided."""
+    now = entities.select("kind", "norm", "of_domain", F.lit(0).alias("attempt"))
     least, since = None, 0
     while True:
-        drawn = stored(now.withColumn("value", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "surrogates")
+        drawn = stored(now.withColumn("value", value), "surrogates")
         # an earlier attempt keeps its value before a later one takes it
         first = drawn.groupBy("kind", "value").agg(F.min(F.struct("attempt", "norm")).alias("first"), F.count("*").alias("n")).where("n > 1")
         lost = drawn.join(first, ["kind", "value"]).where((F.col("first.norm") != F.col("norm"))).select("kind", "norm")
@@ -231,12 +250,30 @@ def assigned(entities: DataFrame, key: str, stuck: int = 32) -> DataFrame:
         n = losers.count()
         if n == 0:
             return drawn.where("attempt > 0").select("kind", "norm", "attempt")
-        now = drawn.join(losers, ["kind", "norm"], "left").select("kind", "norm", (F.col("attempt") + F.coalesce("lost", F.lit(0))).alias("attempt"))
+        now = drawn.join(losers, ["kind", "norm"], "left").select("kind", "norm", "of_domain", (F.col("attempt") + F.coalesce("lost", F.lit(0))).alias("attempt"))
         least, since = (n, 0) if least is None or n < least else (least, since + 1)
         if since >= stuck:
             raise ValueError(f"{n} entities find no free surrogate in their layout")
 
 
+def assigned(entities: DataFrame, key: str, stuck: int = 32) -> DataFrame:
+    """(kind, norm, attempt) of the distinct entities, and domains, whose first candidate collided.
+
+    A candidate loses if a smaller norm of its kind has the same one or if it is
+    itself an entity of the corpus; losers draw again until none is left.  The
+    space of e-mails, domains, keys and names grows with the attempt, so that ends;
+    the other kinds have fixed layouts, and ``stuck`` rounds without fewer losers
+    mean that one of them is full.
+    """
+    mail = F.col("kind") == "email"
+    domains = entities.where(mail).select(F.lit("domain").alias("kind"), domain_of(F.col("norm")).alias("norm"), F.lit(0).alias("of_domain")).distinct()
+    redrawn = stored(_drawn(domains, domain_surrogate(F.col("norm"), F.col("attempt"), key), stuck), "domains")
+    known = redrawn.select(F.col("norm").alias("d"), F.col("attempt").alias("of_domain"))
+    rows = entities.join(known, mail & (domain_of(F.col("norm")) == F.col("d")), "left").select("kind", "norm", F.coalesce("of_domain", F.lit(0)).alias("of_domain"))
+    value = surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), F.col("of_domain"), key)
+    return _drawn(rows, value, stuck).unionByName(redrawn)
+
+
 def replace(docs: DataFrame, key: str = "threadline", small: int = 2000) -> DataFrame:
     """docs with the entities of ``text`` replaced, and ``pii`` = array of (kind, surrogate) in text order.
 
@@ -246,33 +283,39 @@ def replace(docs: DataFrame, key: str = "threadline", small: int = 2000) -> Data
     each = docs.select(F.explode(found(F.col("text"))).alias("m")).select(entity(F.col("m")).alias("e")).select("e.kind", "e.norm").where("kind IS NOT NULL")
     redrawn = stored(assigned(stored(each.distinct(), "entities"), key), "redrawn")
     id_of = lambda kind, norm: F.concat(kind, F.lit("\u0001"), norm)
+    domain_id = lambda e: F.when(e["kind"] == "email", id_of(F.lit("domain"), domain_of(e["norm"])))
     table = redrawn.select(id_of(F.col("kind"), F.col("norm")).alias("id"), "attempt")
-    rows = docs.withColumn("_found", F.transform(found(F.col("text")), entity))
+    others = [c for c in docs.columns if c != "text"]
+    carried, box = boxed(docs, others)
+    rows = carried.withColumn("found", F.transform(found(F.col("text")), entity))
     if redrawn.limit(small + 1).count() <= small:
-        taken = table.agg(F.map_from_entries(F.collect_list(F.struct("id", "attempt"))).alias("_attempts"))
+        taken = table.agg(F.map_from_entries(F.collect_list(F.struct("id", "attempt"))).alias("attempts"))
         rows = rows.crossJoin(F.broadcast(taken))  # one row of at most `small` entries
     else:
-        rows = rows.withColumn("_row", F.expr("uuid()"))
-        rows = stored(rows, "found")
+        rows = stored(rows.withColumn("row", F.expr("uuid()")), "found")
+        ids = F.concat(F.transform("found", lambda e: id_of(e["kind"], e["norm"])), F.transform("found", domain_id))
         of_row = (
-            rows.select("_row", F.explode(F.array_distinct(F.transform("_found", lambda e: id_of(e["kind"], e["norm"])))).alias("id"))
+            rows.select("row", F.explode(F.array_distinct(F.array_compact(ids))).alias("id"))
             .join(table, "id")
-            .groupBy("_row")
-            .agg(F.map_from_entries(F.collect_list(F.struct("id", "attempt"))).alias("_attempts"))
+            .groupBy("row")
+            .agg(F.map_from_entries(F.collect_list(F.struct("id", "attempt"))).alias("attempts"))
         )
-        rows = rows.join(of_row, "_row", "left").drop("_row")
+        rows = rows.join(of_row, "row", "left")
 
     def final(e):
-        attempt = F.coalesce(F.try_element_at(F.col("_attempts"), id_of(e["kind"], e["norm"])), F.lit(0))
-        value = rendered(e["kind"], e["surface"], surrogate(e["kind"], e["norm"], attempt, key))
+        taken = lambda x: F.coalesce(F.try_element_at(F.col("attempts"), x), F.lit(0))
+        value = let(surrogate(e["kind"], e["norm"], taken(id_of(e["kind"], e["norm"])), taken(domain_id(e)), key), lambda v: rendered(e["kind"], e["surface"], v))
         return F.struct(e["kind"].alias("kind"), F.when(e["kind"].isNull(), e["surface"]).otherwise(value).alias("surrogate"))
 
-    rows = rows.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", final)))
+    rows = rows.withColumn("new", F.when(F.size("found") > 0, F.transform("found", final)))
     gaps = F.split("text", ANY, -1)
-    text = F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size("_new")), F.col("_new.surrogate"), lambda a, b: F.concat(a, b)), ""), F.element_at(gaps, -1))
+    text = F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size("new")), F.col("new.surrogate"), lambda a, b: F.concat(a, b)), ""), F.element_at(gaps, -1))
+    name = "pii"
+    while name in docs.columns:
+        name += "_"
     return rows.select(
-        *[(F.when(F.col("_new").isNull(), F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(c)) for c in docs.columns],
-        F.coalesce(F.filter("_new", lambda e: e["kind"].isNotNull()), F.array().cast("array<struct<kind:string,surrogate:string>>")).alias("pii"),
+        *[(F.when(F.col("new").isNull(), F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(box)[c].alias(c)) for c in docs.columns],
+        F.coalesce(F.filter("new", lambda e: e["kind"].isNotNull()), F.array().cast("array<struct<kind:string,surrogate:string>>")).alias(name),
     )
 
 
