@@ -43,7 +43,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read(warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    records = warc.read(warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP10_SQL = """

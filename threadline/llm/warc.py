@@ -4,17 +4,26 @@ Of records with equal payloads of at least ``least`` bytes the one with the
 smallest page_id is a response, the others revisit it.  Archives are built where
 the join on the digest left the rows; one task writes archives of bounded size.
 The reader finds each frame from its block headers, checks the version line, the
-lengths, the digests and the dictionary, and raises on damage.
+lengths, the digests and the dictionary, and raises on damage.  It takes records of
+all types, of versions 1.0 and 1.1, with any record ids, with folded or unevenly
+spaced header lines in any letter case, digests by md5, sha1 or sha256 in hex or
+base 32, frames with or without a content size, and archives without a dictionary.
 
 Defined results: null html is an empty payload; null url is an empty target; rows
 repeated with the smallest page_id are responses all; a null page_id never is the
 smallest unless all are null (then all are responses); an empty table gives no
-archives and no rows; extra columns are ignored.
+archives and no rows; extra columns are ignored.  Of records that are no pages of
+these archives page_id and refers_to are null (record_id and refers_to_id have the
+names); a revisit whose record does not tell the payload's length or sha256 has
+nulls there; a digest of another algorithm is not checked, nor that of a truncated
+record.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 import struct
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +34,8 @@ from .common import batch_rows, stored
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
-VERSION = b"WARC/1.1"
+SKIPPABLE = range(0x184D2A50, 0x184D2A60)
+VERSION, VERSIONS = b"WARC/1.1", (b"WARC/1.0", b"WARC/1.1")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 ARCHIVE_BYTES = 8 << 20
@@ -51,32 +61,85 @@ def record(page_id, url: str, kind: str, digest: str, n_bytes: int, refers_to, p
     return VERSION + b"\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def parse_record(data: bytes) -> dict:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to and payload (None for a revisit)."""
+def _agrees(named: str, data: bytes) -> bool | None:
+    """Whether data has a digest such as sha1:...; None for an algorithm not known here."""
+    kind, _, value = named.partition(":")
+    kind = kind.strip().lower().replace("-", "")
+    if kind not in ("md5", "sha1", "sha256"):
+        return None
+    found, value = hashlib.new(kind, data), value.strip()
+    return value.lower() == found.hexdigest() or value.upper().rstrip("=") == base64.b32encode(found.digest()).decode().rstrip("=")
+
+
+def _fields(lines: list[bytes]) -> dict[str, str]:
+    """Header fields by lower-case name; the first of repeated ones, folded lines joined."""
+    out: dict[str, str] = {}
+    name = None
+    for line in lines:
+        text = line.decode("utf-8", "replace")
+        if text[:1] in (" ", "\t") and name:
+            out[name] += " " + text.strip()
+            continue
+        name, colon, value = text.partition(":")
+        name = name.strip().lower()
+        if not colon or not name:
+            raise ValueError("a header line has no name")
+        out.setdefault(name, value.strip())
+    return out
+
+
+def _page(name: str | None) -> int | None:
+    found = re.fullmatch(r"<urn:page:(-?\d+)>", name or "")
+    return int(found[1]) if found else None
+
+
+def parse_record(data: bytes, strict: bool = True) -> dict:
+    """One record as a row (RECORD); payload is what follows an HTTP header, else the whole block (None for a revisit)."""
     head, gap, rest = data.partition(b"\r\n\r\n")
     version, *lines = head.split(b"\r\n")
-    if version != VERSION or not gap:
+    if version not in VERSIONS or not gap:
         raise ValueError("not a WARC record")
-    fields = dict(x.decode().split(": ", 1) for x in lines)
-    length = int(fields["Content-Length"])
+    fields = _fields(lines)
+    missing = [x for x in ("warc-type", "warc-record-id", "content-length") if x not in fields]
+    if missing:
+        raise ValueError(f"a record has no {missing[0]}")
+    if not fields["content-length"].isdecimal():
+        raise ValueError("a record's Content-Length is no number")
+    length = int(fields["content-length"])
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise ValueError("a record's length differs from its Content-Length")
-    http, gap, payload = rest[:length].partition(b"\r\n\r\n")
-    if not http.startswith(b"HTTP/") or not gap:
-        raise ValueError("a record's block has no HTTP header")
-    number = lambda x: None if x == "<urn:page:null>" else int(x[10:-1])
-    kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha256:")
-    if kind == "response" and (len(payload) != int(fields["X-Payload-Length"]) or hashlib.sha256(payload).hexdigest() != digest):
-        raise ValueError("a payload differs from its digest")
-    if kind == "revisit" and payload:
-        raise ValueError("a revisit has a payload")
+    block, kind = rest[:length], fields["warc-type"].lower()
+    payload = block
+    if fields.get("content-type", "").lower().replace(" ", "").startswith("application/http") and block:
+        http, gap, payload = block.partition(b"\r\n\r\n")
+        first = http.split(b"\r\n", 1)[0]
+        if not (first.startswith(b"HTTP/") or b" HTTP/" in first):
+            raise ValueError("a record's block has no HTTP header")
+    whole = "warc-truncated" not in fields
+    if whole and _agrees(fields.get("warc-block-digest", ""), block) is False:
+        raise ValueError("a block differs from its digest")
+    named, told = fields.get("warc-payload-digest", ""), fields.get("x-payload-length", "")
+    told = int(told) if told.isdecimal() else None
+    if kind == "revisit":
+        if payload and "x-payload-length" in fields:
+            raise ValueError("a revisit has a payload")
+        size, algorithm, digest = told, *named.partition(":")[::2]
+        digest = digest.strip().lower() if algorithm.lower() == "sha256" and len(digest.strip()) == 64 else None
+        payload = None
+    else:
+        if whole and strict and (_agrees(named, payload) is False or (told is not None and told != len(payload))):
+            raise ValueError("a payload differs from its digest")
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
     return {
-        "page_id": number(fields["WARC-Record-ID"]),
-        "payload_bytes": int(fields["X-Payload-Length"]),
-        "payload_digest": digest,
+        "record_id": fields["warc-record-id"],
         "record_type": kind,
-        "refers_to": number(fields["WARC-Refers-To"]) if kind == "revisit" else None,
-        "payload": payload if kind == "response" else None,
+        "target_uri": fields.get("warc-target-uri"),
+        "refers_to_id": fields.get("warc-refers-to"),
+        "page_id": _page(fields["warc-record-id"]),
+        "payload_bytes": size,
+        "payload_digest": digest,
+        "refers_to": _page(fields.get("warc-refers-to")) if kind == "revisit" else None,
+        "payload": payload,
     }
 
 
@@ -98,6 +161,8 @@ def frame_end(data: bytes, at: int) -> int:
     """Where the frame that starts at ``at`` ends, by its block headers."""
     import zstandard
 
+    if at + 6 > len(data):
+        raise ValueError("the archive ends inside a frame")
     if struct.unpack_from("<I", data, at)[0] != FRAME_MAGIC:
         raise ValueError("no Zstandard frame where one must start")
     start, checksum = at, data[at + 4] >> 2 & 1
@@ -116,21 +181,40 @@ def frame_end(data: bytes, at: int) -> int:
     return at
 
 
-def read_archive(data: bytes):
+def _decoded(reader, frame: bytes) -> bytes:
+    """The bytes of one frame, whether or not its header tells their number."""
+    stream = reader.decompressobj()
+    out = stream.decompress(frame)
+    if not stream.eof:
+        raise ValueError("the archive ends inside a frame")
+    return out
+
+
+def read_archive(data: bytes, strict: bool = True):
     """The records of one archive."""
     import zstandard
 
+    if not data:
+        return
+    if len(data) < 8:
+        raise ValueError("the archive ends inside a frame")
     magic, size = struct.unpack_from("<II", data)
-    if magic != DICTIONARY_MAGIC or 8 + size > len(data):
+    at, reader = 0, zstandard.ZstdDecompressor()
+    if magic == DICTIONARY_MAGIC:
+        if 8 + size > len(data):
+            raise ValueError("the archive ends inside its dictionary")
+        content = data[8 : 8 + size]
+        if content[:4] == struct.pack("<I", FRAME_MAGIC):  # the dictionary itself may be compressed
+            content = _decoded(reader, content)
+        at, reader = 8 + size, zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(content))
+    elif magic != FRAME_MAGIC:
         raise ValueError("the archive has no leading dictionary frame")
-    content = data[8 : 8 + size]
-    if content[:4] == struct.pack("<I", FRAME_MAGIC):  # the dictionary itself may be compressed
-        content = zstandard.ZstdDecompressor().decompressobj().decompress(content)
-    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(content))
-    at = 8 + size
     while at < len(data):
+        if at + 8 <= len(data) and struct.unpack_from("<I", data, at)[0] in SKIPPABLE:
+            at += 8 + struct.unpack_from("<I", data, at + 4)[0]
+            continue
         end = frame_end(data, at)
-        yield parse_record(reader.decompress(data[at:end]))
+        yield parse_record(_decoded(reader, data[at:end]), strict)
         at = end
 
 
@@ -162,23 +246,29 @@ def write(pages: DataFrame, least: int = 100) -> DataFrame:
         return stored(typed.mapInPandas(build, "content binary"), "archives")
 
 
-def read(archives: DataFrame, payloads: bool = False) -> DataFrame:
-    """One row per record of a table with ``content`` (as the binaryFile source gives it)."""
-    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"] + ["payload"] * payloads
+RECORD = "record_id string, record_type string, target_uri string, refers_to_id string, page_id long, payload_bytes long, payload_digest string, refers_to long"
+
+
+def read(archives: DataFrame, payloads: bool = False, strict: bool = True) -> DataFrame:
+    """One row per record of a table with ``content`` (as the binaryFile source gives it).
+
+    Not ``strict``, payloads may differ from their digests: crawlers also take them of decoded bodies.
+    """
+    schema = RECORD + ", payload binary" * payloads
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def parse(frames):
         import pandas as pd
 
         for f in frames:
             for content in f["content"]:
-                rows = pd.DataFrame(list(read_archive(content)), columns=[*names, *["payload"] * (not payloads)])[names]
-                yield rows.astype({"page_id": "Int64", "payload_bytes": "int64", "refers_to": "Int64"})
+                rows = pd.DataFrame(list(read_archive(content, strict)), columns=[*names, *["payload"] * (not payloads)])[names]
+                yield rows.astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
 
-    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads
     with batch_rows(archives.sparkSession, 4):
         return stored(archives.select("content").mapInPandas(parse, schema), "records")
 
 
 def read_files(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Records of .warc.zst files under a path."""
-    return read(spark.read.format("binaryFile").load(path), **options)
+    """Records of the .warc.zst files under a path; a file goes to one task, so it must fit its memory."""
+    return read(spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").option("recursiveFileLookup", "true").load(path), **options)
