@@ -15,7 +15,8 @@ The risk holds for each ratio, so ``risk`` = ``total_risk`` / 5 bounds them all.
 Defined results: null or empty text has no words and fails the base rule; a
 document whose language is null or has too few labelled good documents uses the
 cutoffs of the pooled stratum; null labels and labels of unknown documents are
-ignored; repeated doc_ids are judged row by row; extra columns are ignored.
+ignored; repeated doc_ids are judged row by row, and count as so many trials (the
+bound is exact where labelled rows are distinct); extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ Learning uses at most ``fit_rows`` labelled rows (those with the smallest hashes
 
 Defined results: null and empty texts have no hits and get the score of a clean
 text; without toxic labels to learn from the lexicon is empty and every score is
-the share of toxic labels (0 without labels); repeated rows get equal scores.
+the share of toxic labels (0 without labels); repeated rows get equal scores, and of
+several texts of a labelled doc_id one is learned from, the same in every run; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -111,7 +113,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, most_candida
     """A model from labels (doc_id, toxic); the rows are at most fit_rows, so what the driver gathers is bounded."""
     spark = docs.sparkSession
     chosen = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    # of rows with the same doc_id the same text is learned from in every run
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("doc_id", "text", "toxic")
 
     def count(frames):
         import pandas as pd
