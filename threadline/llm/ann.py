@@ -2,16 +2,18 @@
 
 Nearness is the inner product.  Vectors are scaled by the largest norm and given
 one more component so that all have norm 1; then the nearest by distance is the
-largest inner product.  Each table hashes a vector to ``functions`` cells of
-random projections.  A query visits, in the order of estimated success (sum of
-squared distances to the cell borders it must cross), its own bucket and
-perturbed ones.  Candidates of all tables are merged and ranked by the inner
+largest inner product.  Each table hashes a vector to cells of random projections, of
+more functions the more vectors there are.  A query visits its own bucket and
+perturbed ones in the order of estimated success: its cell borders are ranked by
+distance, and one order of border sets, by their expected sums of squared distances,
+serves all queries.  Candidates of all tables are merged and ranked by the inner
 product of the original vectors in double precision.
 
 Cell width and the number of probes are fitted on at most ``fit_rows`` vectors
 and ``fit_queries`` queries, so that the recall there reaches ``target``; the index
-holds every vector.  Equal vectors are one class: of each class only the k + 1
-smallest ids can be among a query's k nearest, so more are never needed.
+holds every vector.  Equal vectors are one class, named by its smallest id: of each
+class only the k + 1 smallest ids can be among a query's k nearest, so more are never
+needed; equal scores are told apart by the id.
 
 Defined results: vectors that are null, zero, or hold nulls or non-finite numbers
 take no part, nor do rows with a null id; only vectors of the most common length
@@ -30,8 +32,38 @@ from pyspark.sql.window import Window
 
 from .common import batch_rows, stored
 
-TABLES, FUNCTIONS = 4, 10
-PROBES = (16, 32, 64, 128, 256, 512, 1024, 2048)
+TABLES = 4
+PROBES = (16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 8192)
+
+
+def functions_for(n: int) -> int:
+    """Functions per table: one more for each doubling, 10 at ten thousand vectors."""
+    return int(min(20, max(8, round(np.log2(max(n, 1)) - 3.3))))
+
+
+def border_sets(functions: int, count: int) -> np.ndarray:
+    """The count likeliest sets of borders to cross (rows), by rank of their distance (columns): the first is empty.
+
+    Of uniform places in a cell the j-th nearest of 2k borders has an expected squared distance
+    of j (j + 1) / (4 (k + 1) (k + 2)), and so from the far side; a cell has one near and one far border.
+    """
+    k = functions
+    j = np.arange(1, k + 1)
+    near = j * (j + 1) / (4 * (k + 1) * (k + 2))
+    back = j[::-1]
+    cost = np.concatenate([near, 1 - back / (k + 1) + back * (back + 1) / (4 * (k + 1) * (k + 2))])
+    out = np.zeros((count, 2 * k), dtype=np.int64)
+    found, heap = 1, [(cost[0], (0,))]
+    while heap and found < count:
+        total, chosen = heapq.heappop(heap)
+        if not any(2 * k - 1 - c in chosen for c in chosen):
+            out[found, list(chosen)] = 1
+            found += 1
+        last = chosen[-1]
+        if last + 1 < 2 * k:  # the next border too, or instead
+            heapq.heappush(heap, (total + cost[last + 1], (*chosen, last + 1)))
+            heapq.heappush(heap, (total - cost[last] + cost[last + 1], (*chosen[:-1], last + 1)))
+    return out[:found]
 
 
 def augmented(x: np.ndarray, largest: float) -> np.ndarray:
@@ -42,7 +74,7 @@ def augmented(x: np.ndarray, largest: float) -> np.ndarray:
 class Hashes:
     """Cells of random projections, and the probing sequence of a query."""
 
-    def __init__(self, dim: int, largest: float, width: float, tables: int = TABLES, functions: int = FUNCTIONS):
+    def __init__(self, dim: int, largest: float, width: float, functions: int, tables: int = TABLES):
         rng = np.random.default_rng(7)
         self.largest, self.width, self.tables, self.functions = largest, width, tables, functions
         self.directions = rng.normal(size=(dim + 1, tables * functions))
@@ -55,44 +87,38 @@ class Hashes:
 
     def key(self, cells: np.ndarray, table: int) -> np.ndarray:
         with np.errstate(over="ignore"):
-            h = (cells * self.mix).sum(axis=-1) + np.int64(table)
-            h = h * np.int64(-7046029254386353131)
+            return self._scrambled((cells * self.mix).sum(axis=-1), table)
+
+    @staticmethod
+    def _scrambled(h, table: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            h = (h + np.int64(table)) * np.int64(-7046029254386353131)
             return h ^ (h >> np.int64(29))
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         cells = np.floor(self.project(x)).astype(np.int64)
         return np.column_stack([self.key(cells[:, t], t) for t in range(self.tables)])
 
-    def probes(self, query: np.ndarray, count: int) -> np.ndarray:
+    def probes(self, query: np.ndarray, sets: np.ndarray) -> np.ndarray:
         """The keys that a query visits, table by table, the likeliest first."""
         at = self.project(query[None])[0]
-        out = []
+        out, k = [], self.functions
         for t in range(self.tables):
             cells = np.floor(at[t])
-            part, k = at[t] - cells, self.functions
-            border = np.concatenate([part, 1 - part])  # one cell down, one cell up
-            order = np.argsort(border, kind="stable")
-            cost = border[order] ** 2
-            steps = np.zeros((count, k), dtype=np.int64)
-            found, heap = 1, [(cost[0], (0,))]
-            while heap and found < count:
-                total, chosen = heapq.heappop(heap)
-                moved = order[list(chosen)]
-                if len(set((moved % k).tolist())) == len(chosen):
-                    steps[found, moved % k] = np.where(moved < k, -1, 1)
-                    found += 1
-                last = chosen[-1]
-                if last + 1 < 2 * k:  # the next border too, or instead
-                    heapq.heappush(heap, (total + cost[last + 1], (*chosen, last + 1)))
-                    heapq.heappush(heap, (total - cost[last] + cost[last + 1], (*chosen[:-1], last + 1)))
-            out.append(self.key(cells.astype(np.int64) + steps[:found], t))
+            part = at[t] - cells
+            order = np.argsort(np.concatenate([part, 1 - part]), kind="stable")  # one cell down, one cell up
+            with np.errstate(over="ignore"):
+                moved = np.where(order < k, -1, 1) * self.mix[order % k]
+                base = (cells.astype(np.int64) * self.mix).sum()
+                out.append(self._scrambled(base + (sets * moved).sum(axis=1), t))
         return np.concatenate(out)
 
 
-def fit(x: np.ndarray, largest: float, k: int, queries: int, target: float) -> tuple[Hashes, int]:
-    """Hashes and the least number of probes whose recall on the sample x reaches target."""
+def fit(x: np.ndarray, largest: float, k: int, queries: int, target: float, functions: int) -> tuple[Hashes, np.ndarray, float]:
+    """Hashes, the fewest border sets with which the recall on the sample x reaches target (else all), and that recall."""
     spread = float((augmented(x, largest) @ np.random.default_rng(7).normal(size=(x.shape[1] + 1, 64))).std(axis=0).mean())
-    hashes = Hashes(x.shape[1], largest, max(2.8 * spread, 1e-6))
+    hashes = Hashes(x.shape[1], largest, max(2.8 * spread, 1e-6), functions)
+    sets = border_sets(functions, PROBES[-1])
     keys = hashes.keys(x)
     where = [{} for _ in range(hashes.tables)]
     for t in range(hashes.tables):
@@ -103,21 +129,21 @@ def fit(x: np.ndarray, largest: float, k: int, queries: int, target: float) -> t
     scores[asked, asked] = -np.inf
     near = min(k, len(x) - 1)
     if near < 1:
-        return hashes, PROBES[0]
+        return hashes, sets[: PROBES[0]], 1.0
     true = np.argpartition(-scores, near - 1, axis=1)[:, :near]
     for count in PROBES:
         hit = 0
         for q in asked:
             found = set()
-            each = hashes.probes(x[q], count)
+            each = hashes.probes(x[q], sets[:count])
             size = len(each) // hashes.tables
             for t in range(hashes.tables):
                 for key in each[t * size : (t + 1) * size].tolist():
                     found.update(where[t].get(key, ()))
             hit += len(found.intersection(true[q].tolist()))
         if hit >= target * true.size:
-            return hashes, count
-    return hashes, PROBES[-1]
+            break
+    return hashes, sets[:count], hit / true.size
 
 
 def clean(vectors: DataFrame, id_col: str, column: str) -> DataFrame:
@@ -129,8 +155,11 @@ def clean(vectors: DataFrame, id_col: str, column: str) -> DataFrame:
     return rows.where(F.size("v") == (dim["d"] if dim else 0))
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", column: str = "embedding", target: float = 0.96, fit_rows: int = 8192, fit_queries: int = 64) -> DataFrame:
-    """query_id, rank, the found id and score for every row with is_query(id column)."""
+def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", column: str = "embedding", target: float = 0.96, fit_rows: int = 8192, fit_queries: int = 64, least: float = 0.9) -> DataFrame:
+    """query_id, rank, the found id and score for every row with is_query(id column).
+
+    Where the fitted recall stays below ``least`` every vector is compared, group by group.
+    """
     spark = vectors.sparkSession
     rows = stored(clean(vectors, id_col, column).withColumn("digest", F.sha2(F.to_json(F.col("v")), 256)), "vectors")
     smallest = Window.partitionBy("digest").orderBy("id")
@@ -138,7 +167,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
     members = members.groupBy("digest").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     ask = rows.where(is_query(F.col("id"))).select("digest", "id")
     classes = rows.groupBy("digest").agg(F.first("v").alias("v")).join(members, "digest").join(ask.select("digest").distinct().withColumn("asked", F.lit(True)), "digest", "left")
-    classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    # a class goes by its smallest id, so that equal scores are cut by id
+    classes = stored(classes.withColumn("cid", F.element_at("ids", 1)), "classes")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     stats = classes.agg(F.count("*").alias("n"), F.max(norm).alias("largest")).first()
     n = stats["n"]
@@ -146,7 +176,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
     if not n:
         return spark.createDataFrame([], schema)
     sample = np.array([r["v"] for r in classes.orderBy(F.xxhash64("digest"), "digest").limit(fit_rows).select("v").collect()])
-    hashes, probes = fit(sample, stats["largest"], k, fit_queries, target)
+    hashes, probes, recall = fit(sample, stats["largest"], k, fit_queries, target, functions_for(n))
+    exact = recall < least
     groups, salts = max(16, n * hashes.tables // 50_000), max(1, n // 2_000_000)
 
     def index(frames):
@@ -154,7 +185,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
 
         for f in frames:
             keys = hashes.keys(np.vstack(f["v"].to_numpy()))
-            for t in range(hashes.tables):
+            for t in range(1 if exact else hashes.tables):
                 yield pd.DataFrame({"g": keys[:, t] % groups, "salt": f["cid"] % salts, "key": keys[:, t], "cid": f["cid"], "v": f["v"]})
 
     def visit(frames):
@@ -163,6 +194,9 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
         for f in frames:
             out = []
             for cid, v in zip(f["cid"], f["v"], strict=True):
+                if exact:
+                    out += [(x, s, cid, v, []) for x in range(groups) for s in range(salts)]
+                    continue
                 keys = np.unique(hashes.probes(np.asarray(v), probes))
                 g = keys % groups
                 for x in np.unique(g):
@@ -179,13 +213,15 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
             for q, x, keys in zip(right["query"], right["v"], right["keys"], strict=True):
                 lo, hi = np.searchsorted(key, keys), np.searchsorted(key, keys, side="right")
                 some = np.flatnonzero(hi > lo)
-                if len(some):
-                    at = np.concatenate([np.arange(lo[i], hi[i]) for i in some])
+                if exact or len(some):
+                    at = np.arange(len(key)) if exact else np.concatenate([np.arange(lo[i], hi[i]) for i in some])
                     at = at[np.unique(cid[at], return_index=True)[1]]  # tables share classes
                     score = v[at] @ np.asarray(x)
-                    if len(at) > k + 1:
-                        best = np.argpartition(-score, k)[: k + 1]
-                        at, score = at[best], score[best]
+                    if len(at) > k + 1:  # all above the last score, and of its equals the smallest ids
+                        least = -np.partition(-score, k)[k]
+                        some = np.flatnonzero(score >= least)
+                        some = some[np.lexsort((cid[at[some]], -score[some]))[: k + 1]]
+                        at, score = at[some], score[some]
                     out.append(pd.DataFrame({"query": q, "cid": cid[at], "score": score}))
         return pd.concat(out) if out else pd.DataFrame({"query": [], "cid": [], "score": []}).astype({"query": "int64", "cid": "int64", "score": "float64"})
 
@@ -194,7 +230,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
         visits = classes.where("asked").select("cid", "v").mapInPandas(visit, "g long, salt long, query long, v array<double>, keys array<long>")
         found = indexed.groupBy("g", "salt").cogroup(visits.groupBy("g", "salt")).applyInPandas(lambda a, b: rank(a, b), "query long, cid long, score double")
         found = stored(found.groupBy("query", "cid").agg(F.max("score").alias("score")), "found")
-    near = found.withColumn("_r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "cid"))).where(F.col("_r") <= 2 * (k + 1)).drop("_r")
+    near = found.withColumn("_r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "cid"))).where(F.col("_r") <= k + 1).drop("_r")
     listed = near.join(classes.select("cid", "ids"), "cid").select("query", "score", F.explode("ids").alias("found"))
     asked = ask.join(classes.where("asked").select("digest", F.col("cid").alias("query")), "digest").select("query", F.col("id").alias("query_id"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "found")
