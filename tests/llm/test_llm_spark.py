@@ -104,12 +104,16 @@ def test_packing(docs):
         used[r.doc_id] += r.length
         places[r.sequence_id].append((r.offset, r.length))
     assert used == {d: copies[d] * len(x) // 4 for d, x in ids.items()}
+    ends = []
     for parts in places.values():
         at = 0
         for offset, length in sorted(parts):
             assert offset == at
             at += length
-        assert at <= 2048
+        ends.append(at)
+    # full, or of a power of two: no padding; of each power at most one
+    short = [n for n in ends if n != 2048]
+    assert all(n < 2048 and n & (n - 1) == 0 for n in short) and len(set(short)) == len(short)
     assert packing.pack(docs.where("false"), BPE).count() == 0
 
 
@@ -192,6 +196,17 @@ def test_warc(spark):
     assert warc.read(warc.write(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
 
 
+def test_warc_files(spark, tmp_path):
+    """Archives written out as files are read back by their own."""
+    pages = spark.createDataFrame([(i, f"u{i}", "x" * 120 if i % 2 else f"page {i} " * 30) for i in range(40)], "page_id long, url string, html string")
+    for i, r in enumerate(warc.write(pages).collect()):
+        (tmp_path / f"part-{i}.warc.zst").write_bytes(r.content)
+    (tmp_path / "notes.txt").write_text("no archive")
+    got = warc.read_files(spark, str(tmp_path), payloads=True).collect()
+    assert sorted(r.page_id for r in got) == list(range(40)) and sum(r.record_type == "revisit" for r in got) == 19
+    assert next(r for r in got if r.page_id == 4).payload == ("page 4 " * 30).encode()
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(400, 16)).astype("f4")
@@ -213,6 +228,31 @@ def test_nearest(spark):
     assert ann.search(df.where("false"), lambda i: i % 20 == 0).count() == 0
 
 
+def test_nearest_ties(spark):
+    """Vectors of a few values: of equal scores the smaller ids come first, also where they are cut off."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(-1, 2, size=(300, 6)).astype(float)
+    x[:, 0] = 1
+    df = spark.createDataFrame([(1000 - i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    ids = np.array([1000 - i for i in range(300)])
+    got = defaultdict(list)
+    for r in ann.search(df, lambda i: i % 50 == 0, target=1.0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.id, r.score))
+    hit = total = 0
+    for q, found in got.items():
+        s = x @ x[1000 - q]
+        s[1000 - q] = -np.inf
+        want = [(int(ids[i]), float(s[i])) for i in np.lexsort((ids, -s))[:20]]
+        hit, total = hit + len(set(want) & set(found)), total + 20
+        assert found == sorted(found, key=lambda f: (-f[1], f[0]))
+    assert hit >= 0.97 * total
+    # where hashing finds too little on the sample, everything is compared
+    for r in ann.search(df, lambda i: i % 50 == 0, least=1.1).collect():
+        s = x @ x[1000 - r.query_id]
+        s[1000 - r.query_id] = -np.inf
+        assert ids[np.lexsort((ids, -s))[r["rank"] - 1]] == r.id
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(9)
     data = []
@@ -240,6 +280,118 @@ def test_segmentations(docs):
     assert pieces.segmentations(docs.where("false"), SP).count() == 0
 
 
+def test_toxicity_scan_is_naive(spark):
+    """The automaton's hits are those of a scan of every place of the folded text."""
+    rng = np.random.default_rng(4)
+    syllables = ["mor", "on", "tra", "sh", "can", " ", " ", "id", "iot", "s"]
+    entries = {" moron": 2.0, " mor": 1.0, " trash ": 1.5, " id": 0.5, " idiot": 3.0, " trashcan ": 0.7}
+    exceptions = ("trash can", "idiot s")
+    matcher = toxicity.Matcher(entries, exceptions)
+
+    def naive(folded):
+        out_of = [(i, i + len(e) - 1) for e in map(toxicity.fold, exceptions) for i in range(len(folded)) if folded.startswith(e, i)]
+        hits = []
+        for i in range(len(folded)):
+            found = [w for e, w in entries.items() if folded.startswith(e, i)]
+            if found and not any(a <= i < b for a, b in out_of):
+                hits.append(max(found))
+        return sorted(hits)
+
+    for _ in range(500):
+        folded = toxicity.fold("".join(rng.choice(syllables, 12)))
+        assert sorted(w for w, _ in matcher.hits(folded)) == naive(folded), folded
+
+
+def test_pii_against_brute_force(spark):
+    """Surrogates are of the same kind and layout, one for each entity, different ones for different entities, and none is an entity."""
+    import re
+
+    rng = np.random.default_rng(5)
+    pick = lambda *x: x[rng.integers(len(x))]
+    mails = [f"{pick('a', 'b', 'ann.b', 'Z9')}@{pick('x', 'y', 'q', 'ab')}.{pick('org', 'com')}" for _ in range(60)]
+    phones = [f"{pick('+1 ', '+1-', '')}({n // 10000000}) {n // 10000 % 1000:03d}-{n % 10000:04d}" for n in rng.integers(2_000_000_000, 2_000_000_020, 40)]
+    names = [f"{pick('Mr', 'Mrs', 'Frau')} {pick('Ann', 'Li', 'Иван', 'Νίκος')} {pick('Smith', 'Bo', 'Петров', 'Παππάς')}" for _ in range(40)]
+    cards = [pick("4111 1111 1111 1111", "4111111111111111", "5500-0000-0000-0004") for _ in range(10)]
+    rows = list(enumerate([*mails, *phones, *names, *cards]))
+    got = {r.doc_id: r for r in pii.replace(spark.createDataFrame([(i, f"x {s} y") for i, s in rows], "doc_id long, text string")).collect()}
+    norm = {}
+    for i, s in rows:
+        kind = ["email", "phone", "name", "card"][sum(i >= n for n in (60, 100, 140))]
+        assert [e.kind for e in got[i].pii] == [kind], s
+        digits = re.sub(r"\D", "", s)
+        norm[i] = (kind, {"email": s.lower(), "name": s, "card": digits}.get(kind, digits[-10:]))
+    value = {i: got[i].pii[0].surrogate for i in norm}
+    shown = lambda i: (norm[i][0], {"email": value[i].lower(), "name": value[i]}.get(norm[i][0], re.sub(r"\D", "", value[i])[-16 if norm[i][0] == "card" else -10 :]))
+    by_entity, by_value = defaultdict(set), defaultdict(set)
+    for i in norm:
+        by_entity[norm[i]].add(shown(i))
+        by_value[shown(i)].add(norm[i])
+    assert all(len(x) == 1 for x in by_entity.values()) and all(len(x) == 1 for x in by_value.values())
+    assert not set(by_value) & set(by_entity)
+    stems = defaultdict(set)
+    for i, s in rows[:60]:
+        stems[s.lower().split("@")[1].rsplit(".", 1)[0]].add(value[i].lower().split("@")[1].rsplit(".", 1)[0])
+    assert all(len(x) == 1 for x in stems.values()) and len({next(iter(x)) for x in stems.values()}) == len(stems)
+    for i, s in rows:
+        if norm[i][0] in ("phone", "card"):
+            assert re.sub(r"\d", "0", value[i]) == re.sub(r"\d", "0", s)
+        if norm[i][0] == "name":
+            script = lambda t: {"Cyrillic" if "\u0400" <= c <= "\u04ff" else "Greek" if "\u0370" <= c <= "\u03ff" else "Latin" for c in t.split(" ", 1)[1] if c.isalpha()}
+            assert value[i].split()[0] == s.split()[0] and (len(script(s)) > 1 or script(value[i]) == script(s))
+
+
+ODD_NAMES = ("kept", "h", "n_bytes", "spans", "pii", "_found", "_new", "_attempts", "_row", "_k", "_d", "_h", "found", "row", "cid", "box")
+
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    """Each stage on a small table with clashing columns, nulls, copies, near copies and shared passages."""
+    import corpus_pipeline
+
+    prose = lambda seed, n: " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 5000, n))
+    passage = prose(99, 60)
+    a, b = prose(1, 150), prose(2, 150)
+    texts = [a, a, a.replace(a.split()[70], "changed"), b, f"{prose(3, 80)} {passage} {prose(4, 60)}", f"{prose(5, 90)} {passage} {prose(6, 70)}", prose(7, 60) + " mail ann@x.org now", "too short", None, "", "same words " * 40, prose(8, 4000)]
+    rows = [(i, t, "en", "s", len(t or ""), *[f"{c}-{i}" for c in ODD_NAMES]) for i, t in enumerate(texts)]
+    rows += [rows[3], (None, prose(9, 90), None, None, None, *["none"] * len(ODD_NAMES))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in ODD_NAMES))
+    spark.createDataFrame([(0, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def step(name, df):
+        out = stages[name](spark, df, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        back = spark.read.parquet(f"{tmp_path}/{name}")
+        assert name == "packing" or back.columns == docs.columns
+        if name != "packing":
+            for r in back.collect():
+                assert all(r[c] == ("none" if r.doc_id is None else f"{c}-{r.doc_id}") for c in ODD_NAMES)
+        return back
+
+    good = step("quality_rules", docs)
+    assert sorted((r.doc_id if r.doc_id is not None else -1) for r in good.collect()) == [-1, 0, 1, 2, 3, 3, 4, 5, 6, 11]
+    once = step("minhash_near_dedup", good)
+    assert sorted((r.doc_id if r.doc_id is not None else -1) for r in once.collect()) == [-1, 0, 3, 4, 5, 6, 11]
+    cut = step("suffix_array_dedup", once)
+    before = {r.doc_id: r.text.encode() for r in once.collect()}
+    span = corpus_pipeline.SPAN
+    seen = Counter(t[i : i + span] for t in before.values() for i in range(len(t) - span + 1))
+    for r in cut.collect():
+        t = before[r.doc_id]
+        gone = bytearray(len(t))
+        for i in range(len(t) - span + 1):
+            if seen[t[i : i + span]] > 1:
+                gone[i : i + span] = b"\1" * span
+        assert r.text == bytes(c for c, g in zip(t, gone, strict=True) if not g).decode() and r.n_chars == len(r.text)
+        assert (passage in r.text) is False
+    private = step("pii_surrogates", cut)
+    changed = {r.doc_id for r in private.join(cut.select("doc_id", F.col("text").alias("old")), "doc_id").where("text <> old").collect()}
+    assert changed == {6} and "ann@x.org" not in private.where("doc_id = 6").first().text
+    tk, used = Tokenizer.from_file(BPE), Counter()
+    for r in step("packing", private).collect():
+        used[r.doc_id] += r.length
+    assert used == {r.doc_id: len(tk.encode(r.text, add_special_tokens=False).ids) + 1 for r in private.collect()}
+
+
 def test_pipeline(spark, tiny):
     import corpus_pipeline
 

@@ -10,10 +10,13 @@ segmentations with a common beginning; its key is the greatest Gumbel-perturbed
 probability inside it.  The key of the root is drawn first; the best child inherits its
 parent's key and all its siblings together get a Gumbel of their mass, truncated there.
 So the node on top of the queue always leads to the next of the k largest perturbed
-segmentations, which are distinct and an exact sample without replacement.  With the
-(k + 1)-th key as threshold, each gets its inclusion probability.
+segmentations, which are distinct and a sample without replacement (pieces are drawn on
+a grid of 2^-24, log probabilities summed on one of 2^-32).  With the (k + 1)-th key as
+threshold, each gets its inclusion probability.
 
-Draws are seeded by the row key: results do not depend on partitions or retries.
+The texts of a batch are searched side by side, each round adding one segmentation to
+each of them.  Draws are hashes of the row key, the round, the word and the step, and
+sums are of whole numbers: results do not depend on batches, partitions or retries.
 
 Defined results: null and empty texts have one empty segmentation (probability and
 inclusion 1, no ids); texts with fewer than k segmentations return all; equal keys give
@@ -37,10 +40,9 @@ _LATTICES: dict[str, Lattices] = {}
 
 
 class Lattices:
-    """A vocabulary as an Aho-Corasick automaton of its pieces, one per worker process."""
+    """A vocabulary as a trie of its pieces, one per worker process."""
 
     def __init__(self, path: str):
-        import ahocorasick
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -52,17 +54,28 @@ class Lattices:
         # most frequent first: the score of a merge falls with its order
         logs = {i: -np.log(r + 3.0) for r, i in enumerate(sorted(plain, key=lambda i: -self.model.get_score(i)))}
         total = np.log(sum(np.exp(x) for x in logs.values()))
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        children: dict[tuple[int, str], int] = {}
+        ends: dict[int, int] = {}
         for n_th, i in enumerate(logs):
-            self.automaton.add_word(names[i], n_th)
-        self.automaton.make_automaton()
+            at = 0
+            for c in names[i]:
+                at = children.setdefault((at, c), len(children) + 1)
+            ends[at] = n_th
+        # a trie's edges as sorted numbers: the node, then the character
+        edges = np.fromiter((at << 21 | ord(c) for at, c in children), np.int64, len(children))
+        order = np.argsort(edges)
+        self.trie, self.child = edges[order], np.fromiter(children.values(), np.int64, len(children))[order]
+        self.ends = np.full(len(children) + 1, -1)
+        self.ends[list(ends)] = list(ends.values())
         self.ids = np.fromiter(logs, np.int64, len(logs))
         self.logs = np.fromiter(logs.values(), np.float64, len(logs)) - total
-        self.sizes = np.fromiter((len(names[i]) for i in logs), np.int64, len(logs))
         self.byte = [self.model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.of_byte = {i: b for b, i in enumerate(self.byte)}
         self.byte_log = float(-np.log(n + 3.0) - total)
-        self.surface = names
+        #: What each id stands for, in UTF-8; byte pieces are single bytes.
+        self.raw = [x.encode() for x in names]
+        for b, i in enumerate(self.byte):
+            self.raw[i] = bytes([b])
+        self.known_bytes: dict[str, list[int]] = {}
 
     @staticmethod
     def of(path: str) -> Lattices:
@@ -72,145 +85,306 @@ class Lattices:
 
     def decode(self, ids) -> str:
         """The text of ids: pieces joined, byte pieces as UTF-8, the leading blank dropped."""
-        out, held = [], bytearray()
-        for i in ids:
-            if int(i) in self.of_byte:
-                held.append(self.of_byte[int(i)])
-                continue
-            if held:
-                out.append(held.decode(errors="replace"))
-                held = bytearray()
-            out.append(self.surface[i])
-        out.append(held.decode(errors="replace"))
-        return "".join(out).replace("▁", " ")[1:]
-
-
-    def spelled(self, tables: Tables, edges: np.ndarray, units: list[str], text: str) -> tuple[np.ndarray, bool]:
-        """The ids of a path, characters without a piece as bytes, and whether they decode to the text."""
-        ids, chars = tables.ids[edges], "".join(units)
-        if (ids < 0).any():
-            at = np.concatenate([[0], np.cumsum(tables.target[edges] - tables.source(edges))]).tolist()
-            ids = np.array([x for e, i in zip(ids.tolist(), at, strict=False) for x in ([e] if e >= 0 else [self.byte[b] for b in chars[i].encode()])])
-            return ids, self.decode(ids) == text.replace("▁", " ")
-        return ids, "".join(map(self.surface.__getitem__, ids.tolist())) == chars
+        return b"".join(map(self.raw.__getitem__, map(int, ids))).decode(errors="replace").replace("▁", " ")[1:]
+
+    def spelled(self, tables: Tables, edges: np.ndarray, chars: str, raw: bytes) -> tuple[np.ndarray, bool]:
+        """The ids of a path over chars, characters without a piece as bytes, and whether they decode to raw (chars in UTF-8)."""
+        ids = tables.ids[edges]
+        bare = np.flatnonzero(ids < 0)
+        if len(bare):
+            at = np.cumsum(tables.target[edges] - tables.owner[edges])[bare] - 1
+            own = [self.byte_ids(chars[i]) for i in at.tolist()]
+            size = np.ones(len(ids), np.int64)
+            size[bare] = [len(x) for x in own]
+            ids = np.repeat(ids, size)
+            ids[ids < 0] = list(itertools.chain.from_iterable(own))
+        return ids, b"".join(map(self.raw.__getitem__, ids.tolist())) == raw
+
+    def matches(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces in a text (as code points): where each begins and ends, and its number."""
+        at, state, found, depth = np.arange(len(code)), np.zeros(len(code), np.int64), [], 0
+        while len(at):
+            key = state << 21 | code[at + depth]
+            place = np.minimum(np.searchsorted(self.trie, key), len(self.trie) - 1)
+            hit = np.flatnonzero(self.trie[place] == key)
+            at, state, depth = at[hit], self.child[place[hit]], depth + 1
+            piece = self.ends[state]
+            whole = np.flatnonzero(piece >= 0)
+            found.append((at[whole], np.full(len(whole), depth), piece[whole]))
+            inside = at + depth < len(code)
+            at, state = at[inside], state[inside]
+        begin, size, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        return begin, begin + size, piece
+
+    def byte_ids(self, char: str) -> list[int]:
+        if char not in self.known_bytes:
+            self.known_bytes[char] = [self.byte[b] for b in char.encode()]
+        return self.known_bytes[char]
 
 
 class Tables:
-    """The lattices of a batch's distinct words as one set of arrays."""
-
-    GRID = 1 << 24  # probabilities are drawn on this grid, so that draws don't depend on the batch
-
-    def __init__(self, lattices: Lattices, units: list[str]):
-        self.place = {u: i for i, u in enumerate(units)}
+    """The lattices of words as one set of arrays; those of words seen lately stay."""
+
+    GRID = 1 << 24  # probabilities are drawn on this grid
+    LOG_GRID = 2.0**32  # log probabilities are summed on this one
+
+    def __init__(self, lattices: Lattices, limit: int = 4_000_000):
+        self.lattices, self.limit = lattices, limit
+        self._clear()
+
+    def _clear(self):
+        self.place: dict[str, int] = {}
+        self.n_nodes = self.n_edges = 0
+        self._room = {x: np.zeros(1, t) for x, t in (("owner", np.int32), ("target", np.int32), ("ids", np.int32), ("prob", float), ("log", np.int64), ("upto", np.int64), ("first", np.int64))}
+        for name, all_of in self._room.items():
+            setattr(self, name, all_of[: name == "first"])
+
+    def _extend(self, name: str, more: np.ndarray) -> None:
+        """The array of that name grows in place, into room that doubles when it is full."""
+        now, room = len(getattr(self, name)), self._room[name]
+        if now + len(more) > len(room):
+            larger = np.empty(max(2 * len(room), now + len(more)), room.dtype)
+            larger[:now] = room[:now]
+            room = self._room[name] = larger
+        room[now : now + len(more)] = more
+        setattr(self, name, room[: now + len(more)])
+
+    def starts(self, units: list[str]) -> np.ndarray:
+        """The first node of each word; new words are added (all go before, when edges are beyond the limit)."""
+        new = [u for u in dict.fromkeys(units) if u not in self.place]
+        if new and self.n_edges > self.limit:
+            self._clear()
+            new = list(dict.fromkeys(units))
+        if new:
+            self._add(new)
+        return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+
+    def _add(self, units: list[str]) -> None:
+        lattices = self.lattices
         # nodes are the characters of all words and an end after each
         joined = "\0".join(units) + "\0"
         size = np.fromiter(map(len, units), np.int64, len(units))
         ends = np.cumsum(size + 1) - 1
-        self.start = ends - size
-        found = np.fromiter(itertools.chain.from_iterable(lattices.automaton.iter(joined)), np.int64).reshape(-1, 2)
-        last, piece = found[:, 0], found[:, 1]
-        source, target, ids, logs = last + 1 - lattices.sizes[piece], last + 1, lattices.ids[piece], lattices.logs[piece]
+        self.place.update(zip(units, (ends - size + self.n_nodes).tolist(), strict=True))
+        code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        source, target, piece = lattices.matches(code)
+        ids, logs = lattices.ids[piece], lattices.logs[piece]
         bare = np.ones(len(joined), dtype=bool)  # characters without a piece of their own
         bare[source[target == source + 1]] = False
         bare[ends] = False
         odd = np.flatnonzero(bare)
-        code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")[odd]
-        n_bytes = 1 + (code >= 0x80) + (code >= 0x800).astype(np.int64) + (code >= 0x10000)
-        source, target = np.concatenate([source, odd]), np.concatenate([target, odd + 1])
-        ids, logs = np.concatenate([ids, np.full(len(odd), -1)]), np.concatenate([logs, n_bytes * lattices.byte_log])
+        if len(odd):
+            n_bytes = 1 + (code[odd] >= 0x80) + (code[odd] >= 0x800).astype(np.int64) + (code[odd] >= 0x10000)
+            source, target = np.concatenate([source, odd]), np.concatenate([target, odd + 1])
+            ids, logs = np.concatenate([ids, np.full(len(odd), -1)]), np.concatenate([logs, n_bytes * lattices.byte_log])
+        order = np.argsort(source * 256 + (target - source), kind="stable")  # pieces are short
+        source, target, ids, logs = source[order], target[order], ids[order], logs[order]
+        count = np.bincount(source, minlength=len(joined))
+        first = np.concatenate([[0], np.cumsum(count)])
         # backward sums, all nodes at the same distance from their word's end at once
-        left = ends[np.searchsorted(ends, source)] - source
-        order = np.lexsort((target, source, left))
-        source, target, ids, logs, left = source[order], target[order], ids[order], logs[order], left[order]
+        left = np.repeat(ends, size + 1) - np.arange(len(joined))
         beta = np.zeros(len(joined))
-        bounds = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1], [True]])) if len(left) else []
+        nodes = np.argsort(left, kind="stable")
+        bounds = np.searchsorted(left[nodes], np.arange(1, int(size.max()) + 2))
         for a, b in zip(bounds, bounds[1:], strict=False):
-            x = logs[a:b] + beta[target[a:b]]
-            begin = np.flatnonzero(np.concatenate([[True], source[a + 1 : b] != source[a : b - 1]]))
-            each = np.diff(np.append(begin, b - a))
-            top = np.maximum.reduceat(x, begin)
-            beta[source[a:b][begin]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, each)), begin))
-        order = np.lexsort((target, source))
-        self.owner, self.target, self.ids = source[order], target[order], ids[order]
-        self.prob = np.exp(logs[order] + beta[self.target] - beta[self.owner])
-        count = np.bincount(self.owner, minlength=len(joined))
-        self.first = np.concatenate([[0], np.cumsum(count)])
-        self.final = count == 0
-        run = np.cumsum((self.prob * self.GRID).astype(np.int64))
-        before = np.concatenate([[0], run])[self.first[:-1]]
+            here = nodes[a:b]
+            here = here[count[here] > 0]
+            if len(here):
+                each = count[here]
+                begin = np.cumsum(each) - each
+                edges = np.arange(each.sum()) + np.repeat(first[here] - begin, each)
+                x = logs[edges] + beta[target[edges]]
+                top = np.maximum.reduceat(x, begin)
+                beta[here] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, each)), begin))
+        log = logs + beta[target] - beta[source]
+        prob = np.exp(log)
+        run = np.cumsum((prob * self.GRID).astype(np.int64))
+        before = np.concatenate([[0], run])[first[:-1]]
+        owner = source + self.n_nodes
         # cumulative probability within each node, after the node's number: one sorted array
-        self.upto = self.owner * self.GRID + run - before[self.owner]
-        self.upto[self.first[1:][~self.final] - 1] = (np.flatnonzero(~self.final) + 1) * self.GRID
-
-    def source(self, edges: np.ndarray) -> np.ndarray:
-        """The node that each edge leaves."""
-        return self.owner[edges]
-
-    def draw(self, nodes: np.ndarray, rng) -> tuple[np.ndarray, np.ndarray]:
-        """Edges of paths from nodes to the ends of their words: (path number, edge), in order."""
-        paths, edges, active = [], [], np.flatnonzero(~self.final[nodes])
-        nodes = nodes[active]
+        upto = owner * self.GRID + run - before[source]
+        some = np.flatnonzero(count)
+        upto[first[some + 1] - 1] = (some + self.n_nodes + 1) * self.GRID
+        values = {"owner": owner, "target": target + self.n_nodes, "ids": ids, "prob": prob, "log": np.rint(log * self.LOG_GRID), "upto": upto, "first": first[1:] + self.n_edges}
+        for name, more in values.items():
+            self._extend(name, more)
+        self.n_nodes += len(joined)
+        self.n_edges += len(source)
+
+    def final(self, nodes: np.ndarray) -> np.ndarray:
+        """Whether nodes are ends of words."""
+        return self.first[nodes + 1] == self.first[nodes]
+
+    def draw(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Paths from nodes to the ends of their words: how many edges each has, and all edges in order."""
+        steps, counts, active = [], np.zeros(len(nodes), np.int64), np.flatnonzero(~self.final(nodes))
+        nodes = nodes[active].astype(np.int64)
         while len(active):
-            e = np.searchsorted(self.upto, nodes * self.GRID + rng.integers(0, self.GRID, len(nodes)), side="right")
-            paths.append(active)
-            edges.append(e)
-            nodes = self.target[e]
-            going = ~self.final[nodes]
+            drawn = (_mixed(seeds[active], len(steps)) >> np.uint64(40)).astype(np.int64)
+            e, drawn = self.first[nodes], drawn + nodes * self.GRID
+            late = np.flatnonzero(self.upto[e] <= drawn)
+            while len(late):  # a node has few edges
+                e[late] += 1
+                late = late[self.upto[e[late]] <= drawn[late]]
+            steps.append((active, e))
+            counts[active] += 1
+            nodes = self.target[e].astype(np.int64)
+            going = ~self.final(nodes)
             active, nodes = active[going], nodes[going]
-        if not paths:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        path, edge = np.concatenate(paths), np.concatenate(edges)
-        order = np.argsort(path, kind="stable")
-        return path[order], edge[order]
-
-
-def sample(tables: Tables, units: np.ndarray, k: int, rng) -> list[tuple[np.ndarray, float, float]]:
-    """The k + 1 segmentations of largest perturbed log probability: (edges, log probability, key)."""
-    starts = tables.start[units]
-    key = float(rng.gumbel())
-    out, queue = [], []  # queue: values of the siblings, all edges, their words, length of the head, edges tried after it
-
-    def expand(edges, words, head_edges, head_words, tried, log_before, key):
-        """Siblings of each step from the end of the head on, under a node of the given key."""
-        p = tables.prob[edges]
-        log_p = np.log(p)
-        rest = 1.0 - p
-        if len(tried):
-            rest[0] -= tables.prob[tried].sum()
-        before = log_before + np.concatenate([[0.0], np.cumsum(log_p)[:-1]])
-        alone = tables.first[tables.source(edges) + 1] - tables.first[tables.source(edges)] == 1
-        if len(tried):
-            all_tried = tables.first[tables.source(edges[:1]) + 1] - tables.first[tables.source(edges[:1])] == len(tried) + 1
-            alone[0] |= bool(all_tried[0])
+        first, edges = np.cumsum(counts) - counts, np.zeros(int(counts.sum()), np.int64)
+        for i, (which, e) in enumerate(steps):
+            edges[first[which] + i] = e
+        return counts, edges
+
+
+def _mixed(keys: np.ndarray, salt) -> np.ndarray:
+    """Well mixed 64-bit numbers of keys and a salt."""
+    with np.errstate(over="ignore"):
+        h = keys + np.asarray(salt).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(31))
+
+
+def _exponential(keys: np.ndarray) -> np.ndarray:
+    return -np.log(((keys >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers first .. first + count - 1 of each, one after another."""
+    return np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
+
+
+class Search:
+    """The perturbed search of all texts of a batch: each round finds the next segmentation of each.
+
+    All segmentations found are kept one after another as ``edges``, with the word of each
+    edge and the key (``value``) of the siblings of its step, which is the queue.
+    """
+
+    def __init__(self, tables: Tables, starts: np.ndarray, n_words: np.ndarray, keys: np.ndarray):
+        self.tables, self.starts, self.keys = tables, starts, keys
+        self.n_words, self.word_0 = n_words, np.cumsum(n_words) - n_words
+        self.edges, self.words, self.value = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.entries: list[dict] = []  # per round: texts, first place and number of their edges, edges tried at the first free step
+        texts = np.arange(len(keys))
+        gumbel = -np.log(_exponential(_mixed(keys, 1)))
+        none = np.zeros(len(keys), np.int64)
+        self._expand(texts, gumbel, none, none, none - 1, np.zeros((len(keys), 0), np.int64))
+
+    def _expand(self, texts, key, head_first, head_count, edge, tried) -> None:
+        """A segmentation of each of texts: the given head, then an edge (-1: none yet), then what is drawn."""
+        t, turn = self.tables, len(self.entries) + 2
+        seeds = _mixed(self.keys[texts], turn)
+        head = _spread(head_first, head_count)
+        # the word where the drawing starts, and the words after it
+        word = np.where(edge >= 0, self.words[head_first + head_count] if len(self.words) else 0, self.word_0[texts])
+        rest = self.word_0[texts] + self.n_words[texts] - word
+        of_text, words = np.repeat(np.arange(len(texts)), rest), _spread(word, rest)
+        nodes = self.starts[words]
+        nodes[(np.cumsum(rest) - rest)[edge >= 0]] = t.target[edge[edge >= 0]]
+        counts, drawn = t.draw(nodes, _mixed(seeds[of_text], words - self.word_0[texts][of_text]))
+        per_text = np.bincount(of_text, weights=counts, minlength=len(texts)).astype(np.int64)
+        chosen = (edge >= 0).astype(np.int64)
+        size = head_count + chosen + per_text
+        first = np.cumsum(size) - size
+        edges, of_word = np.empty(int(size.sum()), np.int64), np.empty(int(size.sum()), np.int64)
+        at = _spread(first, head_count)
+        edges[at], of_word[at] = self.edges[head], self.words[head]
+        at = (first + head_count)[edge >= 0]
+        edges[at], of_word[at] = edge[edge >= 0], word[edge >= 0]
+        at = _spread(first + head_count + chosen, per_text)
+        edges[at], of_word[at] = drawn, np.repeat(words, counts)
+        # siblings of each step from the end of the head on
+        owner, log = np.repeat(np.arange(len(texts)), size), t.log[edges]
+        run = np.cumsum(log)
+        before = (run - log - (np.concatenate([[0], run])[first])[owner]) / t.LOG_GRID
+        total = (np.concatenate([[0], run])[first + size] - np.concatenate([[0], run])[first]) / t.LOG_GRID
+        step = np.arange(len(edges)) - first[owner]
+        rest_mass, siblings = 1.0 - t.prob[edges], t.first[t.owner[edges] + 1] - t.first[t.owner[edges]] - 1
+        free = np.flatnonzero(size > head_count)
+        at = (first + head_count)[free]
+        gone = tried[free] >= 0
+        rest_mass[at] -= np.where(gone, t.prob[np.where(gone, tried[free], 0)], 0.0).sum(axis=1)
+        siblings[at] -= gone.sum(axis=1)
+        noise = np.log(_exponential(_mixed(seeds[owner] ^ np.uint64(0xD1B54A32D192ED03), step)))
         with np.errstate(divide="ignore", invalid="ignore"):
-            mass = np.where(alone | (rest <= 0), -np.inf, before + np.log(np.maximum(rest, 1e-300)))
-            values = -np.logaddexp(-key, -mass + np.log(rng.exponential(size=len(mass))))
-        full = np.concatenate([head_edges, edges])
-        queue.append([values, full, np.concatenate([head_words, words]), len(head_edges), list(tried)])
-        out.append((full, float(log_before + log_p.sum()), key))
-
-    words, edges = tables.draw(starts, rng)
-    none = np.zeros(0, np.int64)
-    expand(edges, words, none, none, [], 0.0, key)
-    while len(out) <= k:
-        best = max(queue, key=lambda q: q[0].max(initial=-np.inf))
-        values, full, where, head, tried = best
-        if not len(values) or values.max() == -np.inf:
+            mass = before + np.log(np.maximum(rest_mass, 1e-300))
+            value = -np.logaddexp(-key[owner], noise - mass)
+        value[(siblings <= 0) | (rest_mass <= 0) | (step < head_count[owner])] = -np.inf
+        place = len(self.edges) + first
+        self.edges, self.words, self.value = np.concatenate([self.edges, edges]), np.concatenate([self.words, of_word]), np.concatenate([self.value, value])
+        self.entries.append({"texts": texts, "first": place, "size": size, "head": head_count, "tried": tried, "key": key, "log_prob": total})
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text the greatest key in the queue (-inf: none), its round and its place."""
+        n = len(self.keys)
+        key, turn, place = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for r, e in enumerate(self.entries):
+            some = np.flatnonzero(e["size"] > 0)
+            if not len(some):
+                continue
+            values = self.value[e["first"][0] : e["first"][-1] + e["size"][-1]]
+            begin = e["first"][some] - e["first"][0]
+            top = np.maximum.reduceat(values, begin)
+            hit = np.flatnonzero(values == np.repeat(top, e["size"][some]))
+            which, at = np.unique(np.repeat(np.arange(len(some)), e["size"][some])[hit], return_index=True)
+            texts = e["texts"][some[which]]
+            better = top[which] > key[texts]
+            key[texts[better]], turn[texts[better]], place[texts[better]] = top[which][better], r, e["first"][0] + hit[at[better]]
+        return key, turn, place
+
+    def advance(self) -> None:
+        """The next segmentation of each text that has one."""
+        t = self.tables
+        key, turn, place = self.best()
+        texts = np.flatnonzero(key > -np.inf)
+        if not len(texts):
+            return
+        key, turn, place = key[texts], turn[texts], place[texts]
+        self.value[place] = -np.inf
+        first, tried = np.zeros(len(texts), np.int64), np.full((len(texts), len(self.entries)), -1)
+        tried[:, 0] = self.edges[place]
+        for r, e in enumerate(self.entries):
+            mine = np.flatnonzero(turn == r)
+            at = np.searchsorted(e["texts"], texts[mine])
+            first[mine] = e["first"][at]
+            again = place[mine] == e["first"][at] + e["head"][at]  # siblings of siblings: those tried before stay out
+            more = e["tried"][at[again]]
+            tried[mine[again], 1 : 1 + more.shape[1]] = more
+        # one of the other edges of the node, by probability
+        node = t.owner[self.edges[place]].astype(np.int64)
+        count = t.first[node + 1] - t.first[node]
+        edges, of = _spread(t.first[node], count), np.repeat(np.arange(len(texts)), count)
+        weight = (t.prob[edges] * 2.0**40).astype(np.int64) + 1
+        weight[(edges[:, None] == tried[of]).any(axis=1)] = 0
+        run = np.cumsum(weight)
+        base = np.concatenate([[0], run])[np.cumsum(count) - count]
+        total = np.concatenate([[0], run])[np.cumsum(count)] - base
+        share = (_mixed(_mixed(self.keys[texts], len(self.entries) + 2), 3) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        edge = edges[np.searchsorted(run, base + (share * total).astype(np.int64), side="right")]
+        self._expand(texts, key, first, place - first, edge, tried)
+
+
+def samples(tables: Tables, starts: np.ndarray, n_words: np.ndarray, keys: np.ndarray, k: int) -> tuple[list[list[tuple[np.ndarray, float, float]]], np.ndarray]:
+    """For each text its k segmentations of largest perturbed log probability, (edges, log probability, key), and the key after them.
+
+    starts: first nodes of the words of all texts; n_words: how many of them each text has (one at least).
+    """
+    search = Search(tables, starts, n_words, keys)
+    for _ in range(k - 1):
+        before = len(search.entries)
+        search.advance()
+        if len(search.entries) == before:
             break
-        at = int(values.argmax())
-        key, step = float(values[at]), head + at
-        values[at] = -np.inf
-        gone = [int(full[step]), *(tried if at == 0 else [])]
-        node = int(tables.source(full[step : step + 1])[0])
-        left = np.setdiff1d(np.arange(tables.first[node], tables.first[node + 1]), gone)
-        p = tables.prob[left]
-        edge = int(rng.choice(left, p=p / p.sum()))
-        word = int(where[step])
-        # the rest of this word, then all later words
-        more_w, more_e = tables.draw(np.concatenate([[tables.target[edge]], starts[word + 1 :]]), rng)
-        log_before = float(np.log(tables.prob[full[:step]]).sum())
-        expand(np.concatenate([[edge], more_e]), np.concatenate([[word], more_w + word]), full[:step], where[:step], gone, log_before, key)
-    return out
+    out: list[list] = [[] for _ in keys]
+    for e in search.entries:
+        for text, first, size, log_prob, key in zip(e["texts"].tolist(), e["first"].tolist(), e["size"].tolist(), e["log_prob"].tolist(), e["key"].tolist(), strict=True):
+            out[text].append((search.edges[first : first + size], log_prob, key))
+    return out, search.best()[0]
+
+
+_TABLES: dict[str, Tables] = {}
 
 
 def segmentations(docs: DataFrame, path: str, k: int = 2, seed: int = 0) -> DataFrame:
@@ -221,22 +395,24 @@ def segmentations(docs: DataFrame, path: str, k: int = 2, seed: int = 0) -> Data
         import pandas as pd
 
         lattices = Lattices.of(path)
+        tables = _TABLES.setdefault(path, Tables(lattices))
         # some texts at a time: their lattices and samples are larger than they are
-        for f in (f.iloc[a:b] for f in frames for a, b in batches(f["text"].tolist(), 500_000)):
+        for f in (f.iloc[a:b] for f in frames for a, b in batches(f["text"].tolist(), 1_000_000)):
             parted = [_UNIT.findall("▁" + t.replace(" ", "▁")) if t else [] for t in f["text"]]
-            distinct = list(dict.fromkeys(u for p in parted for u in p))
-            tables = Tables(lattices, distinct) if distinct else None
-            out = []
-            for doc_id, text, key, units in zip(f["doc_id"], f["text"], f["key"], parted, strict=True):
+            n_words = np.fromiter(map(len, parted), np.int64, len(parted))
+            some = np.flatnonzero(n_words)
+            starts = tables.starts(list(itertools.chain.from_iterable(parted)))
+            found, least = samples(tables, starts, n_words[some], f["key"].to_numpy().view(np.uint64)[some], k) if len(some) else ([], [])
+            place, out = dict(zip(some.tolist(), range(len(some)), strict=True)), []
+            for i, (doc_id, units) in enumerate(zip(f["doc_id"], parted, strict=True)):
                 if not units:
                     out.append((doc_id, 1, b"", 0.0, 0.0, 1.0, True))
                     continue
-                rng = np.random.default_rng([int(key) & 0xFFFFFFFF, int(key) >> 32 & 0xFFFFFFFF])
-                found = sample(tables, np.fromiter((tables.place[u] for u in units), np.int64, len(units)), k, rng)
-                least = found[k][2] if len(found) > k else -np.inf
-                for rank, (edges, log_prob, gumbel) in enumerate(found[:k], 1):
-                    ids, same = lattices.spelled(tables, edges, units, text)
-                    out.append((doc_id, rank, ids.astype("<u4").tobytes(), log_prob, gumbel, float(-np.expm1(-np.exp(min(700.0, log_prob - least)))), same))
+                chars = "".join(units)
+                raw = chars.encode()
+                for rank, (edges, log_prob, gumbel) in enumerate(found[place[i]], 1):
+                    ids, same = lattices.spelled(tables, edges, chars, raw)
+                    out.append((doc_id, rank, ids.astype("<u4").tobytes(), log_prob, gumbel, float(-np.expm1(-np.exp(min(700.0, log_prob - least[place[i]])))), same))
             yield pd.DataFrame(out, columns=["doc_id", "rank", "ids", "log_prob", "gumbel", "inclusion", "decodes"]).astype({"doc_id": "Int64"})
 
     return rows.mapInPandas(run, "doc_id long, rank int, ids binary, log_prob double, gumbel double, inclusion double, decodes boolean")
