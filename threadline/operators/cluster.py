@@ -54,16 +54,18 @@ def agreement(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def neighbours(vectors: DataFrame, k: int, blocks: int) -> DataFrame:
     """The k nearest of each unit vector by cosine, ties to the smaller id: an exact search in blocks.
 
-    Every vector meets every block once; a block's task keeps k per vector, so what is
-    emitted grows with vectors times blocks, not with pairs.
+    A task holds one block of vectors and one of asked ones and keeps k per asked vector,
+    so its memory is bounded; every vector meets every block once.
     """
-    rows = vectors.select("vec_id", "embedding").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    asked = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("block", F.col("vec_id").alias("query"), F.col("embedding").alias("q"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rows = vectors.select("vec_id", "embedding").withColumn("own", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("other", every)
+    held = rows.select(F.col("own").alias("block"), F.col("other").alias("part"), "vec_id", "embedding")
+    asked = rows.select(F.col("other").alias("block"), F.col("own").alias("part"), F.col("vec_id").alias("query"), F.col("embedding").alias("q"))
 
     def nearest(left, right):
-        ids, x = left["vec_id"].to_numpy(), np.vstack(left["embedding"].to_numpy()).astype(np.float64) if len(left) else None
         out = []
-        if x is not None:
+        if len(left):
+            ids, x = left["vec_id"].to_numpy(), np.vstack(left["embedding"].to_numpy()).astype(np.float64)
             for i in range(0, len(right), 1000):
                 part = right.iloc[i : i + 1000]
                 scores = np.vstack(part["q"].to_numpy()).astype(np.float64) @ x.T
@@ -72,7 +74,7 @@ def neighbours(vectors: DataFrame, k: int, blocks: int) -> DataFrame:
                     out += [(q, int(ids[j]), float(s[j])) for j in order if ids[j] != q]
         return pd.DataFrame(out, columns=["query", "vec_id", "cosine"]).astype({"query": "int64", "vec_id": "int64", "cosine": "float64"})
 
-    found = rows.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(lambda a, b: nearest(a, b), "query long, vec_id long, cosine double")
+    found = held.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInPandas(lambda a, b: nearest(a, b), "query long, vec_id long, cosine double")
     order = Window.partitionBy("query").orderBy(F.desc("cosine"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

@@ -46,7 +46,7 @@ def per_topic(records: DataFrame) -> DataFrame:
 
 
 def averaged_f1(by_topic: DataFrame) -> DataFrame:
-    return by_topic.groupBy("run_id").agg(F.round(F.avg("f1"), 6).alias("macro_f1"), F.round(_ratio(F.sum(F.col("f1") * F.col("support")), F.sum("support")), 6).alias("weighted_f1"))
+    return by_topic.groupBy("run_id").agg(F.avg("f1").alias("macro_f1"), _ratio(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("weighted_f1"))
 
 
 def confusion(records: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def unified(records: DataFrame, model: DataFrame) -> DataFrame:
     rows = records.groupBy("run_id").agg(F.count("*").alias("n_gt"), F.sum(gain).alias("_gain"), F.sum(F.when(topic, F.col("iou")).otherwise(0.0)).alias("_topic"), F.avg(F.when(F.col("matched"), F.col("iou"))).alias("_jaccard"))
     rows = rows.join(totals, "run_id", "left")
     most = F.greatest("n_gt", F.coalesce("n_model", F.lit(0)))
-    return rows.select("run_id", F.round(F.col("_gain") / most, 6).alias("unified_score"), F.round(F.col("_topic") / most, 6).alias("topic_score"), F.round("_jaccard", 6).alias("avg_jaccard"))
+    return rows.select("run_id", (F.col("_gain") / most).alias("unified_score"), (F.col("_topic") / most).alias("topic_score"), F.col("_jaccard").alias("avg_jaccard"))
 
 
 def calibration(records: DataFrame) -> DataFrame:
@@ -80,8 +80,8 @@ def calibration(records: DataFrame) -> DataFrame:
     counted = rows.groupBy("run_id", number.alias("bin")).agg(F.count("*").alias("n"), F.avg("ok").alias("a"), F.avg("confidence").alias("c"))
     total = rows.groupBy("run_id").agg(F.count("*").alias("total"))
     full = total.join(F.broadcast(bins)).join(counted, ["run_id", "bin"], "left")
-    full = full.select("run_id", "bin", F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce("a", F.lit(0.0)), 6).alias("accuracy"), F.round(F.coalesce("c", (F.col("lo") + F.least("hi", F.lit(1.0))) / 2), 6).alias("confidence"), "total", (F.coalesce("n", F.lit(0)) / F.col("total") * F.abs(F.coalesce("a", F.lit(0.0)) - F.coalesce("c", F.lit(0.0)))).alias("_part"))
-    return full.select("run_id", "bin", "n", "accuracy", "confidence", F.round(F.sum("_part").over(Window.partitionBy("run_id")), 6).alias("ece"))
+    full = full.select("run_id", "bin", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("a", F.lit(0.0)).alias("accuracy"), F.coalesce("c", (F.col("lo") + F.least("hi", F.lit(1.0))) / 2).alias("confidence"), "total", (F.coalesce("n", F.lit(0)) / F.col("total") * F.abs(F.coalesce("a", F.lit(0.0)) - F.coalesce("c", F.lit(0.0)))).alias("_part"))
+    return full.select("run_id", "bin", "n", "accuracy", "confidence", F.sum("_part").over(Window.partitionBy("run_id")).alias("ece"))
 
 
 def coverage(records: DataFrame, model: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def coverage(records: DataFrame, model: DataFrame) -> DataFrame:
     rows = scoped.groupBy("run_id", "scope").agg(F.count("*").alias("n_gt"), F.count_if("matched").alias("n_matched"), F.avg(F.when(F.col("matched"), F.col("iou"))).alias("_iou")).join(totals, "run_id", "left")
     # the engaged subset has no model total of its own: its matches stand in
     size = F.when(F.col("scope") == "all", F.col("n_model")).otherwise(F.col("n_matched"))
-    return rows.select("run_id", "scope", "n_gt", "n_matched", (F.col("n_matched") / F.col("n_gt")).alias("match_rate"), F.round("_iou", 6).alias("avg_iou"), (size / F.col("n_gt")).alias("segment_ratio"))
+    return rows.select("run_id", "scope", "n_gt", "n_matched", (F.col("n_matched") / F.col("n_gt")).alias("match_rate"), F.col("_iou").alias("avg_iou"), (size / F.col("n_gt")).alias("segment_ratio"))
 
 
 def leaderboard(scores: DataFrame, by=("unified_score", "sub_accuracy", "topic_accuracy", "match_rate")) -> DataFrame:

@@ -112,6 +112,13 @@ def deduped_bounds(spark, sf_dir):
     return sg.rebuilt(sg.one_owner(members))
 
 
+def orphan_bounds(spark, sf_dir):
+    """Bounds of segments after the rows in none joined their nearest member."""
+    rows = ch.windows(turns(spark, sf_dir), 0).select(C("chat_id").alias("window_id"), "msg_id", "pos", "at_us")
+    members = rows.where("pos % 4 IN (1, 2)").withColumn("segment_no", F.expr("pos div 2").cast("long"))
+    return sg.rebuilt(sg.with_orphans(members, rows.select("window_id", "pos")).join(rows, ["window_id", "pos"]))
+
+
 def fallback_segments(spark, sf_dir):
     rows = turns(spark, sf_dir).select(C("chat_id").alias("window_id"), "type", "at_us")
     labelled = rows.where("window_id % 3 = 0").select("window_id")
@@ -250,8 +257,8 @@ def report_order(spark, sf_dir):
     for scope, rows in (("total", records), ("user_engaged", records.where("engaged"))):
         unified, topic, sub = mx.unified(rows, model), mx.topic_scores(rows, model), mx.sub_topic_scores(rows)
         scopes.append(unified.join(topic.select("run_id", C("recall").alias("topic_accuracy")), "run_id").join(sub.select("run_id", C("recall").alias("sub_accuracy")), "run_id").withColumn("scope", F.lit(scope)))
-    ranked = mx.report_order(scopes[0].unionByName(scopes[1]))
-    return ranked.select("scope", "run_id", "rank", *[F.round(c, 6).alias(c) for c in ("unified_score", "topic_accuracy", "sub_accuracy")])
+    values = {c: F.round(c, 6) for c in ("unified_score", "topic_accuracy", "sub_accuracy")}
+    return mx.report_order(scopes[0].unionByName(scopes[1]).withColumns(values)).select("scope", "run_id", "rank", *values)
 
 
 def failure_streaks(spark, sf_dir):
@@ -318,7 +325,7 @@ def field_coverage(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        incremental, violations, unblocked, review_routes, pools, reactions, changed_topics, pool_taxonomies, remapped_members, deduped_bounds, fallback_segments, contexts, user_signal_segments, signal_topics,
+        incremental, violations, unblocked, review_routes, pools, reactions, changed_topics, pool_taxonomies, remapped_members, deduped_bounds, orphan_bounds, fallback_segments, contexts, user_signal_segments, signal_topics,
         signal_report, signal_counts, run_configs, closest_subtopics, validated_labels, token_overlaps, counts_read, quality_report, adjusted_labels, cluster_rollup, cluster_noise, cluster_report, own_distance,
         silhouette, principal_components, size_report, label_report, report_order, failure_streaks, sub_topic_ranking, engagement, journeys, before_after, feedback_rows, credit_as_of, field_coverage,
     )
@@ -368,6 +375,14 @@ m AS (SELECT *, pos // 3 AS segment_no FROM p UNION ALL SELECT *, pos // 3 + 1 F
 s AS (SELECT *, count(*) OVER (PARTITION BY window_id, segment_no ORDER BY pos RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING) - 1 AS near FROM m),
 o AS (SELECT * FROM s QUALIFY type = 'user' OR row_number() OVER (PARTITION BY window_id, msg_id ORDER BY near DESC, segment_no) = 1)
 SELECT window_id, segment_no, min(at_us) AS started_at, max(at_us) AS ended_at, count(*) AS n_messages FROM o GROUP BY ALL""",
+    "orphan_bounds": f"""WITH {TURNS_SQL},
+p AS (SELECT chat_id AS window_id, at_us, row_number() OVER (PARTITION BY chat_id ORDER BY at_us, msg_id) - 1 AS pos FROM turns),
+o AS (SELECT *, CASE WHEN pos % 4 IN (1, 2) THEN pos // 2 END AS own FROM p),
+n AS (
+  SELECT *, max(CASE WHEN own IS NOT NULL THEN pos END) OVER (PARTITION BY window_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,
+    min(CASE WHEN own IS NOT NULL THEN pos END) OVER (PARTITION BY window_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r FROM o),
+a AS (SELECT *, coalesce(own, CASE WHEN l IS NULL THEN r // 2 WHEN r IS NULL OR pos <> r - 1 THEN l // 2 ELSE least(l // 2, r // 2) END) AS segment_no FROM n)
+SELECT window_id, segment_no, min(at_us) AS started_at, max(at_us) AS ended_at, count(*) AS n_messages FROM a GROUP BY ALL""",
     "fallback_segments": f"""WITH {TURNS_SQL}
 SELECT chat_id AS window_id, 'unclassified' AS topic, 'unclassified' AS sub_topic, CASE WHEN NOT bool_or(type = 'user') THEN 1.0 END::DOUBLE AS confidence, min(at_us) AS started_at, max(at_us) AS ended_at, count(*) AS n_messages
 FROM turns WHERE chat_id % 3 <> 0 GROUP BY chat_id""",

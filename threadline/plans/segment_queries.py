@@ -110,7 +110,7 @@ def match_records(spark, sf_dir):
 
 def leaderboard(spark, sf_dir):
     records, model = _records(spark, sf_dir)
-    unified, topic = mx.unified(records, model), mx.topic_scores(records, model)
+    unified, topic = mx.unified(records, model).withColumn("unified_score", F.round("unified_score", 6)), mx.topic_scores(records, model)
     sub = mx.sub_topic_scores(records).select("run_id", F.col("recall").alias("sub_accuracy"))
     cover = mx.coverage(records, model).where("scope = 'all'").select("run_id", "match_rate")
     scores = unified.join(topic.select("run_id", F.col("recall").alias("topic_accuracy")), "run_id").join(sub, "run_id").join(cover, "run_id")
@@ -118,10 +118,13 @@ def leaderboard(spark, sf_dir):
     return ranked.select("run_id", "rank", "unified_score", "topic_accuracy", "sub_accuracy", "match_rate")
 
 
-def _over(metric, with_model=False):
+def _over(metric, with_model=False, rounded=()):
+    """A query of a metric over the records; the columns ``rounded`` to six places, as in its SQL."""
+
     def query(spark, sf_dir):
         records, model = _records(spark, sf_dir)
-        return metric(records, model) if with_model else metric(records)
+        out = metric(records, model) if with_model else metric(records)
+        return out.withColumns({c: F.round(c, 6) for c in rounded})
 
     return query
 
@@ -279,12 +282,12 @@ QUERIES = {
     "match_records": match_records,
     "topic_scores": _over(mx.topic_scores, True),
     "per_topic": _over(mx.per_topic),
-    "averaged_f1": _over(lambda r: mx.averaged_f1(mx.per_topic(r))),
+    "averaged_f1": _over(lambda r: mx.averaged_f1(mx.per_topic(r)), rounded=("macro_f1", "weighted_f1")),
     "confusion": _over(mx.confusion),
     "sub_topic_scores": _over(mx.sub_topic_scores),
-    "unified_score": _over(mx.unified, True),
-    "calibration": _over(mx.calibration),
-    "coverage": _over(mx.coverage, True),
+    "unified_score": _over(mx.unified, True, ("unified_score", "topic_score", "avg_jaccard")),
+    "calibration": _over(mx.calibration, rounded=("accuracy", "confidence", "ece")),
+    "coverage": _over(mx.coverage, True, ("avg_iou",)),
     "mismatches": _over(mismatches),
     "unmatched": _over(unmatched),
     "leaderboard": leaderboard,
