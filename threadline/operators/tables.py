@@ -133,8 +133,8 @@ def touched(topics: DataFrame, changed_subs: DataFrame) -> DataFrame:
 
 
 def prompt_version(name) -> F.Column:
-    """The version of a prompt's file name, of bot prompts too; other names as they are."""
-    return F.coalesce(F.nullif(F.regexp_extract(name, r"^eb1_prompt_(?:user|bot)_(v\d+)$", 1), F.lit("")), F.regexp_replace(name, "^bot_", ""))
+    """The version at the end of a prompt's file name (something_prompt_user_v1, or bot); other names less a leading bot_."""
+    return F.coalesce(F.nullif(F.regexp_extract(name, r"^[a-z0-9]+_prompt_(?:user|bot)_(v\d+)$", 1), F.lit("")), F.regexp_replace(name, "^bot_", ""))
 
 
 def get_or_create(known: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:

@@ -156,7 +156,7 @@ def touched_topics(spark, sf_dir):
 def configs(spark, sf_dir):
     """Configurations by model and prompt versions: known ones and those asked for."""
     p, k = table(spark, sf_dir, "part"), C("p_size")
-    prompt = lambda kind: tb.prompt_version(F.when(k % 3 == 0, F.concat(F.lit("bot_v"), k.cast("string"))).otherwise(F.concat(F.lit(f"eb1_prompt_{kind}_v"), k.cast("string"))))
+    prompt = lambda kind: tb.prompt_version(F.when(k % 3 == 0, F.concat(F.lit("bot_v"), k.cast("string"))).otherwise(F.concat(F.lit(f"label_prompt_{kind}_v"), k.cast("string"))))
     asked = p.select(C("p_brand").alias("model"), prompt("user").alias("user_prompt"), prompt("bot").alias("bot_prompt"))
     return tb.get_or_create(asked.where("user_prompt < 'v3'").distinct(), asked, ["model", "user_prompt", "bot_prompt"])
 
