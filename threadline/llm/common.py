@@ -3,34 +3,21 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadline.work import folder
+
 #: The word pattern of the contracts: runs of anything but ASCII white space.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A folder that the driver and all executors see.
-
-    It is the one that the cluster names in ``spark.checkpoint.dir``; only where
-    that is unset (tests on one machine) a temporary folder is set instead.
-    """
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="spark-")
-        sc.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: lineage ends here, any executor may go."""
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/threadline-{name}-{uuid.uuid4().hex}"
+    path = f"{folder(spark)}/threadline-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._stored_at = path
