@@ -65,6 +65,9 @@ class Lattices:
         edges = np.fromiter((at << 21 | ord(c) for at, c in children), np.int64, len(children))
         order = np.argsort(edges)
         self.trie, self.child = edges[order], np.fromiter(children.values(), np.int64, len(children))[order]
+        first = self.trie[self.trie < 1 << 21]  # the root's
+        self.root = np.full(int(first.max()) + 2, -1)
+        self.root[first] = self.child[: len(first)]
         self.ends = np.full(len(children) + 1, -1)
         self.ends[list(ends)] = list(ends.values())
         self.ids = np.fromiter(logs, np.int64, len(logs))
@@ -100,21 +103,22 @@ class Lattices:
             ids[ids < 0] = list(itertools.chain.from_iterable(own))
         return ids, b"".join(map(self.raw.__getitem__, ids.tolist())) == raw
 
-    def matches(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All pieces in a text (as code points): where each begins and ends, and its number."""
-        at, state, found, depth = np.arange(len(code)), np.zeros(len(code), np.int64), [], 0
+    def matches(self, code: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """All pieces in a text (as code points), by length from 1 on: where they begin, and their numbers."""
+        out, at = [], np.arange(len(code))
+        state = self.root[np.minimum(code, len(self.root) - 1)]
         while len(at):
-            key = state << 21 | code[at + depth]
-            place = np.minimum(np.searchsorted(self.trie, key), len(self.trie) - 1)
-            hit = np.flatnonzero(self.trie[place] == key)
-            at, state, depth = at[hit], self.child[place[hit]], depth + 1
+            hit = np.flatnonzero(state >= 0)
+            at, state = at[hit], state[hit]
             piece = self.ends[state]
             whole = np.flatnonzero(piece >= 0)
-            found.append((at[whole], np.full(len(whole), depth), piece[whole]))
-            inside = at + depth < len(code)
+            out.append((at[whole], piece[whole]))
+            inside = np.flatnonzero(at + len(out) < len(code))
             at, state = at[inside], state[inside]
-        begin, size, piece = (np.concatenate(x) for x in zip(*found, strict=True))
-        return begin, begin + size, piece
+            key = state << 21 | code[at + len(out)]
+            place = np.minimum(np.searchsorted(self.trie, key), len(self.trie) - 1)
+            state = np.where(self.trie[place] == key, self.child[place], -1)
+        return out
 
     def byte_ids(self, char: str) -> list[int]:
         if char not in self.known_bytes:
@@ -128,7 +132,7 @@ class Tables:
     GRID = 1 << 24  # probabilities are drawn on this grid
     LOG_GRID = 2.0**32  # log probabilities are summed on this one
 
-    def __init__(self, lattices: Lattices, limit: int = 4_000_000):
+    def __init__(self, lattices: Lattices, limit: int = 5_000_000):
         self.lattices, self.limit = lattices, limit
         self._clear()
 
@@ -151,12 +155,13 @@ class Tables:
 
     def starts(self, units: list[str]) -> np.ndarray:
         """The first node of each word; new words are added (all go before, when edges are beyond the limit)."""
-        new = [u for u in dict.fromkeys(units) if u not in self.place]
+        every = set(units)
+        new = every.difference(self.place)
         if new and self.n_edges > self.limit:
             self._clear()
-            new = list(dict.fromkeys(units))
+            new = every
         if new:
-            self._add(new)
+            self._add(sorted(new))
         return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
 
     def _add(self, units: list[str]) -> None:
@@ -167,24 +172,28 @@ class Tables:
         ends = np.cumsum(size + 1) - 1
         self.place.update(zip(units, (ends - size + self.n_nodes).tolist(), strict=True))
         code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        source, target, piece = lattices.matches(code)
-        ids, logs = lattices.ids[piece], lattices.logs[piece]
+        found = lattices.matches(code)
         bare = np.ones(len(joined), dtype=bool)  # characters without a piece of their own
-        bare[source[target == source + 1]] = False
+        bare[found[0][0]] = False
         bare[ends] = False
         odd = np.flatnonzero(bare)
-        if len(odd):
-            n_bytes = 1 + (code[odd] >= 0x80) + (code[odd] >= 0x800).astype(np.int64) + (code[odd] >= 0x10000)
-            source, target = np.concatenate([source, odd]), np.concatenate([target, odd + 1])
-            ids, logs = np.concatenate([ids, np.full(len(odd), -1)]), np.concatenate([logs, n_bytes * lattices.byte_log])
-        order = np.argsort(source * 256 + (target - source), kind="stable")  # pieces are short
-        source, target, ids, logs = source[order], target[order], ids[order], logs[order]
-        count = np.bincount(source, minlength=len(joined))
+        count = np.bincount(np.concatenate([odd, *(at for at, _ in found)]), minlength=len(joined))
         first = np.concatenate([[0], np.cumsum(count)])
+        # edges in order of where they begin, then end: the bare ones are of length 1
+        free, n_edges = first[:-1].copy(), int(first[-1])
+        target, ids, logs = np.empty(n_edges, np.int64), np.empty(n_edges, np.int64), np.empty(n_edges)
+        n_bytes = 1 + (code[odd] >= 0x80) + (code[odd] >= 0x800).astype(np.int64) + (code[odd] >= 0x10000)
+        target[free[odd]], ids[free[odd]], logs[free[odd]] = odd + 1, -1, n_bytes * lattices.byte_log
+        free[odd] += 1
+        for size_of, (at, piece) in enumerate(found, 1):
+            slot = free[at]
+            target[slot], ids[slot], logs[slot] = at + size_of, lattices.ids[piece], lattices.logs[piece]
+            free[at] += 1
+        source = np.repeat(np.arange(len(joined)), count)
         # backward sums, all nodes at the same distance from their word's end at once
         left = np.repeat(ends, size + 1) - np.arange(len(joined))
         beta = np.zeros(len(joined))
-        nodes = np.argsort(left, kind="stable")
+        nodes = np.argsort(left.astype(np.uint16) if size.max() < 1 << 16 else left, kind="stable")
         bounds = np.searchsorted(left[nodes], np.arange(1, int(size.max()) + 2))
         for a, b in zip(bounds, bounds[1:], strict=False):
             here = nodes[a:b]
