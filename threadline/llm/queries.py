@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, minhash, packing, pieces, pii, quality, rans, suffixes, toxicity, warc
+from . import ann, chat, minhash, packing, pieces, pii, quality, rans, suffixes, toxicity, warc
 from .common import documents
 from .quality_sql import OP8_SQL
 
@@ -75,5 +75,27 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "rank", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "log_prob", "gumbel", "inclusion", "decodes")
 
 
-QUERIES = {"op4_pieces": op4_pieces, "op5_suffixes": op5_suffixes, "op6_nearest": op6_nearest, "op1_minhash": op1_minhash, "op7_toxicity": op7_toxicity, "op10_warc": op10_warc, "op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
-ORACLE_SQL = {"op10_warc": OP10_SQL, "op8_quality_rules": OP8_SQL}
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = spark.createDataFrame([(-1, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").union(said)
+    return chat.round_trip(chat.records_of(table)).withColumnRenamed("id", "conv_id")
+
+
+OP11_SQL = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) AS r(i)),
+w AS (
+  SELECT *, length(regexp_replace(text, '{chat.ESCAPE}', '\1\\\2\3', 'g')) AS n,
+    CASE role {" ".join(f"WHEN '{r}' THEN {len(a) + len(b)}" for r, (a, b) in chat.MARKS.items())}
+      ELSE {sum(map(len, chat.OTHER))} + length(regexp_replace(role, '{chat.ESCAPE}', '\1\\\2\3', 'g')) END AS marks
+  FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(n + marks)::BIGINT AS formatted_chars
+FROM w GROUP BY conv_id"""
+
+
+QUERIES = {"op11_chat": op11_chat, "op4_pieces": op4_pieces, "op5_suffixes": op5_suffixes, "op6_nearest": op6_nearest, "op1_minhash": op1_minhash, "op7_toxicity": op7_toxicity, "op10_warc": op10_warc, "op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
+ORACLE_SQL = {"op11_chat": OP11_SQL, "op10_warc": OP10_SQL, "op8_quality_rules": OP8_SQL}
