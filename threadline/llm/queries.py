@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, minhash, packing, pieces, pii, quality, rans, suffixes, toxicity, warc
+from . import ann, chat, kmeans, minhash, packing, pieces, pii, quality, rans, suffixes, toxicity, warc
 from .common import documents
 from .quality_sql import OP8_SQL
 
@@ -97,5 +97,37 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM w GROUP BY conv_id"""
 
 
-QUERIES = {"op11_chat": op11_chat, "op4_pieces": op4_pieces, "op5_suffixes": op5_suffixes, "op6_nearest": op6_nearest, "op1_minhash": op1_minhash, "op7_toxicity": op7_toxicity, "op10_warc": op10_warc, "op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
-ORACLE_SQL = {"op11_chat": OP11_SQL, "op10_warc": OP10_SQL, "op8_quality_rules": OP8_SQL}
+def op12_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
+def _op12_sql(k: int = 8, rounds: int = 10) -> str:
+    """Each round as two tables: the nearest centroid of every vector, and the centroids after it."""
+
+    def nearest(c: str) -> str:
+        gaps = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+        return f"SELECT vec_id, row_no, x, min(c) AS c, any_value(d) AS d FROM (SELECT v.vec_id, v.row_no, v.x, c.c, {gaps} AS d, min({gaps}) OVER (PARTITION BY v.row_no) AS least FROM v, {c} c) WHERE d = least GROUP BY ALL"
+
+    steps = [
+        """v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row_no, list_transform(embedding, lambda y: floor(1024 * y::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = 64)""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, x FROM v QUALIFY c < {k})",
+    ]
+    for i in range(rounds):
+        steps += [
+            f"a{i} AS MATERIALIZED ({nearest(f'c{i}')})",
+            f"""c{i + 1} AS MATERIALIZED (
+  WITH s AS (SELECT c, j, sum(y)::HUGEINT AS total, count(*) AS n FROM (SELECT c, unnest(range(64)) AS j, unnest(x) AS y FROM a{i}) GROUP BY c, j),
+  m AS (SELECT c, list(((total - (((total % n) + n) % n)) // n)::BIGINT ORDER BY j) AS x FROM s GROUP BY c)
+  SELECT c, coalesce(m.x, o.x) AS x FROM c{i} o LEFT JOIN m USING (c))""",
+        ]
+    steps.append(f"f AS MATERIALIZED ({nearest(f'c{rounds}')})")
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(k.x, ',')) AS centroid_sha256
+FROM f JOIN c{rounds} k USING (c)"""
+
+
+QUERIES = {"op12_kmeans": op12_kmeans, "op11_chat": op11_chat, "op4_pieces": op4_pieces, "op5_suffixes": op5_suffixes, "op6_nearest": op6_nearest, "op1_minhash": op1_minhash, "op7_toxicity": op7_toxicity, "op10_warc": op10_warc, "op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
+ORACLE_SQL = {"op12_kmeans": _op12_sql(), "op11_chat": OP11_SQL, "op10_warc": OP10_SQL, "op8_quality_rules": OP8_SQL}
