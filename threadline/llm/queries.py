@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, kmeans, minhash, packing, pieces, pii, quality, rans, suffixes, toxicity, warc
+from . import ann, chat, gnat, kmeans, minhash, packing, pieces, pii, quality, rans, suffixes, toxicity, warc
 from .common import documents
 from .quality_sql import OP8_SQL
 
@@ -129,5 +129,26 @@ SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY
 FROM f JOIN c{rounds} k USING (c)"""
 
 
-QUERIES = {"op12_kmeans": op12_kmeans, "op11_chat": op11_chat, "op4_pieces": op4_pieces, "op5_suffixes": op5_suffixes, "op6_nearest": op6_nearest, "op1_minhash": op1_minhash, "op7_toxicity": op7_toxicity, "op10_warc": op10_warc, "op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
-ORACLE_SQL = {"op12_kmeans": _op12_sql(), "op11_chat": OP11_SQL, "op10_warc": OP10_SQL, "op8_quality_rules": OP8_SQL}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return gnat.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), lambda i: i % 100 == 0, label)
+
+
+OP13_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS g, list_transform(embedding, lambda y: floor(256 * y::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = len(embedding)),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.g = v.g AS same, list_sum(list_transform(list_zip(a.x, v.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+
+QUERIES = {"op13_hard_negatives": op13_hard_negatives, "op12_kmeans": op12_kmeans, "op11_chat": op11_chat, "op4_pieces": op4_pieces, "op5_suffixes": op5_suffixes, "op6_nearest": op6_nearest, "op1_minhash": op1_minhash, "op7_toxicity": op7_toxicity, "op10_warc": op10_warc, "op3_packing": op3_packing, "op9_token_files": op9_token_files, "op2_pii_surrogates": op2_pii_surrogates, "op8_quality_rules": op8_quality_rules}
+ORACLE_SQL = {"op13_hard_negatives": OP13_SQL, "op12_kmeans": _op12_sql(), "op11_chat": OP11_SQL, "op10_warc": OP10_SQL, "op8_quality_rules": OP8_SQL}
