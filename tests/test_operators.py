@@ -186,12 +186,10 @@ def test_density(spark):
         assert all(0 <= m <= 1 for _, m in got.values())
 
 
-def test_template_ratio_of_whole_texts(spark, tmp_path):
+def test_template_ratio_of_whole_texts(spark):
     """The best template by whole texts, as difflib finds it over all pairs; a shared first sentence is not enough."""
     from difflib import SequenceMatcher
 
-    from threadline.plans import QUERIES
-
     rng = np.random.default_rng(5)
     words = ["of", "the", "and", "ing", "tion", "re", "Qu", "x", "ou", "ê", ",", "z.\n"]
     prose = lambda n: " ".join(rng.choice(words, n))
@@ -202,17 +200,16 @@ def test_template_ratio_of_whole_texts(spark, tmp_path):
     templates = [prose(n) for n in (10, 20, 30, 45, 60, 60, 80, 150, 250, 400)] + ["Same start. " + prose(60), "no full stop at all here", "x" * 300, None, ""]
     messages = [changed(t, p) for t in templates[:10] for p in (0, 0.02, 0.05, 0.1, 0.3)] + [prose(n) for n in (15, 70, 200)]
     messages += ["Same start. " + "other words entirely! " * 12, "no full stop at all there", "x" * 300, templates[8][:700] + templates[9][700:]]
-    spark.createDataFrame(list(enumerate(templates)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(3, i, "assistant", m) for i, m in enumerate(messages)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     want = {}
     for m in messages:
         r, i = max((SequenceMatcher(None, m, t).ratio(), -i) for i, t in enumerate(templates) if t)
         if r >= 0.75:
             want[m] = (-i, r)
-    got = {r.message: (r.template_id, r.ratio) for r in QUERIES["template_matches"](spark, str(tmp_path)).collect()}
-    assert got == want and 20 < len(want) < len(set(messages)) and got["no full stop at all there"][0] == 11
     rows = spark.createDataFrame([("automated", m) for m in messages], "type string, message string")
-    again = fz.template_matches(rows, spark.createDataFrame(list(enumerate(templates)), "template_id long, template string"), block=3)
+    known = spark.createDataFrame(list(enumerate(templates)), "template_id long, template string")
+    got = {r.message: (r.template_id, r.ratio) for r in fz.template_matches(rows, known).collect()}
+    assert got == want and 20 < len(want) < len(set(messages)) and got["no full stop at all there"][0] == 11
+    again = fz.template_matches(rows, known, block=3)
     assert {r.message: (r.template_id, r.ratio) for r in again.collect()} == want
 
 

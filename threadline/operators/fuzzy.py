@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 from pyspark.sql.window import Window
 
+from threadline.work import kept
+
 
 def closest_by_edits(names: DataFrame, known: DataFrame, least: float = 0.5) -> DataFrame:
     """The closest known sub-topic of the same topic by edit distance over the longer length."""
@@ -204,15 +206,8 @@ def best_matches(messages: list[str], templates: list[tuple], least: float) -> d
     return best
 
 
-def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0.75, block: int = 1000) -> DataFrame:
-    """For each distinct automated text its best template by similarity ratio of the whole texts, if it reaches ``least``.
-
-    Texts meet in groups by length bands that can reach the ratio, split in blocks of about
-    ``block`` templates and a quarter as many messages; a group's task keeps one template per
-    message, so what is emitted grows with messages times blocks, not with pairs.
-    """
-    texts = messages.where("type = 'automated' AND message <> ''").select("message").distinct()
-    known = templates.where("template <> ''").groupBy("template").agg(F.min("template_id").alias("template_id"))
+def _block_matches(texts: DataFrame, known: DataFrame, least: float, block: int) -> DataFrame:
+    """message, template_id, ratio of the best pairs of each two blocks of texts within a length band."""
     n_t, n_m = (max(1, -(-df.count() // size)) for df, size in ((known, block), (texts, max(1, block // 4))))
     # lengths that can reach the ratio differ by a factor of at most (2 - least) / least: neighbours on a log scale
     step = F.log(F.lit((2 - least) / least)) + 1e-9
@@ -228,7 +223,137 @@ def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0
         return pd.DataFrame(rows, columns=["message", "template_id", "ratio"])
 
     keys = ["band", "m", "t"]
-    kind = templates.schema["template_id"].dataType.simpleString()
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(found, f"message string, template_id {kind}, ratio double")
+    kind = known.schema["template_id"].dataType.simpleString()
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(found, f"message string, template_id {kind}, ratio double")
+
+
+#: The index: length of its grams, templates with at most so many blocks per character, and how many rare grams a pair must share.
+INDEX_GRAM, INDEX_BLOCKS, INDEX_SHARED, INDEX_BUCKETS = 5, 0.08, 8, 1 << 16
+
+
+def _grams(text: str) -> np.ndarray:
+    x = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+    n = max(0, len(x) - INDEX_GRAM + 1)
+    h = np.zeros(n, np.uint64)
+    for i in range(INDEX_GRAM):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + x[i : i + n] + np.uint64(1)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _gram_counts(texts: DataFrame) -> np.ndarray:
+    """In how many texts (of all) a bucket of grams occurs: a table of fixed size."""
+
+    def count(frames):
+        total = np.zeros(INDEX_BUCKETS, np.int64)
+        for f in frames:
+            for text in f["text"]:
+                total[np.unique(_grams(text) % np.uint64(INDEX_BUCKETS)).astype(np.int64)] += 1
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"bucket": at, "n": total[at]})
+
+    out = np.zeros(INDEX_BUCKETS, np.int64)
+    for r in texts.select("text").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        out[r["bucket"]] = r["n"]
+    return out
+
+
+def _rarest(text: str, shared: float, counts: np.ndarray):
+    """(gram with its occurrence number, position or -1 for grams that repeat) of the rarest grams,
+    so many that of ``shared`` ones in common with another text the first INDEX_SHARED are among them, and that number."""
+    h = _grams(text)
+    need = int(np.ceil(shared - 1e-9))
+    wanted = max(1, min(INDEX_SHARED, need))
+    by_value = np.argsort(h, kind="stable")
+    ordered = h[by_value]
+    at = np.arange(len(h))
+    start = np.r_[True, ordered[1:] != ordered[:-1]]
+    first = np.maximum.accumulate(np.where(start, at, 0))
+    single = start & np.r_[start[1:], True]
+    occurrence = np.empty(len(h), np.uint64)
+    occurrence[by_value] = (at - first).astype(np.uint64)
+    unique = np.empty(len(h), bool)
+    unique[by_value] = single
+    keys = h + occurrence * np.uint64(0xC2B2AE3D27D4EB4F)
+    rank = np.lexsort((keys, counts[(h % np.uint64(INDEX_BUCKETS)).astype(np.int64)]))[: len(h) - need + wanted]
+    return keys[rank].astype(np.int64), np.where(unique[rank], rank, -1), wanted
+
+
+def _indexed_matches(texts: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """message, template_id, ratio of the pairs that reach the ratio, by an inverted index on rare grams.
+
+    In a pair that reaches it, need characters of 2M/T lie in at most so many blocks as its template allows,
+    so at least need - (q - 1) * blocks grams are shared.  In one order of all grams by rarity the first
+    INDEX_SHARED of these are among the rarest of both texts: only those have postings.  A gram that stands once in both texts
+    counts only where its places differ by no more than what the ratio leaves unmatched.
+    Rows are the postings and the pairs that share one.
+    """
+    low, high = least / (2 - least), (2 - least) / least
+    # work per text is large for its bytes: as many partitions as a shuffle has, however small the table is
+    spread = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = kept(texts.repartition(spread, "message").select(F.monotonically_increasing_id().alias("i"), F.col("message").alias("text")))
+    asked = kept(known.repartition(spread, "template_id").select(F.monotonically_increasing_id().alias("j"), "template_id", F.col("template").alias("text")))
+    counts = _gram_counts(rows.select("text").union(asked.select("text")))
+    lost = (INDEX_GRAM - 1) * INDEX_BLOCKS
+
+    def postings(shared, number):
+        def run(frames):
+            for f in frames:
+                for at in range(0, len(f), 500):  # some hundred postings each
+                    part = f.iloc[at : at + 500]
+                    found = [_rarest(text, shared(text), counts) for text in part["text"]]
+                    sizes = [len(keys) for keys, _, _ in found]
+                    each = {number: part[number], f"n_{number}": part["text"].str.len(), f"k_{number}": [w for _, _, w in found]}
+                    lists = {c: np.repeat(np.asarray(v), sizes) for c, v in each.items()}
+                    yield pd.DataFrame({"gram": np.concatenate([k for k, _, _ in found]), f"at_{number}": np.concatenate([p for _, p, _ in found]), **lists})
+
+        return run
+
+    of_message = lambda t: min(least * (1 + f) * len(t) / 2 - lost * f * len(t) for f in (low, high))
+    of_template = lambda t: low * len(t) - (INDEX_GRAM - 1) * _most_blocks(t)
+    schema = "gram long, {0} long, at_{0} int, n_{0} int, k_{0} int"
+    a = rows.mapInPandas(postings(of_message, "i"), schema.format("i"))
+    b = asked.select("j", "text").mapInPandas(postings(of_template, "j"), schema.format("j"))
+    need = F.ceil(least * (F.col("n_i") + F.col("n_j")) / 2 - 1e-9)
+    near = (F.col("at_i") < 0) | (F.col("at_j") < 0) | (F.col("at_i") - F.col("at_j")).between(need - F.col("n_j"), F.col("n_i") - need)
+    sized = (F.least("n_i", "n_j") >= need)
+    # postings are many times the texts that their size is guessed from: never broadcast
+    pairs = a.join(b.hint("merge"), "gram").where(sized & near).groupBy("i", "j").agg(F.count("*").alias("n"), F.first(F.least("k_i", "k_j")).alias("k")).where("n >= k").select("i", "j")
+    whole = pairs.join(rows.withColumnRenamed("text", "message"), "i").join(asked.withColumnRenamed("text", "template"), "j").select("message", "template_id", "template")
+
+    def rate(frames):
+        for f in frames:
+            out = []
+            for (t, template), some in f.groupby(["template_id", "template"], sort=False):
+                messages = some["message"].tolist()
+                out += [(messages[i], t, r) for i, (r, _) in best_matches(messages, [(t, template)], least).items()]
+            yield pd.DataFrame(out, columns=["message", "template_id", "ratio"])
+
+    kind = known.schema["template_id"].dataType.simpleString()
+    return whole.repartition("template_id").sortWithinPartitions("template_id").mapInPandas(rate, f"message string, template_id {kind}, ratio double")
+
+
+def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0.75, block: int = 1000) -> DataFrame:
+    """For each distinct automated text its best template by similarity ratio of the whole texts, if it reaches ``least``.
+
+    Templates of 200 characters and more whose matching blocks are bounded well enough are looked up in an index
+    of rare grams.  For the others nothing short bounds what a pair must share: they meet the texts in groups by length
+    bands that can reach the ratio, split in blocks of about ``block`` templates and a quarter as many messages.
+    """
+    texts = messages.where("type = 'automated' AND message <> ''").select("message").distinct()
+    known = templates.where("template <> ''").groupBy("template").agg(F.min("template_id").alias("template_id"))
+    indexed = kept(known.select("template_id", "template", _is_indexed(least)(F.col("template")).alias("_i")))
+    by_index = _indexed_matches(texts, indexed.where("_i").drop("_i"), least)
+    by_block = _block_matches(texts, indexed.where("NOT _i").drop("_i"), least, block)
     best = Window.partitionBy("message").orderBy(F.desc("ratio"), "template_id")
-    return pairs.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("message", "template_id", "ratio")
+    return by_index.union(by_block.select("message", "template_id", "ratio")).withColumn("_n", F.row_number().over(best)).where("_n = 1").select("message", "template_id", "ratio")
+
+
+def _is_indexed(least: float):
+    bound = least / (2 - least) - (INDEX_GRAM - 1) * INDEX_BLOCKS
+
+    @F.pandas_udf("boolean")
+    def of(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: bound > 0 and len(t) >= 200 and _most_blocks(t) <= INDEX_BLOCKS * len(t))
+
+    return of

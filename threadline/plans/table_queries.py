@@ -142,9 +142,27 @@ def closest_names(spark, sf_dir):
     return fz.closest_by_edits(asked, known).select("topic", "sub_topic", "known", F.round("similarity", 6).alias("similarity"))
 
 
+def planted_templates(rows):
+    """Templates out of automated texts, by the length of the text: the text itself, without its last tenth, with an ending, or its first two fifths."""
+    texts = rows.where("type = 'automated' AND message <> ''").groupBy("message").agg(F.min("msg_id").alias("template_id"))
+    n = F.length("message")
+    cut = lambda k: F.expr(f"substring(message, 1, cast(length(message) as int) - cast(floor(length(message) / {k}) as int))")
+    text = F.when(n % 4 == 0, F.col("message")).when(n % 4 == 1, cut(10)).when(n % 4 == 2, F.concat("message", F.lit(" See you there!"))).otherwise(F.expr("substring(message, 1, cast(floor(length(message) * 0.4) as int))"))
+    return texts.select("template_id", text.alias("template"))
+
+
 def template_matches(spark, sf_dir):
-    t = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("template_id"), F.col("text").alias("template"))
-    return fz.template_matches(turns(spark, sf_dir).select("type", "message"), t)
+    rows = turns(spark, sf_dir)
+    return fz.template_matches(rows.select("type", "message"), planted_templates(rows))
+
+
+TEMPLATE_MATCHES_SQL = f"""
+WITH {TURNS_SQL},
+t AS (
+  SELECT message, min(msg_id) AS template_id, length(message) AS n, length(message) - CASE length(message) % 4 WHEN 1 THEN length(message) // 10 ELSE 0 END AS m
+  FROM turns WHERE type = 'automated' AND message <> '' GROUP BY message)
+SELECT message, template_id, CASE WHEN n % 4 = 2 THEN 2.0 * n / (2 * n + 15) ELSE 2.0 * m / (n + m) END::DOUBLE AS ratio
+FROM t WHERE n % 4 <> 3 AND (n % 4 <> 2 OR 2.0 * n / (2 * n + 15) >= 0.75)"""
 
 
 # --- signals -------------------------------------------------------------------------------
@@ -325,6 +343,7 @@ QUERIES = {
 _SEG = _segments_sql()
 _TL = f"WITH {EVENTS_SQL}"
 ORACLE_SQL = {
+    "template_matches": TEMPLATE_MATCHES_SQL,
     "responses": """
 WITH r AS (SELECT conv_id AS w, count(*) AS n FROM conversations GROUP BY 1)
 SELECT w AS window_id, 't' AS topic, 's' || (w % 3) AS sub_topic, '0' AS indices, CASE WHEN w % 10 = 5 THEN 0.99 ELSE 0.5 END::DOUBLE AS confidence, CASE WHEN w % 2 = 0 THEN 'positive' ELSE 'neutral' END AS sentiment
