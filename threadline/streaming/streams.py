@@ -1,12 +1,10 @@
-"""Message streams: repeated ids, near copies, chunks, bursts of automated rows, daily counts, late rows.
+"""Message streams: repeated ids, bursts of automated rows, daily counts, late rows.
 
 A stream has msg_id, chat_id, type, message and ts (a timestamp).
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +31,8 @@ def daily_counts(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
 def write_batches(stream: DataFrame, path: str, checkpoint: str, late_after: str = "3 days"):
     """Append each micro-batch to ``path``; rows older than the batch's newest by ``late_after`` go to ``path``_late.
 
-    The late table is replayed by segmenting its chats again.  A batch that is tried
-    again overwrites its own folder.
+    A batch that is tried again overwrites its own folder.  ``replay.segment_batches`` keeps
+    segments current, late rows included.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -44,74 +42,3 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, late_after: str
             rows.where(F.col("late") == late).drop("late").write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-
-
-def without_near_copies(stream: DataFrame, span_us: int = 2_000_000, delay: str = "10 minutes") -> DataFrame:
-    """Rows less those not from users whose text was kept at most ``span_us`` earlier in the chat.
-
-    The state of a text holds the time at which it was kept last and goes when the
-    watermark is past it.  Rows of a batch are taken in order of time and id.
-    """
-
-    def step(key, frames, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames)).sort_values(["ts", "msg_id"], kind="stable")
-        last = state.get[0] if state.exists else None
-        keep = []
-        for user, at in zip(rows["type"] == "user", rows["ts"].astype("datetime64[us]").astype("int64"), strict=True):
-            copy = not user and last is not None and at <= last + span_us
-            keep.append(not copy)
-            if not user and not copy:
-                last = at
-        if last is not None:
-            state.update((int(last),))
-            state.setTimeoutTimestamp(max(last // 1000 + span_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield rows[keep]
-
-    rows = stream.withWatermark("ts", delay)
-    names = [f.name for f in stream.schema.fields]
-    return rows.groupBy("chat_id", "message").applyInPandasWithState(lambda k, f, s: (x[names] for x in step(k, f, s)), stream.schema, "last long", "append", "EventTimeTimeout")
-
-
-def chunks(stream: DataFrame, gap_us: int = 60_000_000, window_us: int = 3 * 86_400_000_000, reply_us: int = 3_600_000_000, delay: str = "10 minutes") -> DataFrame:
-    """chat_id, msg_id, chunk_no and kind of each row, as the chunks of a table have them, once no later row can change them.
-
-    A user's window is decided when the watermark is past its end, a bot row outside of
-    windows when the watermark is past it; the state of a chat holds the rows that wait.
-    """
-
-    def step(key, frames, state):
-        ids, kinds, times, number, prior = (list(x) if isinstance(x, (list, np.ndarray)) else x for x in state.get) if state.exists else ([], [], [], 0, None)
-        for f in frames if not state.hasTimedOut else ():
-            ids += f["msg_id"].tolist()
-            kinds += f["type"].tolist()
-            times += f["ts"].astype("datetime64[us]").astype("int64").tolist()
-        waiting = sorted(zip(times, ids, kinds, strict=True))
-        mark, out = state.getCurrentWatermarkMs() * 1000, []
-        while waiting and waiting[0][0] < mark:
-            at, _, kind = waiting[0]
-            if kind != "user":
-                if prior is None or at - prior > gap_us:
-                    number += 1
-                out.append((waiting.pop(0)[1], number, "bot_only"))
-                prior = at
-                continue
-            if mark <= at + window_us:
-                break
-            inside = [r for r in waiting if r[0] - at <= window_us]
-            last = max(r[0] for r in inside if r[2] == "user")
-            taken = {r for r in inside if last == at or r[0] <= last or r[0] - last <= reply_us}
-            number, prior = number + 1, None
-            out += [(r[1], number, "user_engaged") for r in sorted(taken)]
-            waiting = [r for r in waiting if r not in taken]
-        state.update(([r[1] for r in waiting], [r[2] for r in waiting], [r[0] for r in waiting], number, prior))
-        if waiting:
-            due = waiting[0][0] + (window_us if waiting[0][2] == "user" else 0)
-            state.setTimeoutTimestamp(max(due // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([(key[0], *r) for r in out], columns=["chat_id", "msg_id", "chunk_no", "kind"])
-
-    held = "ids array<long>, kinds array<string>, times array<long>, number long, prior long"
-    rows = stream.withWatermark("ts", delay)
-    return rows.groupBy("chat_id").applyInPandasWithState(step, "chat_id long, msg_id long, chunk_no long, kind string", held, "append", "EventTimeTimeout")
