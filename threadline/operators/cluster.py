@@ -51,6 +51,17 @@ def agreement(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.agg(F.count("*").alias("n"), F.avg((F.col("topic") == F.col("_t")).cast("double")).alias("agreement"))
 
 
+def written_back(rows: DataFrame, clustered: DataFrame) -> DataFrame:
+    """rows (vec_id, topic, sub_topic) with their cluster object: id (-1 for noise), confidence, and its majority labels with their purity."""
+    joined = rows.join(clustered, "vec_id").withColumn("cluster", F.when(F.col("cluster") != -1, F.col("cluster")))
+    best = majority(joined).select("cluster", F.col("topic").alias("_t"), F.col("sub_topic").alias("_s"), "purity")
+    whole = joined.join(best, "cluster", "left")
+    cluster = F.struct(
+        F.coalesce("cluster", F.lit(-1)).alias("id"), F.col("membership").alias("confidence"), F.col("_t").alias("topic"), F.col("_s").alias("sub_topic"), F.round(F.coalesce("purity", F.lit(0.0)), 4).alias("purity")
+    )
+    return whole.select("vec_id", "topic", "sub_topic", cluster.alias("cluster"))
+
+
 def neighbours(vectors: DataFrame, k: int, blocks: int) -> DataFrame:
     """The k nearest of each unit vector by cosine, ties to the smaller id: an exact search in blocks.
 

@@ -154,10 +154,68 @@ def regenerated(source: DataFrame, written: DataFrame, key: str) -> DataFrame:
 
 
 def user_sample(users: DataFrame, rate: float, seed: int = 0) -> DataFrame:
-    """A share of the users, one at least, the same in every run: those with the smallest digests."""
-    n = users.count()
-    k = max(1, int(n * min(1.0, max(0.0, rate))))
-    return users.orderBy(F.md5(F.concat(F.col("user_id").cast("string"), F.lit(f":{seed}"))), "user_id").limit(k)
+    """A share of the users, one at least, the same in every run: those with the smallest digests.
+
+    A histogram of the digests' first 16 bits tells which bins go in whole; only the bin at the edge is ranked.
+    """
+    rows = users.withColumn("_d", F.md5(F.concat(F.col("user_id").cast("string"), F.lit(f":{seed}")))).withColumn("_bin", F.substring("_d", 1, 4))
+    bins = sorted(rows.groupBy("_bin").agg(F.count("*").alias("n")).collect())  # at most 65,536
+    n = sum(r["n"] for r in bins)
+    left, edge = max(1, int(n * min(1.0, max(0.0, rate)))), "g"
+    for r in bins:
+        if r["n"] > left:
+            edge = r["_bin"]
+            break
+        left -= r["n"]
+    last = rows.where(F.col("_bin") == edge).withColumn("_n", F.row_number().over(Window.partitionBy("_bin").orderBy("_d", "user_id"))).where(F.col("_n") <= left)
+    return rows.where(F.col("_bin") < edge).select(*users.columns).unionByName(last.select(*users.columns))
+
+
+#: Bits of a level of a digest tree, rows that a leaf should have, and most levels below the root (a leaf is a folder).
+BITS, LEAF_ROWS, LEVELS = 4, 100_000, 3
+
+
+def write_digested(rows: DataFrame, path: str, keys: list[str], levels: int) -> None:
+    """Write rows in a folder per leaf (by a hash of the key), and beside them the tree: count and digest sum of each node.
+
+    Sums, not xor, so that a row that stands twice counts twice.
+    """
+    text = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    digest = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    keyed = rows.withColumn("_leaf", F.xxhash64(*keys).bitwiseAND((1 << BITS * levels) - 1).cast("int")).withColumn("_digest", digest)
+    keyed.repartition("_leaf").write.mode("overwrite").partitionBy("_leaf").parquet(path)
+    leaves = keyed.groupBy("_leaf").agg(F.count("*").alias("n"), F.sum("_digest").alias("digest"))
+    nodes = leaves.select(F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("_leaf", BITS * (levels - k)).alias("node")) for k in range(levels + 1)])).alias("k"), "n", "digest")
+    nodes.groupBy("k.level", "k.node").agg(F.sum("n").alias("n"), F.sum("digest").alias("digest")).coalesce(1).write.mode("overwrite").parquet(f"{path}_digests")
+
+
+def levels_for(rows: DataFrame) -> int:
+    n, levels = rows.count(), 1
+    while levels < LEVELS and n > LEAF_ROWS << BITS * levels:
+        levels += 1
+    return levels
+
+
+def unequal_leaves(spark, a: str, b: str, levels: int) -> list[int]:
+    """The leaves in which two digested tables differ, found from the roots down: below equal nodes nothing is looked at."""
+    trees = [spark.read.parquet(f"{x}_digests") for x in (a, b)]
+    open_ = [0]
+    for level in range(levels + 1):
+        left, right = (t.where((F.col("level") == level) & F.col("node").isin(open_)).select("node", F.struct("n", "digest").alias(s)) for t, s in zip(trees, "lr", strict=True))
+        unequal = [r["node"] for r in left.join(right, "node", "full").where(~F.col("l").eqNullSafe(F.col("r"))).select("node").collect()]  # at most 2^(BITS * level)
+        if not unequal or level == levels:
+            return sorted(unequal)
+        open_ = [(n << BITS) + i for n in unequal for i in range(1 << BITS)]
+    return []
+
+
+def changes(spark, a: str, b: str, keys: list[str], levels: int) -> DataFrame:
+    """keys and how (added, removed, changed) of what differs from table a to table b, written with equally many levels; only unequal leaves are read."""
+    leaves = unequal_leaves(spark, a, b, levels)
+    counted = lambda path, name: spark.read.parquet(path).where(F.col("_leaf").isin(leaves)).groupBy(*keys, "_digest").agg(F.count("*").alias(name))
+    both = counted(a, "n_a").join(counted(b, "n_b"), [*keys, "_digest"], "full").na.fill(0, ["n_a", "n_b"])
+    each = both.groupBy(*keys).agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count_if(F.col("n_a") != F.col("n_b")).alias("d")).where("d > 0")
+    return each.select(*keys, F.when(F.col("n_a") == 0, "added").when(F.col("n_b") == 0, "removed").otherwise("changed").alias("how"))
 
 
 def constraints(rows: DataFrame, checks: dict[str, object]) -> DataFrame:
