@@ -3,12 +3,16 @@
 Each entity found in a text (e-mail, phone, payment card, IPv4, social security
 number, IBAN, access key, person after a title) is replaced by a keyed surrogate
 of the same kind: same layout, letter case, script, gender of the title, valid
-check digit.  The same entity gets the same surrogate everywhere (coreference),
+check digits.  The same entity gets the same surrogate everywhere (coreference),
 and different entities different ones: candidates that collide with each other
 or with an entity of the corpus are drawn again with the next attempt number.
 The domains of e-mail addresses are entities too, so that different ones stay
 different.  A phone number of the +1 zone is the same entity with and without it.
-Names are found after titles only.
+Persons are found after titles.  Their given names and their surname are entities of
+their own, whatever the title and its full stop, so ``Mrs. Anna Smith``, ``Mrs Smith`` and
+``Dr. Smith`` keep one surname; where a text has a titled full name, the same name without a
+title is replaced in that text too (it is not counted in ``pii`` again).  A title without a gender
+leaves it to the ending of the given name.  Initials and particles (van, de ...) are no entities.
 
 Defined results: null text stays null and an empty text empty, both without
 entities; runs of 13 to 19 digits without a valid check digit are left alone;
@@ -27,6 +31,8 @@ from .quality import let
 # Titles by gender, and given names by script and gender.
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "господин", "κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "κυρία")
+NEUTRAL = ("Dr", "Prof", "Professor", "Doctor", "Doktor")
+PARTICLES = ("van", "von", "de", "der", "den", "di", "da", "du", "del", "la", "le", "dos", "bin", "ten", "ter", "zu")
 GIVEN = {
     ("latin", "m"): ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Hugo", "Ivan", "Jonas", "Leo", "Marco", "Noel", "Oscar", "Paul", "Simon", "Tom"),
     ("latin", "f"): ("Ada", "Bella", "Clara", "Diana", "Emma", "Flora", "Greta", "Helen", "Irma", "Julia", "Laura", "Marta", "Nora", "Olga", "Paula", "Rosa"),
@@ -41,19 +47,21 @@ SYLLABLES = {
     "greek": ("βα", "δεν", "γορ", "χαλ", "κερ", "λιν", "μαρ", "νες", "πορ", "ραλ", "σεν", "τορ", "βεν", "βαλ", "ζιμ", "φελ"),
 }
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+#: A part of a name: inner capitals, apostrophes and hyphens, or an initial before another part.
+_WORD = r"(?:\p{Lu}\.(?= \p{Lu})|\p{Lu}\p{L}*+(?:['’-]\p{L}\p{L}++)*+)"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}][\p{L}\p{N}._+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     "iban": r"\b[A-Z]{2}\d{2}(?:(?=[A-Z0-9]*\d)[A-Z0-9]{11,30}| [A-Z0-9]{4}(?: (?=[A-Z]*\d)[A-Z0-9]{4}){1,6}(?: (?=[A-Z]*\d)[A-Z0-9]{1,3})?)\b",
-    "key": r"(?:\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}+|\beyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++|(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])|(?<=\b(?:password|passwd|secret|api_key|token)=)([^\s\"',;&]{6,}+))",
+    "key": r"(?:\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}+|\beyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++|(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])|(?<=\b(?i:password|passwd|secret|api_key|token)(?:=|: ?(?=[^\s\"',;&]{0,99}\d)))([^\s\"',;&]{6,}+))",
     "phone": r"(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+(?=[1-9](?:[ .()-]{0,3}\d){7})\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d-])\(?\d{3}\)?[ .-]\d{3}-\d{4}(?![\d-])|(?<![\d.-])\d{3}\.\d{3}\.\d{4}(?![\d-]|\.\d))",
     "card": r"(?<![\d.])(?:\d{13,19}|\d{4}(?<by>[ -])\d{4}\k<by>\d{4}\k<by>\d{1,7}|\d{4}(?<of>[ -])\d{6}\k<of>\d{4,5})(?![\d])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "name": rf"\b(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}[\p{{Ll}}]++(?:[ -]\p{{Lu}}[\p{{Ll}}]++)?",
+    "name": rf"\b(?:(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? ){{1,3}}{_WORD}(?: (?:(?:{'|'.join(PARTICLES)}) ){{0,2}}{_WORD}){{0,2}}",
 }
 ANY = "|".join(PATTERNS[k] for k in PATTERNS)
 #: The group of ANY that holds a secret after its name, and what comes before one.
-SECRET, NAMES = 1, ("secret=", "password=", "passwd=", "api_key=", "token=")
+SECRET, NAMES = 1, r"(?i:password|passwd|secret|api_key|token)[=:]"
 DIGIT_KINDS = ("phone", "card", "ssn")
 
 
@@ -73,10 +81,44 @@ def norm_of(kind: Column, surface: Column) -> Column:
         .when(kind.isin(*DIGIT_KINDS), F.regexp_replace(surface, r"\D", ""))
         .when(kind == "email", F.lower(surface))
         .when(kind == "iban", F.replace(surface, F.lit(" "), F.lit("")))
+        .when(kind == "name", let(F.regexp_extract(surface, NAME, 1), lambda titles: F.concat(gender_of(titles), F.lit("|"), F.substr(surface, F.length(titles) + 1))))
         .otherwise(surface)
     )
 
 
+#: The titles before a name.
+NAME = rf"^((?:(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? )+)"
+
+
+def gender_of(titles: Column) -> Column:
+    """m, f or n by the titles."""
+    words = F.split(F.replace(titles, F.lit("."), F.lit("")), " ")
+    return F.when(F.arrays_overlap(words, _list(MALE)), "m").when(F.arrays_overlap(words, _list(FEMALE)), "f").otherwise("n")
+
+
+def parts_of(norm: Column) -> Column:
+    """The words of a name whose norm is gender|words, as (kind, norm, word); kind is null for initials and particles."""
+
+    def part(words):
+        def one(w, i):
+            last = i == F.size(words) - 1
+            gender = F.substring(norm, 1, 1)
+            # without a title that tells, by the ending
+            known = F.when(gender != "n", gender).otherwise(F.when(w.rlike("[aаяαη]$"), "f").otherwise("m"))
+            kind = F.when(w.rlike(r"^\p{Lu}(?!\.)"), F.when(last, "surname").otherwise("given"))
+            return F.struct(kind.alias("kind"), F.when(last, F.lower(w)).otherwise(F.concat(known, F.lit("|"), F.lower(w))).alias("norm"), w.alias("word"))
+
+        return F.transform(words, one)
+
+    return let(F.split(F.substr(norm, F.lit(3)), " "), part)
+
+
+def single(e: Column) -> Column:
+    """The entities (kind, norm) behind one found: the parts of a name, else itself."""
+    parts = F.transform(F.filter(parts_of(e["norm"]), lambda p: p["kind"].isNotNull()), lambda p: F.struct(p["kind"].alias("kind"), p["norm"].alias("norm")))
+    return F.when(e["kind"] == "name", parts).otherwise(F.array(F.struct(e["kind"].alias("kind"), e["norm"].alias("norm"))))
+
+
 def entity(match: Column) -> Column:
     """A secret after its name is a key whatever its characters; other surfaces tell their kind."""
     surface = match["surface"]
@@ -89,17 +131,16 @@ def maybe(text: Column) -> Column:
     Every entity has a digit, an at sign, a title, the name of a secret or the beginning of a key.
     """
     out = text.rlike("[0-9@]")
-    for part in sorted({*NAMES, "sk-", "eyJ", "AKIA", "ASIA", *(f"gh{c}_" for c in "pousr"), *(t[:2] if t[:2] in ("Mr", "Sr", "Mm") else t for t in MALE + FEMALE)}):
+    short = {"Mrs": "Mr", "Señora": "Señor", "Sra": "Sr", "Professor": "Prof"}
+    for part in sorted({"sk-", "eyJ", "AKIA", "ASIA", *(f"gh{c}_" for c in "pousr"), *(short.get(t, t) for t in MALE + FEMALE + NEUTRAL)}):
         out = out | text.contains(part)
-    return out
+    return out | text.rlike(NAMES)
 
 
 def found(text: Column) -> Column:
     """Array of (surface, secret) in text order; secret: the surface stands after a secret's name."""
     matches = lambda group: F.regexp_extract_all(text, F.lit(ANY), F.lit(group))
-    named = F.lit(False)
-    for name in NAMES:
-        named = named | text.contains(name)
+    named = text.rlike(NAMES)
     pair = lambda surface, secret: F.struct(surface.alias("surface"), secret.alias("secret"))
     return (
         F.when(maybe(text) & named, F.zip_with(matches(0), matches(SECRET), lambda m, g: pair(m, g != "")))
@@ -154,19 +195,39 @@ def _more(attempt: Column, hashed: Column, parts) -> Column:
     return F.when(attempt > 3, F.array_join(each, "")).otherwise(F.lit(""))
 
 
-def _name(norm: Column, hashed: Column, attempt: Column) -> Column:
-    def pick(values, i):
-        return F.element_at(_list(values), _nibble(hashed, F.lit(i)) + 1)
+def _in_script(word: Column, build) -> Column:
+    return F.when(word.rlike(r"\p{IsCyrillic}"), build("cyrillic")).when(word.rlike(r"\p{IsGreek}"), build("greek")).otherwise(build("latin"))
+
 
-    def full(script):
-        last = F.initcap(F.concat(*[pick(SYLLABLES[script], i) for i in (1, 2, 3, 4)], _more(attempt, hashed, SYLLABLES[script])))
-        first = F.when(male, pick(GIVEN[script, "m"], 0)).otherwise(pick(GIVEN[script, "f"], 0))
-        return F.when(F.size(F.split(norm, "[ -]")) > 2, F.concat(first, F.lit(" "), last)).otherwise(last)
+def _pick(values, hashed: Column, i: int) -> Column:
+    return F.element_at(_list(values), _nibble(hashed, F.lit(i)) + 1)
 
-    title = F.regexp_extract(norm, r"^(\S+) ", 1)
-    male = F.regexp_replace(title, r"\.$", "").isin(*MALE)
-    own = F.regexp_extract(norm, r"^\S+ (.*)$", 1)
-    return F.concat(title, F.lit(" "), F.when(own.rlike(r"\p{IsCyrillic}"), full("cyrillic")).when(own.rlike(r"\p{IsGreek}"), full("greek")).otherwise(full("latin")))
+
+def _surname(norm: Column, hashed: Column, attempt: Column) -> Column:
+    return _in_script(norm, lambda s: F.concat(*[_pick(SYLLABLES[s], hashed, i) for i in (1, 2, 3, 4)], _more(attempt, hashed, SYLLABLES[s])))
+
+
+def _given(norm: Column, hashed: Column, attempt: Column) -> Column:
+    """gender|name: one of 16 at first, with one more syllable for each redraw."""
+    gender = F.substring(norm, 1, 1)
+
+    def build(s):
+        first = F.when(gender == "m", _pick(GIVEN[s, "m"], hashed, 0)).otherwise(_pick(GIVEN[s, "f"], hashed, 0))
+        return F.concat(gender, F.lit("|"), F.lower(first), _more(attempt + 3, hashed, SYLLABLES[s]))
+
+    return _in_script(norm, build)
+
+
+def _check_mod_97(country: Column, account: Column) -> Column:
+    """The two check digits of an IBAN."""
+
+    def add(total, c):
+        # letters count from 10
+        v = F.when(c.rlike(r"\d"), c.cast("int")).otherwise(F.ascii(c) - 55)
+        return (total * F.when(v > 9, 100).otherwise(10) + v) % 97
+
+    rest = F.aggregate(F.split(F.concat(account, country, F.lit("00")), ""), F.lit(0), add)
+    return F.lpad((98 - rest).cast("string"), 2, "0")
 
 
 def domain_of(email: Column) -> Column:
@@ -204,8 +265,9 @@ def surrogate(kind: Column, norm: Column, attempt: Column, of_domain: Column, ke
             .when((kind == "key") & norm.rlike("^[0-9a-f]+$"), F.concat(_hex(norm, h), more(h)))
             .when((kind == "key") & norm.rlike("^[0-9A-F]+$"), F.concat(F.upper(_hex(norm, h)), more(h)))
             .when(kind == "key", let(F.regexp_extract(norm, "^(AKIA|ASIA|gh[pousr]_|sk-|eyJ)?(.*)$", 2), lambda r: F.concat(F.substring(norm, F.lit(1), n - F.length(r)), _cased(r, _letters(r, h)), more(h))))
-            .when(kind == "iban", F.concat(F.substring(norm, 1, 2), F.upper(_letters(F.substring(norm, F.lit(3), n), h))))
-            .otherwise(_name(norm, h, attempt))
+            .when(kind == "iban", let(F.upper(_letters(F.substring(norm, F.lit(5), n), h)), lambda x: F.concat(F.substring(norm, 1, 2), _check_mod_97(F.substring(norm, 1, 2), x), x)))
+            .when(kind == "given", _given(norm, h, attempt))
+            .otherwise(_surname(norm, h, attempt))
         )
 
     return let(_hashed(key, kind, norm, attempt.cast("string")), build)
@@ -280,7 +342,7 @@ def replace(docs: DataFrame, key: str = "threadline", small: int = 2000) -> Data
     Attempt numbers of the few entities whose first candidate collided are sent
     to every task when there are at most ``small`` of them, else joined by entity.
     """
-    each = docs.select(F.explode(found(F.col("text"))).alias("m")).select(entity(F.col("m")).alias("e")).select("e.kind", "e.norm").where("kind IS NOT NULL")
+    each = docs.select(F.explode(found(F.col("text"))).alias("m")).select(entity(F.col("m")).alias("e")).where("e.kind IS NOT NULL").select(F.explode(single(F.col("e"))).alias("e")).select("e.kind", "e.norm")
     redrawn = stored(assigned(stored(each.distinct(), "entities"), key), "redrawn")
     id_of = lambda kind, norm: F.concat(kind, F.lit("\u0001"), norm)
     domain_id = lambda e: F.when(e["kind"] == "email", id_of(F.lit("domain"), domain_of(e["norm"])))
@@ -293,7 +355,7 @@ def replace(docs: DataFrame, key: str = "threadline", small: int = 2000) -> Data
         rows = rows.crossJoin(F.broadcast(taken))  # one row of at most `small` entries
     else:
         rows = stored(rows.withColumn("row", F.expr("uuid()")), "found")
-        ids = F.concat(F.transform("found", lambda e: id_of(e["kind"], e["norm"])), F.transform("found", domain_id))
+        ids = F.concat(F.flatten(F.transform(F.filter("found", lambda e: e["kind"].isNotNull()), lambda e: F.transform(single(e), lambda x: id_of(x["kind"], x["norm"])))), F.transform("found", domain_id))
         of_row = (
             rows.select("row", F.explode(F.array_distinct(F.array_compact(ids))).alias("id"))
             .join(table, "id")
@@ -302,13 +364,32 @@ def replace(docs: DataFrame, key: str = "threadline", small: int = 2000) -> Data
         )
         rows = rows.join(of_row, "row", "left")
 
+    taken = lambda x: F.coalesce(F.try_element_at(F.col("attempts"), x), F.lit(0))
+
+    def part(p):
+        """A word of a name: initials take the letter of a given name, particles stay."""
+        value = F.regexp_replace(surrogate(p["kind"], p["norm"], taken(id_of(p["kind"], p["norm"])), F.lit(0), key), r"^[mf]\|", "")
+        shown = F.when((F.upper(p["word"]) == p["word"]) & (F.length(p["word"]) > 1), F.upper(value)).otherwise(F.initcap(value))
+        initial = F.concat(F.upper(F.substring(_letters(F.substring(p["word"], 1, 1), _hashed(key, F.lit("initial"), p["word"])), 1, 1)), F.lit("."))
+        return F.when(p["kind"].isNotNull(), shown).when(p["word"].endswith("."), initial).otherwise(p["word"])
+
     def final(e):
-        taken = lambda x: F.coalesce(F.try_element_at(F.col("attempts"), x), F.lit(0))
-        value = let(surrogate(e["kind"], e["norm"], taken(id_of(e["kind"], e["norm"])), taken(domain_id(e)), key), lambda v: rendered(e["kind"], e["surface"], v))
-        return F.struct(e["kind"].alias("kind"), F.when(e["kind"].isNull(), e["surface"]).otherwise(value).alias("surrogate"))
+        name = F.array_join(F.transform(parts_of(e["norm"]), part), " ")
+        other = let(surrogate(e["kind"], e["norm"], taken(id_of(e["kind"], e["norm"])), taken(domain_id(e)), key), lambda v: rendered(e["kind"], e["surface"], v))
+        titled = F.concat(F.regexp_extract(e["surface"], NAME, 1), name)
+        return F.struct(e["kind"].alias("kind"), F.when(e["kind"].isNull(), e["surface"]).when(e["kind"] == "name", titled).otherwise(other).alias("surrogate"))
 
     rows = rows.withColumn("new", F.when(F.size("found") > 0, F.transform("found", final)))
-    gaps = F.split("text", ANY, -1)
+    own = lambda x: F.regexp_replace(x, NAME, "")
+    # full names that stand after a title, longest first, and what they become
+    pairs = F.filter(F.zip_with("found", "new", lambda e, x: F.when(e["kind"] == "name", F.struct(own(e["surface"]).alias("name"), own(x["surrogate"]).alias("value")))), lambda x: x["name"].contains(" "))
+    rows = rows.withColumn("bare", F.reverse(F.array_sort(F.array_distinct(pairs))))
+
+    def without_titles(gap):
+        return F.aggregate("bare", gap, lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), x["name"], F.lit(r"\E(?![\p{L}\p{N}])")), x["value"]))
+
+    cut = F.split("text", ANY, -1)
+    gaps = F.when(F.size("bare") > 0, F.transform(cut, without_titles)).otherwise(cut)
     text = F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size("new")), F.col("new.surrogate"), lambda a, b: F.concat(a, b)), ""), F.element_at(gaps, -1))
     name = "pii"
     while name in docs.columns:
