@@ -157,3 +157,36 @@ def running_context(segments: DataFrame) -> DataFrame:
     lines = F.collect_list(line).over(order)
     text = F.when(F.size(lines) > 0, F.concat(F.lit("Previous segments:\n"), F.array_join(lines, "\n"))).otherwise(F.lit(""))
     return segments.select("segment_id", "user_id", text.alias("context"))
+
+
+def adjusted(rows: DataFrame, pure: bool = False) -> DataFrame:
+    """rows (has_user, confidence, sentiment) after the rules: without the user confidence is 1 and there is no sentiment; in pure mode all stays as labelled."""
+    if pure:
+        return rows
+    return rows.withColumn("confidence", F.when(F.col("has_user"), F.col("confidence")).otherwise(F.lit(1.0))).withColumn("sentiment", F.when(F.col("has_user"), F.col("sentiment")))
+
+
+def sentiment_streaks(rows: DataFrame, user: str, order: list[str]) -> DataFrame:
+    """user, nth (from 1), sentiment and n of each run of equal sentiments; rows without a sentiment don't break a run."""
+    w = Window.partitionBy(user).orderBy(*order)
+    known = rows.where(F.col("sentiment").isNotNull())
+    new = F.coalesce(F.lag("sentiment").over(w) != F.col("sentiment"), F.lit(True))
+    numbered = known.withColumn("_new", new.cast("long")).withColumn("nth", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(user, "nth").agg(F.first("sentiment").alias("sentiment"), F.count("*").alias("n"))
+
+
+def sentiment_trends(rows: DataFrame, user: str, order: list[str], width: int = 3) -> DataFrame:
+    """rows with mood (positive 1, negative -1, else 0, over the last ``width`` rows with a sentiment) and whether it fell below the one before."""
+    w = Window.partitionBy(user).orderBy(*order)
+    score = F.when(F.col("sentiment") == "positive", 1).when(F.col("sentiment") == "negative", -1).otherwise(0)
+    known = rows.where(F.col("sentiment").isNotNull()).withColumn("mood", F.avg(score).over(w.rowsBetween(1 - width, 0)))
+    return known.withColumn("falling", F.coalesce(F.col("mood") < F.lag("mood").over(w), F.lit(False)))
+
+
+def needing_a_person(rows: DataFrame, user: str, order: list[str], urgent: list[str], complaints: list[str], last: int = 5, least: int = 2) -> DataFrame:
+    """rows with ``why``: an urgent topic, or the ``least``-th negative complaint within the user's last ``last`` rows."""
+    w = Window.partitionBy(user).orderBy(*order).rowsBetween(1 - last, 0)
+    bad = F.coalesce(F.col("topic").isin(*complaints) & (F.col("sentiment") == "negative"), F.lit(False))
+    marked = rows.withColumn("_bad", bad).withColumn("_n", F.count_if("_bad").over(w))
+    why = F.when(F.col("topic").isin(*urgent), "urgent").when(F.col("_bad") & (F.col("_n") >= least), "repeated")
+    return marked.withColumn("why", why).where("why IS NOT NULL").drop("_bad", "_n")

@@ -148,6 +148,42 @@ def events(rows: DataFrame, kind: str, fields: list[str]) -> DataFrame:
     return rows.select("segment_id", F.lit(kind).alias("event"), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("payload"))
 
 
+def remap_log(rows: DataFrame, config_id: int, group_id: int | None = None, run_id: int | None = None) -> DataFrame:
+    """Log rows of remapped topics (rows: user_id, has_user, from_topic, from_sub_topic, to_topic), with the direction and, in a benchmark, the run they belong to.
+
+    A segment with its user's engagement that had a bot topic goes from bot to user, any other the other way.
+    """
+    direction = F.when(F.col("has_user"), "bot_to_user").otherwise("user_to_bot")
+    fields = F.struct(direction.alias("direction"), F.col("from_topic").alias("original_topic"), F.col("from_sub_topic").alias("original_sub_topic"), F.col("to_topic").alias("remapped_topic"))
+    number = lambda n: F.lit(n).cast("long")
+    return rows.where(~F.col("from_topic").eqNullSafe(F.col("to_topic"))).select(
+        "segment_id", F.lit("taxonomy_remap").alias("event"), "user_id", F.to_json(fields, {"ignoreNullFields": "false"}).alias("payload"),
+        number(config_id).alias("config_id"), number(group_id).alias("group_id"), number(run_id).alias("run_id"),
+    )
+
+
+def regenerate(rows: DataFrame, path: str, run: int) -> None:
+    """Clear a table and write it anew, as run number ``run``.
+
+    The rows are written beside the old ones, then the run is listed, then older runs are deleted: readers see the old
+    table or the new one, and a run that broke off anywhere is simply started again under its number.
+    """
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(f"{path}/run={run}")
+    spark.range(1).select(F.lit(run).cast("long").alias("run")).coalesce(1).write.mode("overwrite").parquet(f"{path}_runs/number={run}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder):
+        if status.getPath().getName().startswith("run=") and int(status.getPath().getName().removeprefix("run=")) < run:
+            fs.delete(status.getPath(), True)
+
+
+def generated(spark, path: str) -> DataFrame:
+    """The rows of the newest run that was listed."""
+    newest = spark.read.schema("run long").parquet(f"{path}_runs").agg(F.max("run").alias("run")).first()["run"]
+    return spark.read.parquet(f"{path}/run={newest}")
+
+
 def regenerated(source: DataFrame, written: DataFrame, key: str) -> DataFrame:
     """Counts of a table made anew: rows queried, written and skipped."""
     return source.agg(F.count_distinct(key).alias("queried")).crossJoin(written.agg(F.count_distinct(key).alias("written"))).withColumn("skipped", F.col("queried") - F.col("written"))

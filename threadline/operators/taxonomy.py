@@ -105,6 +105,12 @@ def pool_texts(allowed: DataFrame, topics: DataFrame, subs: DataFrame) -> DataFr
     return rows.groupBy("pool").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("slug", "line"))), lambda x: x["line"]), "\n").alias("text"))
 
 
+def bot_texts(user_texts: DataFrame, bot_texts: DataFrame) -> DataFrame:
+    """pool and the text that its bot messages are labelled with: the bot taxonomy's, or the user taxonomy's where that is empty."""
+    both = user_texts.toDF("pool", "_user").join(bot_texts.toDF("pool", "_bot"), "pool", "full")
+    return both.select("pool", F.coalesce(F.nullif(F.col("_bot"), F.lit("")), "_user").alias("text"))
+
+
 def grown(topics: DataFrame, subs: DataFrame, labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Topics and sub-topics with those that labelled templates (topic, sub_topic, summary) bring, the summary as description."""
     first = labelled.groupBy("topic", "sub_topic").agg(F.min("summary").alias("description"))

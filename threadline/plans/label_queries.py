@@ -161,7 +161,7 @@ def run_configs(spark, sf_dir):
 def closest_subtopics(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     known = p.select(F.lower("p_type").alias("topic"), F.replace("p_name", F.lit(" "), F.lit("_")).alias("sub_topic")).distinct()
-    return fz.closest(known.withColumn("sub_topic", F.concat(F.substring("sub_topic", 2, 100), F.lit("s"))), known)
+    return fz.closest(known.withColumn("sub_topic", F.concat(F.expr("substring(sub_topic, 2)"), F.lit("s"))), known)
 
 
 def validated_labels(spark, sf_dir):

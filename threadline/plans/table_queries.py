@@ -138,7 +138,7 @@ def remapped(spark, sf_dir):
 def closest_names(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     known = p.select(F.lower("p_type").alias("topic"), F.replace("p_name", F.lit(" "), F.lit("_")).alias("sub_topic")).distinct()
-    asked = known.withColumn("sub_topic", F.concat(F.substring("sub_topic", 2, 100), F.lit("s")))
+    asked = known.withColumn("sub_topic", F.concat(F.expr("substring(sub_topic, 2)"), F.lit("s")))
     return fz.closest_by_edits(asked, known).select("topic", "sub_topic", "known", F.round("similarity", 6).alias("similarity"))
 
 
