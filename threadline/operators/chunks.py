@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .chains import taken
 from .messages import DAY, HOUR, MINUTE, in_time
 
 
@@ -13,22 +14,18 @@ def _starts(rows: DataFrame, keys: list[str], value: str, span: str, at_least: b
     """keys and value of the chain over each group's values: the first, then each beyond ``span`` after the one taken last.
 
     Beyond: at least span after it, or more than that.  A value beyond span after the one
-    before it is always taken, so a group falls into islands, and only within these the
-    chain is a fold.
+    before it is always taken, so a group falls into islands; those of several values are
+    chains of their own, spread over the tasks, which hold one value at a time.
     """
     beyond = (lambda a, b: a >= b) if at_least else (lambda a, b: a > b)
     order = Window.partitionBy(*keys).orderBy(value)
-    step = F.col(value) - F.lag(value).over(order)
-    islands = rows.withColumn("_island", F.sum(F.when(~beyond(step, F.col(span)), 0).otherwise(1)).over(order))
-    none = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("taken"))
-    taken = F.aggregate(
-        F.array_sort("_values"),
-        none,
-        lambda s, t: F.when(s["last"].isNull() | beyond(t, s["last"] + F.col("_span")), F.struct(t.alias("last"), F.array_append(s["taken"], t).alias("taken"))).otherwise(s),
-        lambda s: s["taken"],
-    )
-    grouped = islands.groupBy(*keys, "_island").agg(F.max(span).alias("_span"), F.collect_set(value).alias("_values"))
-    return grouped.select(*keys, F.explode(taken).alias(value))
+    values = rows.where(" AND ".join(f"{k} IS NOT NULL" for k in (*keys, value))).select(*keys, value, span).distinct()
+    before, after = F.col(value) - F.lag(value).over(order), F.lead(value).over(order) - F.col(value)
+    first = ~F.coalesce(~beyond(before, F.col(span)), F.lit(False))
+    islands = values.withColumn("_first", first).withColumn("_alone", first & ~F.coalesce(~beyond(after, F.col(span)), F.lit(False))).withColumn("_island", F.sum(F.col("_first").cast("int")).over(order))
+    alone = islands.where("_alone").select(*keys, value)
+    chained = taken(islands.where("NOT _alone").select(*keys, "_island", value, span), [*keys, "_island"], value, span, at_least=at_least)
+    return alone.unionByName(chained.select(*keys, value))
 
 
 def chunks(messages: DataFrame, gap: int = MINUTE, window: int = 3 * DAY, reply: int = HOUR, run: str | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 from threadline.sources.views import NO_REPLY, TIMELINE_TYPES
 
+from .chains import taken
+
 SECOND = 1_000_000
 MINUTE, HOUR, DAY = 60 * SECOND, 3600 * SECOND, 86_400 * SECOND
 
@@ -31,34 +33,22 @@ def without_near_copies(messages: DataFrame, span: int = 2 * SECOND) -> DataFram
     """Drop rows not from users whose text was kept at most ``span`` earlier in the chat.
 
     A row more than span after the one before it with the same text is always kept, so
-    texts fall into islands; within an island a fold keeps a row when it is more than
-    span after the last kept one.  User rows and rows without a time always stay.
+    texts fall into islands; those of several rows are chains, spread over the tasks, each of which
+    holds one time.  User rows and rows without a time always stay.
     """
     loose = (F.col("type") == "user") | F.col("at_us").isNull()
     same = Window.partitionBy("chat_id", "message").orderBy("at_us", "msg_id")
-    rows = messages.where(~loose)
-    gap = F.col("at_us") - F.lag("at_us").over(same)
-    rows = rows.withColumn("_island", F.sum(F.when(gap <= span, 0).otherwise(1)).over(same))
-    alone = rows.withColumn("_size", F.count("*").over(Window.partitionBy("chat_id", "message", "_island")))
-    kept_alone = alone.where("_size = 1").drop("_island", "_size")
-    none = F.lit(None).cast("bigint")
-    folded = (
-        alone.where("_size > 1")
-        .groupBy("chat_id", "message", "_island")
-        .agg(F.array_sort(F.collect_list(F.struct("at_us", "msg_id"))).alias("rows"))
-        .select(
-            F.explode(
-                F.aggregate(
-                    "rows",
-                    F.struct(none.alias("last"), F.array().cast("array<bigint>").alias("ids")),
-                    lambda s, r: F.when(s["last"].isNull() | (r["at_us"] > s["last"] + span), F.struct(r["at_us"].alias("last"), F.array_append(s["ids"], r["msg_id"]).alias("ids"))).otherwise(s),
-                    lambda s: s["ids"],
-                )
-            ).alias("msg_id")
-        )
-    )
-    kept_folded = alone.where("_size > 1").drop("_island", "_size").join(folded, "msg_id", "left_semi")
-    return messages.where(loose).unionByName(kept_alone).unionByName(kept_folded)
+    before, after = F.col("at_us") - F.lag("at_us").over(same), F.lead("at_us").over(same) - F.col("at_us")
+    rows = messages.where(~loose).withColumns({"_first": F.coalesce(before > span, F.lit(True)), "_last": F.coalesce(after > span, F.lit(True))})
+    rows = rows.withColumn("_island", F.sum(F.col("_first").cast("int")).over(same)).withColumn("_span", F.lit(span).cast("long"))
+    helpers = ["_first", "_last", "_island", "_span"]
+    alone = rows.where("_first AND _last").drop(*helpers)
+    several = rows.where("NOT (_first AND _last)")
+    keys = ["chat_id", "message", "_island"]
+    # only what the chain needs goes through Python
+    chained = taken(several.select(F.xxhash64(*keys).alias("_a"), F.hash(*keys).alias("_b"), "at_us", "_span", "msg_id"), ["_a", "_b"], "at_us", "_span", ["msg_id"])
+    kept_rows = several.drop(*helpers).join(chained.select("msg_id"), "msg_id", "left_semi")
+    return messages.where(loose).unionByName(alone).unionByName(kept_rows)
 
 
 def unanswered(messages: DataFrame, run: str | None = None) -> DataFrame:
