@@ -13,19 +13,11 @@ from .messages import DAY, HOUR, MINUTE, in_time
 def _starts(rows: DataFrame, keys: list[str], value: str, span: str, at_least: bool) -> DataFrame:
     """keys and value of the chain over each group's values: the first, then each beyond ``span`` after the one taken last.
 
-    Beyond: at least span after it, or more than that.  A value beyond span after the one
-    before it is always taken, so a group falls into islands; those of several values are
-    chains of their own, spread over the tasks, which hold one value at a time.
+    Beyond: at least span after it, or more than that.  One pass over each group's sorted values, in
+    the distribution that everything here is in; a task holds one value at a time.
     """
-    beyond = (lambda a, b: a >= b) if at_least else (lambda a, b: a > b)
-    order = Window.partitionBy(*keys).orderBy(value)
-    values = rows.where(" AND ".join(f"{k} IS NOT NULL" for k in (*keys, value))).select(*keys, value, span).distinct()
-    before, after = F.col(value) - F.lag(value).over(order), F.lead(value).over(order) - F.col(value)
-    first = ~F.coalesce(~beyond(before, F.col(span)), F.lit(False))
-    islands = values.withColumn("_first", first).withColumn("_alone", first & ~F.coalesce(~beyond(after, F.col(span)), F.lit(False))).withColumn("_island", F.sum(F.col("_first").cast("int")).over(order))
-    alone = islands.where("_alone").select(*keys, value)
-    chained = taken(islands.where("NOT _alone").select(*keys, "_island", value, span), [*keys, "_island"], value, span, at_least=at_least)
-    return alone.unionByName(chained.select(*keys, value))
+    values = rows.where(" AND ".join(f"{k} IS NOT NULL" for k in (*keys, value))).select(*keys, value, span)
+    return taken(values, keys, value, span, at_least=at_least).select(*keys, value)
 
 
 def chunks(messages: DataFrame, gap: int = MINUTE, window: int = 3 * DAY, reply: int = HOUR, run: str | None = None) -> DataFrame:
