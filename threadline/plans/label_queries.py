@@ -331,6 +331,29 @@ QUERIES = {
     )
 }
 
+#: The closest known sub-topic by similarity ratio of names nm (topic, sub_topic) and known ones kn: the longest common block
+#: (first in the name, then in the known one), then the same left and right of it, until nothing is shared.
+_CLOSEST = """
+pr AS (SELECT DISTINCT sub_topic AS a0, kn.known AS b0 FROM nm JOIN kn USING (topic)),
+bl(a0, b0, a, b, n) AS (
+  SELECT a0, b0, a0, b0, 0::BIGINT FROM pr
+  UNION ALL
+  SELECT a0, b0, u.a, u.b, u.n FROM (
+    SELECT a0, b0, unnest([
+      {'a': substr(a, 1, i - 1), 'b': substr(b, 1, instr(b, substr(a, i, l)) - 1), 'n': l},
+      {'a': substr(a, i + l), 'b': substr(b, instr(b, substr(a, i, l)) + l), 'n': 0::BIGINT}]) AS u
+    FROM (
+      SELECT a0, b0, a, b, top.l AS l, -top.i AS i FROM (
+        SELECT a0, b0, a, b, list_max(list_transform(range(1, length(a) + 1), lambda i: {'l': len(list_filter(range(1, length(a) - i + 2), lambda l: contains(b, substr(a, i, l))))::BIGINT, 'i': -i})) AS top
+        FROM bl WHERE a <> '' AND b <> '')
+      WHERE top.l > 0))),
+ra AS (SELECT a0, b0, 2.0::DOUBLE * sum(n)::DOUBLE / (length(a0) + length(b0)) AS similarity FROM bl GROUP BY a0, b0),
+cl AS (
+  SELECT topic, sub_topic, known, similarity FROM nm JOIN kn USING (topic) JOIN ra ON a0 = sub_topic AND b0 = known WHERE similarity >= 0.5
+  QUALIFY row_number() OVER (PARTITION BY topic, sub_topic ORDER BY similarity DESC, known) = 1)"""
+
+_KNOWN = "kn AS (SELECT DISTINCT lower(p_type) AS topic, replace(p_name, ' ', '_') AS known FROM part)"
+
 _SEG = _segments_sql()
 _PLAIN = """SELECT '{0}' AS grader, {1} AS passed, round(({2})::DOUBLE, 9) AS value FROM {3}"""
 
@@ -404,6 +427,21 @@ w AS (SELECT count(*) FILTER (s.u IS NULL) AS alone, count(s.u) AS users, count(
 n AS (SELECT status, count(DISTINCT matching_id) AS signals FROM s GROUP BY 1)
 SELECT status, signals, matchings, signals <= matchings AS within, sum(signals) OVER () = 100 AS stable FROM n JOIN (SELECT status, count(*) AS matchings FROM o GROUP BY 1) USING (status)""",
     "run_configs": f"{MARKED_SQL} SELECT run_id, n, n_name AS model, n_regionkey / 10 AS temperature FROM (SELECT run_id, count(*) AS n FROM mk GROUP BY 1) LEFT JOIN nation ON n_nationkey = run_id AND n_nationkey < 3",
+    "closest_subtopics": f"""WITH RECURSIVE {_KNOWN}, nm AS (SELECT DISTINCT topic, substr(known, 2) || 's' AS sub_topic FROM kn), {_CLOSEST} SELECT * FROM cl""",
+    "validated_labels": f"""WITH RECURSIVE {_KNOWN},
+p AS (SELECT p_partkey AS row_id, p_partkey % 50 AS user_id, lower(p_type) AS topic, replace(p_name, ' ', '_') AS name FROM part),
+r AS (SELECT row_id, user_id, topic, CASE row_id % 4 WHEN 0 THEN name WHEN 1 THEN name || '_new' WHEN 2 THEN 'e_' || name ELSE split_part(name, '_', 1) || '_qqqqq_zzz' END AS sub_topic FROM p),
+nm AS (SELECT DISTINCT topic, sub_topic FROM r WHERE NOT EXISTS (FROM kn WHERE kn.topic = r.topic AND known = r.sub_topic)),
+{_CLOSEST},
+tr AS (SELECT DISTINCT user_id, name FROM p WHERE row_id % 2 = 0),
+j AS (
+  SELECT row_id, r.sub_topic, cl.known, EXISTS (FROM kn WHERE kn.topic = r.topic AND kn.known = r.sub_topic) AS has, tr.name IS NOT NULL AS true_one,
+    list_distinct(string_split(r.sub_topic, '_')) AS x, list_distinct(string_split(cl.known, '_')) AS y
+  FROM r LEFT JOIN cl ON cl.topic = r.topic AND cl.sub_topic = r.sub_topic LEFT JOIN tr ON tr.user_id = r.user_id AND tr.name = cl.known),
+h AS (SELECT *, CASE WHEN has THEN 'known' WHEN known IS NULL THEN 'kept'
+  WHEN starts_with(sub_topic, known || '_') OR ends_with(sub_topic, '_' || known) OR starts_with(known, sub_topic || '_') OR len(list_intersect(x, y)) / least(len(x), len(y)) >= 0.7 THEN 'variant'
+  WHEN len(list_intersect(x, y)) >= 2 AND true_one THEN 'truth' ELSE 'kept' END AS how FROM j)
+SELECT row_id, CASE WHEN how IN ('variant', 'truth') THEN known ELSE sub_topic END AS valid, how FROM h""",
     "token_overlaps": """
 WITH t AS (SELECT p_partkey, list_distinct(string_split(replace(p_name, ' ', '_'), '_')) AS a, list_distinct(string_split(replace(lower(p_type), ' ', '_') || '_' || split_part(p_name, ' ', 1), '_')) AS b FROM part)
 SELECT p_partkey, len(list_intersect(a, b)) / least(len(a), len(b)) AS overlap FROM t""",
