@@ -245,7 +245,7 @@ def test_optimal_matching_by_component(spark):
         score = rng.uniform(0.3, 1, (3, 3))
         data += [(1, part % 2, part * 10 + i, part * 10 + j, float(score[i, j])) for i in range(3) for j in range(3)]
     df = spark.createDataFrame(data, "run_id int, user_id long, gt_id long, model_id long, score double")
-    plain, parted = (sorted(map(tuple, mt.optimal(df, most=most).collect())) for most in (20_000, 5))
+    plain, parted = (sorted(map(tuple, mt.optimal(df, most=most).collect())) for most in (20_000, 10))
     assert plain == parted and len(plain) == 36
 
 

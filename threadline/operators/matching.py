@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from threadline.work import kept
 
+from .auction import auction
 from .components import components
 
 #: Weight of message overlap in the combined score (the rest: overlap in time), and the least score.
@@ -69,13 +70,15 @@ def assign(score: np.ndarray) -> list[tuple[int, int]]:
     return [(b, a) if flip else (a, b) for a, b in pairs]
 
 
-def optimal(pairs: DataFrame, least: float = LEAST, most: int = 20_000) -> DataFrame:
+def optimal(pairs: DataFrame, least: float = LEAST, most: int = 20_000, scale: int = 1 << 20) -> DataFrame:
     """One-to-one pairs of greatest total score per run and user.
 
     Where all partners of a segment have no other partner, the best of them is taken by a
     window; only what is entangled beyond such stars is assigned exactly.  Entangled pairs
     of a user are solved in one task when there are at most ``most``, else each connected
-    component by itself.
+    component by itself.  A component of more than ``most`` pairs goes to an auction over
+    all tasks: its total falls short of the greatest by at most the smaller number of its
+    segments divided by ``scale``, the fineness of its scores.
     """
     edges = pairs.where(F.col("score") >= least)
     by_gt, by_model = Window.partitionBy("run_id", "gt_id"), Window.partitionBy("run_id", "model_id")
@@ -92,9 +95,16 @@ def optimal(pairs: DataFrame, least: float = LEAST, most: int = 20_000) -> DataF
     if not large.isEmpty():
         node = lambda kind: F.concat(F.col("run_id").cast("string"), F.lit(kind), F.col(f"{kind}_id").cast("string"))
         more = rest.join(large, ["run_id", "user_id"], "left_semi").withColumn("a", node("gt"))
-        parts = components(more.select("a", node("model").alias("b")), kept)
-        named = more.join(parts.withColumnRenamed("node", "a"), "a").drop("a")
-        solved = solved.unionByName(named.groupBy("component").applyInPandas(lambda key, f: _solved(f.drop(columns="component")), rest.schema))
+        more = more.withColumn("b", node("model"))
+        parts = components(more.select("a", "b"), kept)
+        named = kept(more.join(parts.withColumnRenamed("node", "a"), "a"))
+        huge = kept(named.groupBy("component").count().where(F.col("count") > most).select("component"))
+        fits = named.drop("a", "b").join(huge, "component", "left_anti")
+        solved = solved.unionByName(fits.groupBy("component").applyInPandas(lambda key, f: _solved(f.drop(columns="component")), rest.schema))
+        if not huge.isEmpty():
+            beyond = named.join(huge, "component", "left_semi")
+            won = auction(beyond.select(F.col("component").alias("part"), "a", "b", "score", F.col("gt_id").alias("spot")), scale, most)[0]
+            solved = solved.unionByName(beyond.join(won, ["a", "b"], "left_semi").select(*pairs.columns))
     return gt_star.select(*pairs.columns).unionByName(model_star.select(*pairs.columns)).unionByName(solved)
 
 
