@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from threadline.llm import ann, minhash, packing, pieces, pii, quality, rans, suffixes, toxicity, warc
+from threadline.llm import ann, minhash, packing, passages, pieces, pii, quality, rans, suffixes, toxicity, warc
+from threadline.llm.queries import QUERIES
 
 BPE, SP = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 DDL = "doc_id long, text string, lang string, source string, n_chars long, h long, kept string"
@@ -81,6 +82,44 @@ def test_suffixes(spark, docs):
     assert suffixes.remove(docs.where("false")).count() == 0
 
 
+def test_shared_passages(spark, docs, tmp_path, monkeypatch):
+    word = [f"w{i:02d}" for i in range(51)]  # 203 bytes: too short for a span of 400
+    odd = [
+        (200, "one two " + " ".join(word) + " three"),
+        (201, "Four " + "\t\n ".join(word)),
+        (202, " ".join(word[:50]) + " five"),
+        (203, " ".join([*"abcdefghij"] * 12)),
+        (204, " ".join("äöü漢" * (i % 3) + str(i) for i in range(60))),
+        (204, " ".join("äöü漢" * (i % 3) + str(i) for i in range(60))),
+        (205, "six " + " ".join("äöü漢" * (i % 3) + str(i) for i in range(4, 58)) + " seven"),
+        (206, "n " * 150),
+        (207, "n " * 90 + "m " * 60),
+        (208, " ".join(word) + " \u2003 " + " ".join(word[1:]) + " " + " ".join(word)),
+        (None, " ".join(word) + " eight"),
+    ]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in rows.collect()]
+    split = [(t or "").encode().split() for _, t in texts]
+    where = defaultdict(set)
+    for i, w in enumerate(split):
+        for a in range(len(w) - 50):
+            where[tuple(w[a : a + 51])].add(i)
+    want = Counter()
+    for (doc_id, text), w in zip(texts, split, strict=True):
+        covered = {b for a in range(len(w) - 50) if len(where[tuple(w[a : a + 51])]) > 1 for b in range(a, a + 51)}
+        want[doc_id, len((text or "").encode()), len(covered)] += 1
+    assert want[200, len(odd[0][1]), 51] == 1 and want[202, len(odd[2][1]), 0] == 1 and want[203, len(odd[3][1]), 0] == 1
+    out = QUERIES["op5_suffixes"](spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_shared_words) for r in out) == want
+    assert next(r for r in out if r.doc_id == 200).n_removed == 0
+    # heads and extents by broadcast, runs counted in a shuffle
+    monkeypatch.setattr(passages, "HOT", 1)
+    again = suffixes.remove(rows, beside=passages.shared_words(rows, most=1)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_shared_words) for r in again) == want
+    assert passages.shared_words(rows.where("false")).count() == 0
+
+
 def test_token_files(docs):
     tk = Tokenizer.from_file(BPE)
     got = rans.round_trip(docs.sparkSession, docs, BPE).collect()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, gnat, kmeans, minhash, packing, pieces, pii, quality, rans, suffixes, toxicity, warc
+from . import ann, chat, gnat, kmeans, minhash, packing, passages, pieces, pii, quality, rans, suffixes, toxicity, warc
 from .common import documents
 from .quality_sql import OP8_SQL
 
@@ -66,8 +66,9 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = suffixes.remove(documents(spark, sf_dir))
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    docs = documents(spark, sf_dir)
+    done = suffixes.remove(docs, beside=passages.shared_words(docs))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_shared_words")
 
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -398,11 +398,18 @@ def merged(spans: DataFrame) -> DataFrame:
     return runs.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("e")).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
 
 
-def remove(docs: DataFrame, most: int = 4096, more: tuple[str, ...] = (), span: int = SPAN) -> DataFrame:
-    """doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans and the columns ``more`` of every row of docs."""
+def remove(docs: DataFrame, most: int = 4096, more: tuple[str, ...] = (), span: int = SPAN, beside: DataFrame | None = None) -> DataFrame:
+    """doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans and the columns ``more`` of every row of docs.
+
+    beside: counts of texts by d and e (doc_id and hash), which follow; 0 for texts that it lacks.
+    """
     carried, box = boxed(docs, [c for c in docs.columns if c not in ("doc_id", "text")])
     rows = _keyed(carried, box)
     joined = rows.join(merged(repeats(docs, most, span)), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("e")), "left")
+    counts = [] if beside is None else [c for c in beside.columns if c not in ("d", "e")]
+    if counts:
+        beside = beside.withColumnsRenamed({"d": "_d", "e": "_e"})
+        joined = joined.join(beside, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_e")), "left")
     data, n, spans = F.col("text").cast("binary"), F.octet_length("text"), F.col("spans")
 
     def gap(i):
@@ -415,5 +422,5 @@ def remove(docs: DataFrame, most: int = 4096, more: tuple[str, ...] = (), span:
     removed = F.aggregate(F.coalesce(spans, F.array().cast("array<struct<a:int,b:int>>")), F.lit(0), lambda t, x: t + x["b"] - x["a"])
     return joined.select(
         "doc_id", kept.alias("kept"), n.cast("long").alias("n_bytes"), removed.cast("long").alias("n_removed"), F.when(spans.isNull(), 0).otherwise(F.size(spans)).cast("long").alias("n_spans"),
-        *[F.col(box)[c].alias(c) for c in more],
+        *[F.col(box)[c].alias(c) for c in more], *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
     )
