@@ -199,6 +199,31 @@ def test_border_sets_in_order():
         assert set(h.probes(v, sets)[t * 27 : (t + 1) * 27].tolist()) == want
 
 
+def test_directions_at_right_angles():
+    h = ann.Hashes(63, 1.0, 0.5, 12)
+    assert np.allclose(h.directions.T @ h.directions, 64 * np.eye(48))
+    assert ann.Hashes(3, 1.0, 0.5, 5).directions.shape == (4, 20)
+
+
+@pytest.mark.parametrize("dense", [0, 1e9])
+def test_best_of_buckets(monkeypatch, dense):
+    """Pairs one by one and one matrix product: the same best candidates, those of the named buckets only."""
+    monkeypatch.setattr(ann, "DENSE", dense)
+    rng = np.random.default_rng(4)
+    v, x = rng.normal(size=(300, 8)), rng.normal(size=(30, 8))
+    v[100:140] = v[99]  # equal scores
+    key, cid = rng.integers(-20, 20, 300), rng.permutation(300) + 7
+    keys = [rng.choice(np.arange(-25, 25), m % 9, replace=False) for m in range(30)]
+    of, found, score = ann.Buckets(key, cid, v).nearest(x, keys, 5)
+    for q in range(30):
+        at = np.flatnonzero(np.isin(key, keys[q]))
+        s = (v[at] * x[q]).sum(axis=1)
+        want = np.lexsort((cid[at], -s))[:5]
+        assert found[of == q].tolist() == cid[at][want].tolist() and score[of == q].tolist() == s[want].tolist()
+    of, found, _ = ann.Buckets(key, cid, v).nearest(x, None, 5)
+    assert found[of == 3].tolist() == cid[np.lexsort((cid, -(v * x[3]).sum(axis=1)))[:5]].tolist()
+
+
 def test_folding():
     assert toxicity.fold("1d10t IDIOT іdіоt tr@sh l0ser $$$ trash### 55") == " idiot idiot idiot trash loser trash "
     m = toxicity.Matcher({" trash ": 2.0, " mor": 1.0})

@@ -7,7 +7,9 @@ more functions the more vectors there are.  A query visits its own bucket and
 perturbed ones in the order of estimated success: its cell borders are ranked by
 distance, and one order of border sets, by their expected sums of squared distances,
 serves all queries.  Candidates of all tables are merged and ranked by the inner
-product of the original vectors in double precision.
+product of the original vectors in double precision.  A task holds buckets of one
+table and all queries that visit some of them: where candidates are a good part of
+the pairs there, scores come from one matrix product, and others are masked.
 
 Cell width and the number of probes are fitted on at most ``fit_rows`` vectors
 and ``fit_queries`` queries, so that the recall there reaches ``target``; the index
@@ -33,6 +35,8 @@ from pyspark.sql.window import Window
 from .common import batch_rows, stored
 
 TABLES = 4
+PAIRS = 1 << 21  # a task scores so many pairs at a time
+DENSE = 16  # a matrix product, where more than one pair in so many is a candidate
 PROBES = (16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 8192)
 
 
@@ -77,7 +81,10 @@ class Hashes:
     def __init__(self, dim: int, largest: float, width: float, functions: int, tables: int = TABLES):
         rng = np.random.default_rng(7)
         self.largest, self.width, self.tables, self.functions = largest, width, tables, functions
-        self.directions = rng.normal(size=(dim + 1, tables * functions))
+        # at right angles as far as the space allows: no function repeats what another one says
+        count = tables * functions
+        turned = [np.linalg.qr(rng.normal(size=(dim + 1, dim + 1)))[0] for _ in range(-(-count // (dim + 1)))]
+        self.directions = np.hstack(turned)[:, :count] * np.sqrt(dim + 1)
         self.shift = rng.random(tables * functions)
         self.mix = rng.integers(0, 1 << 62, functions, dtype=np.int64) * 2 + 1
 
@@ -114,6 +121,48 @@ class Hashes:
         return np.concatenate(out)
 
 
+class Buckets:
+    """Vectors of one table by bucket, and the best candidates of many queries among them."""
+
+    def __init__(self, key: np.ndarray, cid: np.ndarray, v: np.ndarray):
+        order = np.argsort(key, kind="stable")
+        self.cid, self.v = cid[order], v[order]
+        self.keys, self.first, self.size = np.unique(key[order], return_index=True, return_counts=True)
+        self.longest = float(np.sqrt((v * v).sum(axis=1).max()))
+
+    def nearest(self, x: np.ndarray, keys: list | None, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query (its place in x), id and score of each query's k best of the buckets named by its keys (None: of all)."""
+        if keys is not None:
+            of = np.repeat(np.arange(len(x)), [len(a) for a in keys])
+            wanted = np.concatenate(keys)
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            hit = np.flatnonzero(self.keys[at] == wanted)
+            of, at = of[hit], at[hit]
+            size = self.size[at]
+        if keys is None or size.sum() * DENSE > len(x) * len(self.v):
+            score = x @ self.v.T
+            if keys is not None:
+                inside = np.zeros((len(x), len(self.keys)), dtype=bool)
+                inside[of, at] = True
+                score[~np.repeat(inside, self.size, axis=1)] = -np.inf
+            least = np.full(len(x), -np.inf)
+            if score.shape[1] > k:
+                # sums in another order may differ in the last digits
+                least = np.partition(score, -k, axis=1)[:, -k] - 1e-12 * self.longest * np.sqrt((x * x).sum(axis=1))
+            of, row = np.nonzero(score >= np.maximum(least, np.finfo(float).min)[:, None])
+        else:
+            row = np.arange(int(size.sum())) + np.repeat(self.first[at] - (np.cumsum(size) - size), size)
+            of = np.repeat(of, size)
+        score = np.empty(len(of))
+        for a in range(0, len(of), 1 << 15):  # every pair by itself, so always with the same sum
+            score[a : a + (1 << 15)] = (x[of[a : a + (1 << 15)]] * self.v[row[a : a + (1 << 15)]]).sum(axis=1)
+        cid = self.cid[row]
+        order = np.lexsort((cid, -score, of))  # of equal scores the smallest ids
+        of = of[order]
+        best = np.flatnonzero(np.arange(len(of)) - np.searchsorted(of, of) < k)
+        return of[best], cid[order[best]], score[order[best]]
+
+
 def fit(x: np.ndarray, largest: float, k: int, queries: int, target: float, functions: int) -> tuple[Hashes, np.ndarray, float]:
     """Hashes, the fewest border sets with which the recall on the sample x reaches target (else all), and that recall."""
     spread = float((augmented(x, largest) @ np.random.default_rng(7).normal(size=(x.shape[1] + 1, 64))).std(axis=0).mean())
@@ -178,7 +227,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
     sample = np.array([r["v"] for r in classes.orderBy(F.xxhash64("digest"), "digest").limit(fit_rows).select("v").collect()])
     hashes, probes, recall = fit(sample, stats["largest"], k, fit_queries, target, functions_for(n))
     exact = recall < least
-    groups, salts = max(16, n * hashes.tables // 50_000), max(1, n // 2_000_000)
+    parts, salts = max(4, n // 50_000), max(1, n // 2_000_000)
 
     def index(frames):
         import pandas as pd
@@ -186,7 +235,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
         for f in frames:
             keys = hashes.keys(np.vstack(f["v"].to_numpy()))
             for t in range(1 if exact else hashes.tables):
-                yield pd.DataFrame({"g": keys[:, t] % groups, "salt": f["cid"] % salts, "key": keys[:, t], "cid": f["cid"], "v": f["v"]})
+                yield pd.DataFrame({"g": keys[:, t] % parts + t * parts, "salt": f["cid"] % salts, "key": keys[:, t], "cid": f["cid"], "v": f["v"]})
 
     def visit(frames):
         import pandas as pd
@@ -195,12 +244,15 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
             out = []
             for cid, v in zip(f["cid"], f["v"], strict=True):
                 if exact:
-                    out += [(x, s, cid, v, []) for x in range(groups) for s in range(salts)]
+                    out += [(g, s, cid, v, []) for g in range(parts) for s in range(salts)]
                     continue
-                keys = np.unique(hashes.probes(np.asarray(v), probes))
-                g = keys % groups
-                for x in np.unique(g):
-                    out += [(x, s, cid, v, keys[g == x]) for s in range(salts)]
+                for t, keys in enumerate(hashes.probes(np.asarray(v), probes).reshape(hashes.tables, -1)):
+                    part = keys % parts
+                    order = np.argsort(part.astype(np.int32), kind="stable")
+                    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+                    for x in np.flatnonzero(np.diff(bounds)):
+                        some = keys[order[bounds[x] : bounds[x + 1]]]
+                        out += [(t * parts + x, s, cid, v, some) for s in range(salts)]
             yield pd.DataFrame(out, columns=["g", "salt", "query", "v", "keys"])
 
     def rank(left, right):
@@ -208,21 +260,12 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", co
 
         out = []
         if len(left) and len(right):
-            left = left.sort_values("key", kind="stable")
-            key, cid, v = left["key"].to_numpy(), left["cid"].to_numpy(), np.vstack(left["v"].to_numpy())
-            for q, x, keys in zip(right["query"], right["v"], right["keys"], strict=True):
-                lo, hi = np.searchsorted(key, keys), np.searchsorted(key, keys, side="right")
-                some = np.flatnonzero(hi > lo)
-                if exact or len(some):
-                    at = np.arange(len(key)) if exact else np.concatenate([np.arange(lo[i], hi[i]) for i in some])
-                    at = at[np.unique(cid[at], return_index=True)[1]]  # tables share classes
-                    score = v[at] @ np.asarray(x)
-                    if len(at) > k + 1:  # all above the last score, and of its equals the smallest ids
-                        least = -np.partition(-score, k)[k]
-                        some = np.flatnonzero(score >= least)
-                        some = some[np.lexsort((cid[at[some]], -score[some]))[: k + 1]]
-                        at, score = at[some], score[some]
-                    out.append(pd.DataFrame({"query": q, "cid": cid[at], "score": score}))
+            found = Buckets(left["key"].to_numpy(), left["cid"].to_numpy(), np.vstack(left["v"].to_numpy()))
+            queries, step = right["query"].to_numpy(), max(1, PAIRS // len(left))
+            for a in range(0, len(right), step):
+                x = np.vstack(right["v"].iloc[a : a + step].to_numpy())
+                of, cid, score = found.nearest(x, None if exact else right["keys"].iloc[a : a + step].to_list(), k + 1)
+                out.append(pd.DataFrame({"query": queries[a : a + step][of], "cid": cid, "score": score}))
         return pd.concat(out) if out else pd.DataFrame({"query": [], "cid": [], "score": []}).astype({"query": "int64", "cid": "int64", "score": "float64"})
 
     with batch_rows(spark, 1000):
