@@ -162,6 +162,25 @@ def test_all_segmentations_of_a_short_text():
     assert {tuple(x[0].tolist()) for x in found[0]} == {x for x, _ in every} and len(found[0]) == len(every) and least[0] == -np.inf
 
 
+def test_tables_cleared_and_filled_again():
+    """Beyond the limit words go, their room stays; the lattices are those of fresh tables."""
+    lattices = pieces.Lattices(SP)
+    t = pieces.Tables(lattices, limit=5)
+    t.starts(["▁theatre", "▁cat"])
+    room = t._room["log"]
+    units = ["▁the", "▁ca\u4e0bt", "▁the", "▁x"]
+    starts, fresh = t.starts(units), pieces.Tables(lattices)
+    assert t._room["log"] is room and set(t.place) == set(units) and starts.tolist() == fresh.starts(units).tolist()
+    for name in ("owner", "target", "ids", "prob", "log", "upto", "others", "last", "first"):
+        assert getattr(t, name).tolist() == getattr(fresh, name).tolist()
+    assert (t.others + 1 == np.diff(t.first)[t.owner]).all() and (t.last == t.final(t.target)).all()
+    chars = "▁ca\u4e0bt"
+    for path, _ in _paths(t, int(starts[1])):
+        ids, same = lattices.spelled(t, np.array(path), chars, chars.encode())
+        assert same and lattices.decode(ids) == "ca\u4e0bt"
+        assert not lattices.spelled(t, np.array(path), chars, b"other")[1]
+
+
 def test_minhash_estimate():
     rng = np.random.default_rng(6)
     a = np.unique(rng.integers(0, 1 << 62, 3000, dtype=np.uint64))

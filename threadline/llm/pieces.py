@@ -78,6 +78,11 @@ class Lattices:
         self.raw = [x.encode() for x in names]
         for b, i in enumerate(self.byte):
             self.raw[i] = bytes([b])
+        # the same one after another, and where each begins
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.raw_size = np.fromiter(map(len, self.raw), np.int64, n)
+        self.raw_first = np.cumsum(self.raw_size) - self.raw_size
+        self.chars = np.array([*map(len, names), 1])  # the last: what has no piece
         self.known_bytes: dict[str, list[int]] = {}
 
     @staticmethod
@@ -95,13 +100,13 @@ class Lattices:
         ids = tables.ids[edges]
         bare = np.flatnonzero(ids < 0)
         if len(bare):
-            at = np.cumsum(tables.target[edges] - tables.owner[edges])[bare] - 1
+            at = np.cumsum(self.chars[ids])[bare] - 1
             own = [self.byte_ids(chars[i]) for i in at.tolist()]
             size = np.ones(len(ids), np.int64)
             size[bare] = [len(x) for x in own]
             ids = np.repeat(ids, size)
             ids[ids < 0] = list(itertools.chain.from_iterable(own))
-        return ids, b"".join(map(self.raw.__getitem__, ids.tolist())) == raw
+        return ids, self.raw_bytes[_spread(self.raw_first[ids], self.raw_size[ids])].tobytes() == raw
 
     def matches(self, code: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """All pieces in a text (as code points), by length from 1 on: where they begin, and their numbers."""
@@ -134,14 +139,15 @@ class Tables:
 
     def __init__(self, lattices: Lattices, limit: int = 5_000_000):
         self.lattices, self.limit = lattices, limit
+        self._room = {x: np.zeros(1, t) for x, t in (("owner", np.int32), ("target", np.int32), ("ids", np.int32), ("prob", float), ("log", np.int64), ("upto", np.int64), ("others", np.int16), ("last", bool), ("first", np.int64))}
         self._clear()
 
     def _clear(self):
         self.place: dict[str, int] = {}
         self.n_nodes = self.n_edges = 0
-        self._room = {x: np.zeros(1, t) for x, t in (("owner", np.int32), ("target", np.int32), ("ids", np.int32), ("prob", float), ("log", np.int64), ("upto", np.int64), ("first", np.int64))}
-        for name, all_of in self._room.items():
-            setattr(self, name, all_of[: name == "first"])
+        self._room["first"][0] = 0
+        for name, all_of in self._room.items():  # the room stays
+            setattr(self, name, all_of[: int(name == "first")])
 
     def _extend(self, name: str, more: np.ndarray) -> None:
         """The array of that name grows in place, into room that doubles when it is full."""
@@ -155,14 +161,16 @@ class Tables:
 
     def starts(self, units: list[str]) -> np.ndarray:
         """The first node of each word; new words are added (all go before, when edges are beyond the limit)."""
-        every = set(units)
-        new = every.difference(self.place)
+        at = np.fromiter(map(self.place.get, units, itertools.repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(at < 0).tolist()
         if new and self.n_edges > self.limit:
             self._clear()
-            new = every
+            new = range(len(units))
         if new:
-            self._add(sorted(new))
-        return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+            words = [units[i] for i in new]
+            self._add(list(dict.fromkeys(words)))
+            at[new] = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        return at
 
     def _add(self, units: list[str]) -> None:
         lattices = self.lattices
@@ -214,7 +222,9 @@ class Tables:
         upto = owner * self.GRID + run - before[source]
         some = np.flatnonzero(count)
         upto[first[some + 1] - 1] = (some + self.n_nodes + 1) * self.GRID
-        values = {"owner": owner, "target": target + self.n_nodes, "ids": ids, "prob": prob, "log": np.rint(log * self.LOG_GRID), "upto": upto, "first": first[1:] + self.n_edges}
+        last = np.zeros(len(joined), dtype=bool)
+        last[ends] = True
+        values = {"others": np.repeat(count - 1, count), "last": last[target], "owner": owner, "target": target + self.n_nodes, "ids": ids, "prob": prob, "log": np.rint(log * self.LOG_GRID), "upto": upto, "first": first[1:] + self.n_edges}
         for name, more in values.items():
             self._extend(name, more)
         self.n_nodes += len(joined)
@@ -237,9 +247,8 @@ class Tables:
                 late = late[self.upto[e[late]] <= drawn[late]]
             steps.append((active, e))
             counts[active] += 1
-            nodes = self.target[e].astype(np.int64)
-            going = ~self.final(nodes)
-            active, nodes = active[going], nodes[going]
+            going = np.flatnonzero(~self.last[e])
+            active, nodes = active[going], self.target[e[going]].astype(np.int64)
         first, edges = np.cumsum(counts) - counts, np.zeros(int(counts.sum()), np.int64)
         for i, (which, e) in enumerate(steps):
             edges[first[which] + i] = e
@@ -305,22 +314,25 @@ class Search:
         at = _spread(first + head_count + chosen, per_text)
         edges[at], of_word[at] = drawn, np.repeat(words, counts)
         # siblings of each step from the end of the head on
-        owner, log = np.repeat(np.arange(len(texts)), size), t.log[edges]
-        run = np.cumsum(log)
-        before = (run - log - (np.concatenate([[0], run])[first])[owner]) / t.LOG_GRID
-        total = (np.concatenate([[0], run])[first + size] - np.concatenate([[0], run])[first]) / t.LOG_GRID
-        step = np.arange(len(edges)) - first[owner]
-        rest_mass, siblings = 1.0 - t.prob[edges], t.first[t.owner[edges] + 1] - t.first[t.owner[edges]] - 1
-        free = np.flatnonzero(size > head_count)
-        at = (first + head_count)[free]
-        gone = tried[free] >= 0
-        rest_mass[at] -= np.where(gone, t.prob[np.where(gone, tried[free], 0)], 0.0).sum(axis=1)
-        siblings[at] -= gone.sum(axis=1)
+        log = t.log[edges]
+        run = np.concatenate([[0], np.cumsum(log)])
+        total = (run[first + size] - run[first]) / t.LOG_GRID
+        left = size - head_count
+        at = _spread(first + head_count, left)
+        own, owner, step = edges[at], np.repeat(np.arange(len(texts)), left), at - np.repeat(first, left)
+        before = (run[at] - np.repeat(run[first], left)) / t.LOG_GRID
+        rest_mass, siblings = 1.0 - t.prob[own], t.others[own]
+        free = np.flatnonzero(left)
+        gone, begin = tried[free] >= 0, (np.cumsum(left) - left)[free]
+        rest_mass[begin] -= np.where(gone, t.prob[np.where(gone, tried[free], 0)], 0.0).sum(axis=1)
+        siblings[begin] -= gone.sum(axis=1, dtype=np.int16)
         noise = np.log(_exponential(_mixed(seeds[owner] ^ np.uint64(0xD1B54A32D192ED03), step)))
         with np.errstate(divide="ignore", invalid="ignore"):
             mass = before + np.log(np.maximum(rest_mass, 1e-300))
-            value = -np.logaddexp(-key[owner], noise - mass)
-        value[(siblings <= 0) | (rest_mass <= 0) | (step < head_count[owner])] = -np.inf
+            inside = -np.logaddexp(-key[owner], noise - mass)
+        inside[(siblings <= 0) | (rest_mass <= 0)] = -np.inf
+        value = np.full(len(edges), -np.inf)
+        value[at] = inside
         place = len(self.edges) + first
         self.edges, self.words, self.value = np.concatenate([self.edges, edges]), np.concatenate([self.words, of_word]), np.concatenate([self.value, value])
         self.entries.append({"texts": texts, "first": place, "size": size, "head": head_count, "tried": tried, "key": key, "log_prob": total})
@@ -407,17 +419,17 @@ def segmentations(docs: DataFrame, path: str, k: int = 2, seed: int = 0) -> Data
         tables = _TABLES.setdefault(path, Tables(lattices))
         # some texts at a time: their lattices and samples are larger than they are
         for f in (f.iloc[a:b] for f in frames for a, b in batches(f["text"].tolist(), 1_000_000)):
-            parted = [_UNIT.findall("▁" + t.replace(" ", "▁")) if t else [] for t in f["text"]]
+            marked = ["▁" + t.replace(" ", "▁") if t else "" for t in f["text"]]
+            parted = list(map(_UNIT.findall, marked))
             n_words = np.fromiter(map(len, parted), np.int64, len(parted))
             some = np.flatnonzero(n_words)
             starts = tables.starts(list(itertools.chain.from_iterable(parted)))
             found, least = samples(tables, starts, n_words[some], f["key"].to_numpy().view(np.uint64)[some], k) if len(some) else ([], [])
             place, out = dict(zip(some.tolist(), range(len(some)), strict=True)), []
-            for i, (doc_id, units) in enumerate(zip(f["doc_id"], parted, strict=True)):
-                if not units:
+            for i, (doc_id, chars) in enumerate(zip(f["doc_id"], marked, strict=True)):
+                if not chars:
                     out.append((doc_id, 1, b"", 0.0, 0.0, 1.0, True))
                     continue
-                chars = "".join(units)
                 raw = chars.encode()
                 for rank, (edges, log_prob, gumbel) in enumerate(found[place[i]], 1):
                     ids, same = lattices.spelled(tables, edges, chars, raw)
