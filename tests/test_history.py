@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 from threadline.operators import history as hs
 from threadline.operators import tables as tb
+from threadline.plans import history_queries as hq
 
 
 def test_values_as_of_a_time(spark):
@@ -107,3 +109,14 @@ def test_digest_trees_locate_changes(spark, tmp_path):
     assert len(tb.unequal_leaves(spark, f"{tmp_path}/a", f"{tmp_path}/b", 2)) <= 4
     assert tb.unequal_leaves(spark, f"{tmp_path}/a", f"{tmp_path}/c", 2) == []
     assert tb.changes(spark, f"{tmp_path}/a", f"{tmp_path}/c", ["k"], 2).select(F.count("*")).first()[0] == 0
+
+
+def test_customer_changes_against_sql(spark, tmp_path):
+    """1900 and 12450 are removed and would come back as second rows; a balance and a key are null."""
+    rows = [(k, f"c{k}", k % 25, None if k % 74 == 0 else float(k), "X") for k in [*range(1, 2200), *range(12400, 12500)]] + [(None, "nobody", 1, 1.0, "X")]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM read_parquet('{tmp_path}/customer.parquet/*.parquet')")
+    want = sorted(con.execute(hq.ORACLE_SQL["customer_changes"]).fetchall())
+    assert sorted(map(tuple, hq.customer_changes(spark, str(tmp_path)).collect())) == want
+    assert {(1900, "removed"), (12450, "removed")} <= set(want)

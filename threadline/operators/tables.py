@@ -248,8 +248,9 @@ def unequal_leaves(spark, a: str, b: str, levels: int) -> list[int]:
 def changes(spark, a: str, b: str, keys: list[str], levels: int) -> DataFrame:
     """keys and how (added, removed, changed) of what differs from table a to table b, written with equally many levels; only unequal leaves are read."""
     leaves = unequal_leaves(spark, a, b, levels)
-    counted = lambda path, name: spark.read.parquet(path).where(F.col("_leaf").isin(leaves)).groupBy(*keys, "_digest").agg(F.count("*").alias(name))
-    both = counted(a, "n_a").join(counted(b, "n_b"), [*keys, "_digest"], "full").na.fill(0, ["n_a", "n_b"])
+    side = lambda path, *n: spark.read.parquet(path).where(F.col("_leaf").isin(leaves)).select(*keys, "_digest", *[F.lit(x).alias(c) for x, c in zip(n, ("n_a", "n_b"), strict=True)])
+    # grouped, not joined, so that a null key meets itself
+    both = side(a, 1, 0).union(side(b, 0, 1)).groupBy(*keys, "_digest").agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
     each = both.groupBy(*keys).agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.count_if(F.col("n_a") != F.col("n_b")).alias("d")).where("d > 0")
     return each.select(*keys, F.when(F.col("n_a") == 0, "added").when(F.col("n_b") == 0, "removed").otherwise("changed").alias("how"))
 
