@@ -88,6 +88,16 @@ def test_frequent_sequences(spark):
     assert {r.path: (r.length, r.users) for r in got} == want and len(got) == len(want) > 20
 
 
+def test_sequences_broadcast_no_places(spark, monkeypatch):
+    """A user's places and paths are joined by sorting, however small their files are; a round makes one row per user and path."""
+    plans = []
+    monkeypatch.setattr(hs, "kept", lambda df, was=hs.kept: plans.append(df._jdf.queryExecution().executedPlan().toString()) or was(df))
+    rows = spark.range(6000).selectExpr("id % 3 AS u", "id AS t", "concat('k', pmod(hash(id), 4)) AS x").unionByName(spark.range(9).selectExpr("CAST(NULL AS BIGINT) AS u", "id AS t", "'k1' AS x"))
+    got = hs.frequent_sequences(rows, "u", ["t"], "x", 3).collect()
+    assert sorted({r.users for r in got if r.length > 1}) == [3] and len(got) == 4 + 16 + 64 + 256
+    assert not [x for p in plans for x in p.splitlines() if "BroadcastHashJoin" in x and "LeftSemi" not in x]
+
+
 def test_exact_sample(spark):
     users = spark.range(5000).withColumnRenamed("id", "user_id")
     ranked = sorted(range(5000), key=lambda i: (hashlib.md5(f"{i}:7".encode()).hexdigest(), i))

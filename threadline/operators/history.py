@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -80,22 +81,50 @@ def change_points(days: DataFrame, series: str, day: str, threshold: float = 1.3
     return reduce(DataFrame.union, found)
 
 
+def _following(places: DataFrame) -> DataFrame:
+    """u, pos and the items that follow in the user's rows (u, i, pos), each with the place at which it comes next.
+
+    Users are sorted runs of a partition, read from the end, so a user of any size needs a place for each kind of item only.
+    """
+
+    def run(batches):
+        now, seen = None, {}
+        for b in batches:
+            kinds, places, starts = [], [], [0]
+            for u, i, pos in zip(*(b.column(c).to_pylist() for c in ("u", "i", "pos")), strict=True):
+                if u != now:
+                    now, seen = u, {}
+                kinds.extend(seen)
+                places.extend(seen.values())
+                starts.append(len(places))
+                seen[i] = pos
+            following = pa.MapArray.from_arrays(pa.array(starts, pa.int32()), pa.array(kinds, pa.string()), pa.array(places, pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("pos"), following], ["u", "pos", "following"])
+
+    runs = places.repartition("u").sortWithinPartitions("u", F.desc("pos"))
+    return runs.mapInArrow(run, f"u {places.schema['u'].dataType.simpleString()}, pos int, following map<string, int>")
+
+
 def frequent_sequences(rows: DataFrame, user: str, order: list[str], item: str, least: int, longest: int = 4) -> DataFrame:
     """path (items joined by >), length and users of the sequences that at least ``least`` users went through, other items between or not.
 
     Prefix projection: of a user and a path only the earliest place at which it can end is kept, as every
     continuation follows that one too; paths grow by one item per round, rare ones are dropped with all that would start with them.
+    What follows a place is found once, so a round makes one row per user and path, whatever the number of the user's rows.
     """
-    numbered = rows.select(F.col(user).alias("u"), F.col(item).alias("i"), F.row_number().over(Window.partitionBy(user).orderBy(*order)).alias("pos"))
-    common = rows.where(F.col(item).isNotNull()).groupBy(item).agg(F.count_distinct(user).alias("_n")).where(F.col("_n") >= least).select(F.col(item).alias("i"))
-    places = kept(numbered.join(common, "i", "left_semi"))
-    front, found = places.groupBy("u", F.col("i").cast("string").alias("path")).agg(F.min("pos").alias("end")), []
+    place = F.row_number().over(Window.partitionBy(user).orderBy(*order))
+    numbered = kept(rows.select(F.col(user).alias("u"), F.col(item).cast("string").alias("i"), place.alias("pos")).where("i IS NOT NULL"))
+    front, found, following = numbered.groupBy("u", F.col("i").alias("path")).agg(F.min("pos").alias("end")), [], None
     for length in range(1, longest + 1):
-        front = kept(front)
+        front = kept(front) if length < longest else front  # the last ones are only counted
         support = kept(front.groupBy("path").agg(F.count("*").alias("users")).where(F.col("users") >= least))
         found.append(support.select("path", F.lit(length).alias("length"), "users"))
         if length < longest:
+            if following is None:
+                following = kept(_following(numbered.where("u IS NOT NULL").join(support.select(F.col("path").alias("i")), "i", "left_semi")))
             ends = front.join(support.select("path"), "path", "left_semi")
-            longer = ends.join(places, "u").where("pos > end")
-            front = longer.groupBy("u", F.concat("path", F.lit(">"), F.col("i").cast("string")).alias("path")).agg(F.min("pos").alias("end"))
+            # the tables are many times the files that their sizes are guessed from: never broadcast
+            met = ends.join(following.withColumnRenamed("pos", "end").hint("merge"), ["u", "end"])
+            longer = met.select("u", "path", F.explode("following").alias("i", "pos"))
+            front = longer.select("u", F.concat("path", F.lit(">"), "i").alias("path"), F.col("pos").alias("end"))
     return reduce(DataFrame.union, found)
