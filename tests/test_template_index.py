@@ -61,3 +61,24 @@ def test_index_and_blocks_agree(spark):
         if r >= 0.75:
             want[m] = (-i, r)
     assert got == want and len(want) > 40
+
+
+def test_common_grams_are_not_joined(spark):
+    """Texts out of few syllables share grams with nearly all others: pairs by postings would be shuffled by the square of the texts, so blocks take them."""
+    rng = np.random.default_rng(10)
+    syllables = ["the ", "ation", "er", "en ", "ing", "ou", "of ", "is, "]
+    texts = ["".join(rng.choice(RARE) if rng.random() < 0.15 else rng.choice(syllables) for _ in range(n)) for n in rng.integers(90, 250, 60)]
+    messages = [edited(rng, t, p) for t in texts for p in (0.01, 0.3)]
+    asked = spark.createDataFrame([(m,) for m in messages], "message string")
+    known = spark.createDataFrame(list(enumerate(texts)), "template_id long, template string")
+    assert known.where(fz._is_indexed(0.75)("template")).count() > 40
+    assert fz._indexed_matches(asked, known, 0.75) is None
+    rare = spark.createDataFrame([("".join(chr(c) for c in rng.integers(0x4E00, 0x9000, 300)),) for _ in range(30)], "message string")
+    assert fz._indexed_matches(rare, rare.selectExpr("1L AS template_id", "message AS template"), 0.75) is not None
+    want = {}
+    for m in set(messages):
+        r, i = max((SequenceMatcher(None, m, t).ratio(), -i) for i, t in enumerate(texts))
+        if r >= 0.75:
+            want[m] = (-i, r)
+    got = fz.template_matches(asked.selectExpr("'automated' AS type", "message"), known)
+    assert {r.message: (r.template_id, r.ratio) for r in got.collect()} == want and len(want) >= 40

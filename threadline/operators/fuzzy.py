@@ -105,7 +105,7 @@ def _features(text: str) -> np.ndarray:
     h.sort()
     at = np.arange(n)
     first = np.maximum.accumulate(np.where(np.r_[True, h[1:] != h[:-1]], at, 0)) if n else at
-    return (((h + (at - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - FINE)).astype(np.int64)
+    return (((h + (at - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - FINE)).astype(np.int32)
 
 
 def _dense(features: list) -> np.ndarray:
@@ -206,16 +206,32 @@ def best_matches(messages: list[str], templates: list[tuple], least: float) -> d
     return best
 
 
+#: Most characters of a block of texts, and least number of blocks of a band's messages, for tasks enough.
+BLOCK_CHARS, BLOCKS = 8_000_000, 8
+
+
 def _block_matches(texts: DataFrame, known: DataFrame, least: float, block: int) -> DataFrame:
-    """message, template_id, ratio of the best pairs of each two blocks of texts within a length band."""
-    n_t, n_m = (max(1, -(-df.count() // size)) for df, size in ((known, block), (texts, max(1, block // 4))))
+    """message, template_id, ratio of the best pairs of each two blocks of texts within a length band.
+
+    A text is shuffled once for each block of the other side in its band, so blocks are as large as a task holds easily.
+    """
     # lengths that can reach the ratio differ by a factor of at most (2 - least) / least: neighbours on a log scale
     step = F.log(F.lit((2 - least) / least)) + 1e-9
     band = lambda c: F.floor(F.log(F.length(c).cast("double")) / step)
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    side = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    left = texts.select("message", F.explode(F.array(*[band("message") + d for d in (-1, 0, 1)])).alias("band"), side("message", n_m).alias("m")).withColumn("t", every(n_t))
-    right = known.select("template_id", "template", band("template").alias("band"), side("template", n_t).alias("t")).withColumn("m", every(n_m))
+    left = texts.select("message", F.explode(F.array(*[band("message") + d for d in (-1, 0, 1)])).alias("band"))
+    right = known.select("template_id", "template", band("template").alias("band"))
+
+    def sized(rows, c, n, fewest):
+        each = rows.groupBy("band").agg(F.count("*").alias("k"), F.sum(F.length(c).cast("long")).alias("chars"))
+        blocks = F.greatest(F.ceil(F.col("k") / block), F.ceil(F.col("chars") / BLOCK_CHARS), F.least("k", F.lit(fewest)))
+        return each.select("band", blocks.cast("int").alias(n))
+
+    # a row per band, and the bands grow with the logarithm of the longest text
+    sizes = F.broadcast(kept(sized(left, "message", "n_m", BLOCKS).join(sized(right, "template", "n_t", 1), "band")))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    left = left.join(sizes, "band").select("message", "band", own("message", "n_m").alias("m"), every("n_t").alias("t"))
+    right = right.join(sizes, "band").select("template_id", "template", "band", own("template", "n_t").alias("t"), every("n_m").alias("m"))
 
     def found(a, b):
         best = best_matches(a["message"].tolist(), list(zip(b["template_id"].tolist(), b["template"].tolist(), strict=True)), least) if len(a) and len(b) else {}
@@ -230,6 +246,9 @@ def _block_matches(texts: DataFrame, known: DataFrame, least: float, block: int)
 #: The index: length of its grams, templates with at most so many blocks per character, and how many rare grams a pair must share.
 INDEX_GRAM, INDEX_BLOCKS, INDEX_SHARED, INDEX_BUCKETS = 5, 0.08, 8, 1 << 16
 
+#: Rows per posting up to which the postings are joined, and the share of the grams (one in so many) by which these are foretold.
+JOINED_ROWS, FORETOLD_BY = 4, 64
+
 
 def _grams(text: str) -> np.ndarray:
     x = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
@@ -279,9 +298,12 @@ def _rarest(text: str, shared: float, counts: np.ndarray):
     return keys[rank].astype(np.int64), np.where(unique[rank], rank, -1), wanted
 
 
-def _indexed_matches(texts: DataFrame, known: DataFrame, least: float) -> DataFrame:
+def _indexed_matches(texts: DataFrame, known: DataFrame, least: float) -> DataFrame | None:
     """message, template_id, ratio of the pairs that reach the ratio, by an inverted index on rare grams.
 
+    None where rare grams stand in so many texts that the join would make over JOINED_ROWS rows per posting: all of
+    these would be shuffled to be counted by pair, and they grow with the square of the texts.
+
     In a pair that reaches it, need characters of 2M/T lie in at most so many blocks as its template allows,
     so at least need - (q - 1) * blocks grams are shared.  In one order of all grams by rarity the first
     INDEX_SHARED of these are among the rarest of both texts: only those have postings.  A gram that stands once in both texts
@@ -314,6 +336,11 @@ def _indexed_matches(texts: DataFrame, known: DataFrame, least: float) -> DataFr
     schema = "gram long, {0} long, at_{0} int, n_{0} int, k_{0} int"
     a = rows.mapInPandas(postings(of_message, "i"), schema.format("i"))
     b = asked.select("j", "text").mapInPandas(postings(of_template, "j"), schema.format("j"))
+    some = lambda rows, n: rows.where(F.pmod(F.xxhash64("gram"), F.lit(FORETOLD_BY)) == 0).groupBy("gram").agg(F.count("*").alias(n))
+    met = some(a, "n_a").join(some(b, "n_b").hint("merge"), "gram", "full").na.fill(0, ["n_a", "n_b"])
+    joined, postings_ = met.agg(F.coalesce(F.sum(F.col("n_a") * F.col("n_b")), F.lit(0)), F.coalesce(F.sum(F.col("n_a") + F.col("n_b")), F.lit(0))).first()
+    if joined > JOINED_ROWS * postings_:
+        return None
     need = F.ceil(least * (F.col("n_i") + F.col("n_j")) / 2 - 1e-9)
     near = (F.col("at_i") < 0) | (F.col("at_j") < 0) | (F.col("at_i") - F.col("at_j")).between(need - F.col("n_j"), F.col("n_i") - need)
     sized = (F.least("n_i", "n_j") >= need)
@@ -333,20 +360,22 @@ def _indexed_matches(texts: DataFrame, known: DataFrame, least: float) -> DataFr
     return whole.repartition("template_id").sortWithinPartitions("template_id").mapInPandas(rate, f"message string, template_id {kind}, ratio double")
 
 
-def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0.75, block: int = 1000) -> DataFrame:
+def template_matches(messages: DataFrame, templates: DataFrame, least: float = 0.75, block: int = 20_000) -> DataFrame:
     """For each distinct automated text its best template by similarity ratio of the whole texts, if it reaches ``least``.
 
     Templates of 200 characters and more whose matching blocks are bounded well enough are looked up in an index
-    of rare grams.  For the others nothing short bounds what a pair must share: they meet the texts in groups by length
-    bands that can reach the ratio, split in blocks of about ``block`` templates and a quarter as many messages.
+    of rare grams, where these are rare indeed.  For the others nothing short bounds what a pair must share: they meet the
+    texts in groups by length bands that can reach the ratio, split in blocks of at most about ``block`` texts and BLOCK_CHARS characters.
     """
-    texts = messages.where("type = 'automated' AND message <> ''").select("message").distinct()
+    texts = kept(messages.where("type = 'automated' AND message <> ''").select("message").distinct())
     known = templates.where("template <> ''").groupBy("template").agg(F.min("template_id").alias("template_id"))
     indexed = kept(known.select("template_id", "template", _is_indexed(least)(F.col("template")).alias("_i")))
     by_index = _indexed_matches(texts, indexed.where("_i").drop("_i"), least)
-    by_block = _block_matches(texts, indexed.where("NOT _i").drop("_i"), least, block)
+    by_block = _block_matches(texts, (indexed if by_index is None else indexed.where("NOT _i")).drop("_i"), least, block)
+    found = by_block.select("message", "template_id", "ratio")
+    found = found if by_index is None else by_index.union(found)
     best = Window.partitionBy("message").orderBy(F.desc("ratio"), "template_id")
-    return by_index.union(by_block.select("message", "template_id", "ratio")).withColumn("_n", F.row_number().over(best)).where("_n = 1").select("message", "template_id", "ratio")
+    return found.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("message", "template_id", "ratio")
 
 
 def _is_indexed(least: float):
