@@ -213,6 +213,25 @@ def test_template_ratio_of_whole_texts(spark):
     assert {r.message: (r.template_id, r.ratio) for r in again.collect()} == want
 
 
+def test_neighbours_by_cosine_equal_all_pairs(spark):
+    """Equal vectors, a large norm, ties to the smaller id; a few thousand vectors are several tasks, and a pair has one cosine."""
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(4000, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[100:400] = x[7]
+    x[5] *= 1e17
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    blocks = cl.blocks_for(df, 20_000)
+    assert blocks == 4
+    got = {}
+    for r in cl.neighbours(df, 3, blocks).collect():
+        got.setdefault(r.query, {})[r["rank"]] = (r.vec_id, r.cosine)
+    for q in [*range(0, 4000, 37), 5, 7, 100, 399]:
+        s = (x * x[q]).sum(axis=1)
+        order = [int(j) for j in np.lexsort((np.arange(4000), -s)) if j != q][:3]
+        assert [got[q][i + 1] for i in range(3)] == [(j, float(s[j])) for j in order]
+
+
 def test_density_of_a_long_chain(spark):
     """A chain of neighbours in random order, with many local minima and a long diameter, is one cluster."""
     n, step = 300, np.pi / 300

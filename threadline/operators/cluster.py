@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from threadline.work import kept
 
 from .components import components
+from .hierarchy import at_most, blocks_for, first_of_each, of_pairs, parts
 
 
 def sums(vectors: DataFrame, group: str) -> DataFrame:
@@ -75,15 +76,26 @@ def neighbours(vectors: DataFrame, k: int, blocks: int) -> DataFrame:
 
     def nearest(left, right):
         out = []
-        if len(left):
+        if len(left) and len(right):
             ids, x = left["vec_id"].to_numpy(), np.vstack(left["embedding"].to_numpy()).astype(np.float64)
-            for i in range(0, len(right), 1000):
-                part = right.iloc[i : i + 1000]
-                scores = np.vstack(part["q"].to_numpy()).astype(np.float64) @ x.T
-                for q, s in zip(part["query"], scores, strict=True):
-                    order = np.lexsort((ids, -s))[: k + 1]
-                    out += [(q, int(ids[j]), float(s[j])) for j in order if ids[j] != q]
-        return pd.DataFrame(out, columns=["query", "vec_id", "cosine"]).astype({"query": "int64", "vec_id": "int64", "cosine": "float64"})
+            size = np.sqrt((x * x).sum(axis=1).max())
+            # single precision foretells which pairs matter, unless it could overflow
+            held = x.astype(np.float32) if size < 1e15 else x
+            for part in parts(left, right):
+                asked, y = part["query"].to_numpy(), np.vstack(part["q"].to_numpy()).astype(np.float64)
+                sizes = np.sqrt((y * y).sum(axis=1))
+                single = held.dtype == np.float32 and sizes.max() < 1e15
+                far = (-y).astype(np.float32) @ held.T if single else -y @ x.T
+                off = (2.5e-7 if single else 1e-13) * (len(x[0]) + 4) * size * sizes + 1e-37
+                bound = (at_most(far, k + 1) + off).astype(far.dtype)  # with itself
+                row, at = np.nonzero(far <= bound[:, None])
+                other = ids[at] != asked[row]
+                row, at = row[other], at[other]
+                # the same from either side and in any block
+                cosine = of_pairs(lambda r, c, x=x, y=y: (x[c] * y[r]).sum(axis=1), row, at)
+                some = first_of_each(row, np.lexsort((ids[at], -cosine, row)), k)
+                out.append(pd.DataFrame({"query": asked[row[some]], "vec_id": ids[at[some]], "cosine": cosine[some]}))
+        return pd.concat(out) if out else pd.DataFrame({"query": pd.array([], "int64"), "vec_id": pd.array([], "int64"), "cosine": pd.array([], "float64")})
 
     found = held.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInPandas(lambda a, b: nearest(a, b), "query long, vec_id long, cosine double")
     order = Window.partitionBy("query").orderBy(F.desc("cosine"), "vec_id")
@@ -99,7 +111,7 @@ def density(vectors: DataFrame, k: int = 10, eps: float = 0.35, least: int = 5,
     Membership is one minus the core distance over the cluster's largest.
     """
     if blocks is None:
-        blocks = max(1, -(-vectors.count() // 20_000))
+        blocks = blocks_for(vectors, 20_000)
     near = kept(neighbours(vectors, k, blocks).withColumn("d", 1 - F.col("cosine")))
     core = near.groupBy("query").agg(F.max("d").alias("core"))
     edges = near.join(core.toDF("query", "core_a"), "query").join(core.toDF("vec_id", "core_b"), "vec_id").where(F.greatest("d", "core_a", "core_b") <= eps).select(F.col("query").alias("a"), F.col("vec_id").alias("b"))
